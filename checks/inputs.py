@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table dealt over all cores when its file has fewer splits than that."""
+    return fill_cores(table(spark, sf, name).select(*columns))
+
+
 def english(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where("lang = 'en'").select("text")
 
@@ -30,7 +35,7 @@ def benchmark(spark: SparkSession, sf: str) -> DataFrame:
 
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
     """Customers rate brand-and-type items in half points."""
-    bought = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    bought = spread_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     return (
@@ -44,12 +49,12 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 def posting_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as question lines, line items as answer lines."""
-    asked = table(spark, sf, "orders").select(
+    asked = spread_table(spark, sf, "orders", "o_orderkey", "o_orderpriority").select(
         F.concat_ws(
             ",", F.lit("1"), "o_orderkey", F.lit(""), (F.col("o_orderkey") % 20 - 3).cast("string"), "o_orderpriority"
         ).alias("value")
     )
-    given = table(spark, sf, "lineitem").select(
+    given = spread_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select(
         F.concat_ws(
             ",",
             F.lit("2"),
@@ -64,7 +69,7 @@ def posting_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def short_text_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document as a six-field line: `doc_id, lang, value`."""
-    whole = fill_cores(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    whole = spread_table(spark, sf, "documents", "doc_id", "lang", "text")
     lines = lines_of(whole, "text", "doc_id", "lang")
     head = F.concat(F.lit('"0","'), F.col("doc_id"), F.lit('","Mon","NO","user","'))
     return lines.select("doc_id", "lang", F.concat(head, "value", F.lit('"')).alias("value"))
@@ -72,7 +77,7 @@ def short_text_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def short_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document: `doc_id, lang, text`."""
-    whole = fill_cores(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    whole = spread_table(spark, sf, "documents", "doc_id", "lang", "text")
     return lines_of(whole, "text", "doc_id", "lang").withColumnRenamed("value", "text")
 
 

@@ -4,40 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Center = tuple[int, int]
-#: Beyond this many centres the generated comparison grows too long, so an array is scanned instead.
+#: More centres than this make the unrolled comparison too long to compile.
 UNROLLED_CENTERS = 64
 
 
-def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Squared Euclidean distance as a double."""
-    dx = x1.cast("double") - x2.cast("double")
-    dy = y1.cast("double") - y2.cast("double")
-    return dx * dx + dy * dy
-
-
 def list_position(value: Column, choices: Sequence[str]) -> Column:
     """1-based place of `value` in a fixed list, 0 when it is not there."""
     return F.array_position(F.array(*[F.lit(c) for c in choices]), value)
 
 
-def nearest(x: Column, y: Column, centers: Sequence[Center]) -> Column:
-    """`{dist, idx}` of the closest centre; equal distances go to the lowest index."""
-    if len(centers) <= UNROLLED_CENTERS:
+def squared_distance(x: str, y: str, cx: str, cy: str) -> str:
+    """SQL of the squared Euclidean distance as a double."""
+    dx, dy = f"(cast({x} as double) - {cx})", f"(cast({y} as double) - {cy})"
+    return f"{dx} * {dx} + {dy} * {dy}"
+
+
+def with_nearest(df: DataFrame, centers: Sequence[Center], x: str = "x", y: str = "y", many: bool = False) -> DataFrame:
+    """Adds `idx` and squared `dist` of the closest centre; equal distances go to the lowest index.
+
+    With `many` rows the comparison is unrolled into compiled code. That costs a compilation for
+    every new set of centres, so by default the centres are a constant array that is scanned.
+    """
+    if many and 1 < len(centers) <= UNROLLED_CENTERS:
         found = [
-            F.struct(squared_distance(x, y, F.lit(cx), F.lit(cy)).alias("dist"), F.lit(i).alias("idx"))
-            for i, (cx, cy) in enumerate(centers)
-        ]
-        return F.least(*found) if len(found) > 1 else found[0]
-    table = F.array(
-        *[
-            F.struct(F.lit(cx).cast("long").alias("x"), F.lit(cy).cast("long").alias("y"), F.lit(i).alias("idx"))
+            f"struct({squared_distance(x, y, f'{cx}D', f'{cy}D')} as dist, {i} as idx)"
             for i, (cx, cy) in enumerate(centers)
         ]
-    )
-    return F.array_min(
-        F.transform(table, lambda c: F.struct(squared_distance(x, y, c.x, c.y).alias("dist"), c.idx.alias("idx")))
+        nearest = df.withColumn("nearest", F.expr(f"least({', '.join(found)})"))
+        return nearest.select(*df.columns, "nearest.idx", "nearest.dist")
+    xs, ys = (", ".join(f"{c[axis]}D" for c in centers) for axis in (0, 1))
+    distances = F.expr(f"zip_with(array({xs}), array({ys}), (cx, cy) -> {squared_distance(x, y, 'cx', 'cy')})")
+    return (
+        df.withColumn("distances", distances)
+        .withColumn("dist", F.array_min("distances"))
+        .withColumn("idx", (F.array_position("distances", F.col("dist")) - 1).cast("int"))
+        .select(*df.columns, "idx", "dist")
     )

@@ -31,7 +31,7 @@ def text_lines(text: Column) -> Column:
 
 def fields(line: Column) -> Column:
     """Comma-separated fields without the empty ones at the end (F2)."""
-    return F.split(F.regexp_replace(line, r",+\z", ""), ",")
+    return F.split(F.rtrim(line, F.lit(",")), ",")
 
 
 def blank_to_null(value: Column) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.functions.geometry import Center, nearest
+from quern.functions.geometry import Center, with_nearest
 from quern.session import stage
 
 # Number of clusters, movement that ends the loop, and most iterations.
@@ -25,6 +25,8 @@ HISTORY_SCHEMA = (
     "iter int, idx int, old_x bigint, old_y bigint, new_x bigint, new_y bigint, "
     "moved double, total_moved double, converged boolean"
 )
+#: Up to this many distinct points an iteration is too short to be worth compiling or shuffling.
+FEW_POINTS = 100_000
 #: Rows with equal leading bits form one bin of the median search; a bin has at most 2**16 values.
 BIN_BITS = 16
 
@@ -95,10 +97,9 @@ def sampled_centers(points: DataFrame, clusters: int, seed: int, key: str = "id"
     return [(r["x"], r["y"]) for r in sorted(drawn, key=lambda r: (r["draw"], r["x"], r["y"]))]
 
 
-def assign(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
+def assign(points: DataFrame, centers: Sequence[Center], many: bool = False) -> DataFrame:
     """Points with `idx` and squared `dist` of their nearest centre."""
-    found = points.withColumn("nearest", nearest(F.col("x"), F.col("y"), centers))
-    return found.select(*points.columns, "nearest.idx", "nearest.dist")
+    return with_nearest(points, centers, many=many)
 
 
 def centroids(assigned: DataFrame) -> DataFrame:
@@ -118,17 +119,20 @@ def fit(
 ) -> Fit:
     """Move the centres until they move less than `eta` in total.
 
-    One Spark job per iteration over the weighted points; only the centres reach the driver.
+    One Spark job per iteration over the weighted points; only the centres reach the driver. A
+    counted small set of distinct points takes one partition, so its iterations do not shuffle.
     """
     if not centers:
         raise ValueError("k-means needs at least one centre")
     state = Fit(list(centers))
-    points = points.select("x", "y", "w").persist()
+    points = points.select("x", "y", "w")
+    many = points.count() > FEW_POINTS
+    points = (points if many else points.coalesce(1)).persist()
     try:
         while not state.converged and state.iterations < max_iterations:
             old = state.centers
             new = list(old)
-            for row in centroids(assign(points, old)).collect():
+            for row in centroids(assign(points, old, many)).collect():
                 new[row["idx"]] = (row["x"], row["y"])
             moves = [_moved(a, b) for a, b in zip(old, new)]
             total = sum(moves)
@@ -143,29 +147,35 @@ def fit(
     return state
 
 
-def integer_median(rows: DataFrame, group: str, value: str = "y", weight: str = "w") -> DataFrame:
-    """`group, median`: middle of an integer column, of an even count half the sum, cut toward zero.
+def integer_median(counts: DataFrame, group: str, value: str = "y", count: str = "n") -> DataFrame:
+    """`group, median` of an integer column given as counted values.
 
-    Exact in two bounded steps: count the values in bins of 2**16, then rank inside the one or two
-    bins that hold the middle. No group is ever ordered as a whole.
+    The middle value, or of an even number half the sum of the two, cut toward zero. Exact in two
+    bounded steps: count the values in bins of 2**16, then rank inside the one or two bins that hold
+    the middle. No group is ever ordered as a whole.
     """
-    counts = rows.groupBy(group, value).agg(F.sum(weight).alias("n"))
-    bins = counts.groupBy(group, F.shiftright(value, BIN_BITS).alias("bin")).agg(F.sum("n").alias("n"))
+    bin_of = F.shiftright(value, BIN_BITS).alias("bin")
+    bins = counts.groupBy(group, bin_of).agg(F.sum(count).alias("held"))
     in_group = Window.partitionBy(group)
-    reached = bins.withColumn(
-        "upto", F.sum("n").over(in_group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("total", F.sum("n").over(in_group))
-    reached = reached.withColumn("before", F.col("upto") - F.col("n"))
+    reached = bins.select(
+        group,
+        "bin",
+        "held",
+        F.sum("held").over(in_group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum("held").over(in_group).alias("total"),
+    )
     low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
-    middle = reached.where((F.col("upto") > low) & (F.col("before") <= high)).select(group, "bin", "before", "total")
-
-    inside = counts.withColumn("bin", F.shiftright(value, BIN_BITS)).join(middle, [group, "bin"])
+    before = F.col("upto") - F.col("held")
+    middle = reached.where((F.col("upto") > low) & (before <= high)).select(
+        group, "bin", before.alias("before"), "total"
+    )
+    inside = counts.select(group, value, count, bin_of).join(middle, [group, "bin"])
     by_value = Window.partitionBy(group, "bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("upto", F.col("before") + F.sum("n").over(by_value))
-    ranked = ranked.withColumn("from", F.col("upto") - F.col("n"))
+    ranked = inside.withColumn("upto", F.col("before") + F.sum(count).over(by_value))
 
     def at(rank):
-        return F.max(F.when((F.col("from") <= rank) & (rank < F.col("upto")), F.col(value)))
+        held = (F.col("upto") - F.col(count) <= rank) & (rank < F.col("upto"))
+        return F.max(F.when(held, F.col(value)))
 
     pair = ranked.groupBy(group).agg(at(low).alias("lower"), at(high).alias("upper"))
     return pair.select(group, F.expr("(lower + upper) div 2").alias("median"))
@@ -173,14 +183,12 @@ def integer_median(rows: DataFrame, group: str, value: str = "y", weight: str =
 
 def summary(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
     """`x, y, size, median, average` of every non-empty cluster, in that order."""
-    assigned = assign(points, centers)
-    sizes = assigned.groupBy("idx").agg(
-        F.sum("w").alias("size"), F.expr("sum(y * w) div sum(w)").alias("average")
-    )
-    where = F.broadcast(centers_df(points.sparkSession, centers))  # one row per centre
+    counts = assign(points, centers).groupBy("idx", "y").agg(F.sum("w").alias("n"))
+    sizes = counts.groupBy("idx").agg(F.sum("n").alias("size"), F.expr("sum(y * n) div sum(n)").alias("average"))
+    places = F.broadcast(centers_df(points.sparkSession, centers))  # one row per centre
     return (
-        sizes.join(integer_median(assigned, "idx"), "idx")
-        .join(where, "idx")
+        sizes.join(integer_median(counts, "idx"), "idx")
+        .join(places, "idx")
         .select("x", "y", "size", "median", "average")
         .orderBy("x", "y", "size", "median", "average")
     )

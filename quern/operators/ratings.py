@@ -16,6 +16,8 @@ from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, measured_bytes, stage,
 
 #: Most items of one user that meet in one join group; more are dealt into pieces.
 ITEMS_PER_PIECE = 4096
+#: Products per task when all of a user's products meet in one task.
+PRODUCTS_PER_USER_TASK = 1_000_000
 #: Most entries in one list of the list views; longer lists continue in further pieces.
 ENTRIES_PER_LIST = 100_000
 
@@ -86,37 +88,45 @@ def _rated(ratings: DataFrame, totals: DataFrame, product_decimals: int | None)
 
 
 def _multiply(
-    rated: DataFrame, entries: DataFrame, product_decimals: int | None, broadcast_bytes: int, rows_per_task: int
+    rated: DataFrame, matrix: DataFrame, product_decimals: int | None, broadcast_bytes: int, rows_per_task: int
 ) -> DataFrame:
-    """Summed products per user and `item_b`, and whether the user rated `item_b`.
+    """`user_id, item_id, score, own`: summed products, and whether the user rated the item.
 
-    `entries` are matrix rows `item_a, item_b, cnt`; a NULL `cnt` marks the user's own item.
+    `matrix` holds `item_a, item_b, cnt, own`; `own` is 1 on the diagonal, whose `cnt` is 0.
     """
     spark = rated.sparkSession
     raters = rated.groupBy("item_id").agg(F.count(F.lit(1)).alias("raters"))
-    widths = entries.groupBy(F.col("item_a").alias("item_id")).agg(F.count(F.lit(1)).alias("width"))
+    widths = matrix.groupBy(F.col("item_a").alias("item_id")).agg(F.count(F.lit(1)).alias("width"))
     products = stage(
         raters.join(widths, "item_id").select(
             "item_id", (F.col("raters").cast("double") * F.col("width")).alias("products")
         ),
         "products",
     )
-    tasks = tasks_for(spark, products.agg(F.sum("products")).first()[0] or 0, rows_per_task)
+    work = products.agg(F.sum("products")).first()[0] or 0
+    matrix = matrix.withColumnRenamed("item_a", "item_id")
 
-    if measured_bytes(entries) <= broadcast_bytes:
+    if measured_bytes(matrix) <= broadcast_bytes:
         # A user with n items puts n(n-1) entries into the matrix, so a matrix of this size also
-        # bounds every user's summed rows. Dealt by user, they need no second shuffle for the sum.
-        dealt = rated.repartition(tasks, "user_id") if product_decimals is None else rated
-        joined = dealt.join(F.broadcast(entries.withColumnRenamed("item_a", "item_id")), "item_id")
+        # bounds every user's summed rows. Dealt by user, they need no second shuffle for the sum,
+        # and small tasks keep its hash table in the processor's cache.
+        rows = matrix.groupBy("item_id").agg(F.collect_list(F.struct("item_b", "cnt", "own")).alias("row"))
+        dealt = rated
+        if product_decimals is None:
+            dealt = rated.repartition(tasks_for(spark, work, PRODUCTS_PER_USER_TASK), "user_id")
+        joined = dealt.join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
     else:
         sizes = large_groups(products, "item_id", F.ceil(F.col("products") / rows_per_task))
+        tasks = tasks_for(spark, work, rows_per_task)
         dealt = with_pieces(rated, "item_id", sizes).withColumn("piece", piece_of("user_id"))
-        matrix = replicate(with_pieces(entries.withColumnRenamed("item_a", "item_id"), "item_id", sizes), "piece")
+        copied = replicate(with_pieces(matrix, "item_id", sizes), "piece")
         joined = dealt.drop("pieces").repartition(tasks, "item_id", "piece").join(
-            matrix.drop("pieces").repartition(tasks, "item_id", "piece"), ["item_id", "piece"]
+            copied.drop("pieces").repartition(tasks, "item_id", "piece"), ["item_id", "piece"]
         )
-    return joined.groupBy("user_id", F.col("item_b")).agg(
-        F.sum(_contribution(product_decimals)).alias("score"), F.max(F.col("cnt").isNull()).alias("seen")
+    return (
+        joined.groupBy("user_id", "item_b")
+        .agg(F.sum(_contribution(product_decimals)).alias("score"), F.max("own").alias("own"))
+        .withColumnRenamed("item_b", "item_id")
     )
 
 
@@ -130,8 +140,8 @@ def raw_scores(
 ) -> DataFrame:
     """`user_id, item_id, score` for every reachable item, rated ones included."""
     rated = _rated(ratings, totals, product_decimals)
-    scored = _multiply(rated, mirror_pairs(pairs), product_decimals, broadcast_bytes, rows_per_task)
-    return scored.select("user_id", F.col("item_b").alias("item_id"), "score")
+    matrix = mirror_pairs(pairs).withColumn("own", F.lit(0))
+    return _multiply(rated, matrix, product_decimals, broadcast_bytes, rows_per_task).drop("own")
 
 
 def unseen_scores(
@@ -149,10 +159,12 @@ def unseen_scores(
     """
     rated = _rated(ratings, totals, product_decimals)
     matrix = mirror_pairs(pairs)
-    items = matrix.select("item_a").distinct()
-    marks = items.select("item_a", F.col("item_a").alias("item_b"), F.lit(None).cast("long").alias("cnt"))
-    scored = _multiply(rated, matrix.unionByName(marks), product_decimals, broadcast_bytes, rows_per_task)
-    return scored.where(~F.col("seen")).select("user_id", F.col("item_b").alias("item_id"), "score")
+    marks = matrix.select("item_a").distinct().select(
+        "item_a", F.col("item_a").alias("item_b"), F.lit(0).cast("long").alias("cnt"), F.lit(1).alias("own")
+    )
+    marked = matrix.withColumn("own", F.lit(0)).unionByName(marks)
+    scored = _multiply(rated, marked, product_decimals, broadcast_bytes, rows_per_task)
+    return scored.where("own = 0").drop("own")
 
 
 def drop_seen(scores: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -164,7 +176,7 @@ def _lists(rows: DataFrame, key: str, entry: list[str], name: str, limit: int) -
     per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     sizes = large_groups(per_key, key, F.ceil(F.col("n") / limit))
     dealt = with_pieces(rows, key, sizes).withColumn("piece", piece_of(entry[0]))
-    return dealt.groupBy(key, "piece").agg(F.array_sort(F.collect_list(F.struct(*entry))).alias(name))
+    return dealt.groupBy(key, "piece").agg(F.sort_array(F.collect_list(F.struct(*entry))).alias(name))
 
 
 def user_preferences(ratings: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:

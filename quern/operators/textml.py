@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.operators.words import Words, count_words, explode_words, top_n_per_group
-from quern.session import stage, tasks_for
+from quern.session import stage
 from quern.sources.readers import WORD_LIST_LIMIT, as_word_list
 
 # Number of clusters, length of the vectors, least count of a word, tokens reported.
@@ -20,8 +20,8 @@ VECTOR_SIZE = 10
 MIN_COUNT = 2
 TOP_TOKENS = 5
 
-#: Tokens one Word2Vec task trains on; below that a single task gives the one-partition result.
-TOKENS_PER_TASK = 5_000_000
+#: Tokens worth a Word2Vec task of their own.
+TOKENS_PER_TASK = 500_000
 
 
 def tokenize(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -47,7 +47,7 @@ def remove_stop_words(tokenized: DataFrame, stops: Words, limit: int = WORD_LIST
         .withColumn("word", F.lower("token"))
         .join(listed, "word", "left_anti")
         .groupBy("text_no")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("kept"))  # one text's tokens
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("kept"))  # one text's tokens
         .select("text_no", F.col("kept.token").alias("kept"))
     )
     filled = F.coalesce("kept", F.array().cast("array<string>")).alias("kept")
@@ -64,12 +64,14 @@ def word_vectors(
 ) -> Word2VecModel:
     """Fitted word vectors (M5).
 
-    Training is dealt into `tasks` partitions, by default one per five million tokens; more than
-    one changes the vectors, as each partition trains on its own share before they are averaged.
+    Training is dealt into `tasks` partitions, by default one per half million tokens up to the
+    number of cores. More than one changes the vectors, as each partition trains on its own share
+    before they are averaged.
     """
     if tasks is None:
         tokens = tokenized.agg(F.sum(F.size(column))).first()[0] or 0
-        tasks = int(max(1, -(-tokens // TOKENS_PER_TASK)))
+        cores = tokenized.sparkSession.sparkContext.defaultParallelism
+        tasks = int(max(1, min(-(-tokens // TOKENS_PER_TASK), cores)))
     return Word2Vec(
         inputCol=column,
         outputCol="vector",
@@ -107,7 +109,7 @@ def cluster_report(clustered: DataFrame, centers: Sequence[Iterable[float]], n:
     top = (
         token_report(clustered, n=n)
         .groupBy("cluster")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "word", "cnt"))).alias("ranked"))  # n entries at most
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "cnt"))).alias("ranked"))  # n entries at most
         .select("cluster", F.transform("ranked", lambda t: F.struct(t.word.alias("token"), t.cnt.alias("freq"))).alias("top_tokens"))
     )
     where = clustered.sparkSession.createDataFrame(

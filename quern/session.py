@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 #: A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Rows one task should produce when an operator multiplies its input.
+#: Rows one task should produce when an operator multiplies its input, and the most such tasks.
 ROWS_PER_TASK = 20_000_000
+MOST_TASKS = 20_000
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -86,8 +87,9 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
 
 def tasks_for(spark: SparkSession, rows: float, per_task: int = ROWS_PER_TASK) -> int:
-    """Partition count for a step that will produce `rows` rows."""
-    return int(max(spark.sparkContext.defaultParallelism, -(-rows // per_task)))
+    """Partition count for a step that will produce `rows` rows: never fewer than the cores."""
+    cores = spark.sparkContext.defaultParallelism
+    return int(max(cores, min(-(-rows // per_task), MOST_TASKS)))
 
 
 def fill_cores(df: DataFrame) -> DataFrame:

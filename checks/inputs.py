@@ -20,13 +20,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf: str, name: str, *columns: str, where: str = "true") -> DataFrame:
     """Columns of a table dealt over all cores when its file has fewer splits than that."""
-    return fill_cores(table(spark, sf, name).select(*columns))
+    return fill_cores(table(spark, sf, name).where(where).select(*columns))
 
 
 def english(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").where("lang = 'en'").select("text")
+    return spread_table(spark, sf, "documents", "text", where="lang = 'en'")
 
 
 def benchmark(spark: SparkSession, sf: str) -> DataFrame:

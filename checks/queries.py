@@ -33,7 +33,7 @@ def query(fn: Query) -> Query:
 
 @query
 def word_count(spark, sf):
-    return plans.word_count(inputs.table(spark, sf, "documents"), "text")
+    return plans.word_count(inputs.spread_table(spark, sf, "documents", "text"), "text")
 
 
 @query
@@ -329,7 +329,7 @@ def topk_diff(spark, sf):
 @query
 def kv_sink(spark, sf):
     path = new_path(spark, "word-count")
-    writers.write_key_values(plans.word_count(inputs.table(spark, sf, "documents"), "text"), path, "word", "cnt")
+    writers.write_key_values(plans.word_count(inputs.spread_table(spark, sf, "documents", "text"), "text"), path, "word", "cnt")
     return readers.read_key_values(spark, path)
 
 

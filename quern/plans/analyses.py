@@ -10,20 +10,20 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as tx
 from quern.operators import lloyd, postings, ratings, textml, words
-from quern.session import fill_cores, stage
+from quern.session import stage
 from quern.sources.readers import parse_postings
 
 
 def word_count(texts: DataFrame, column: str = "value", ordered: bool = True) -> DataFrame:
     """Frequency of every blank-delimited word, in word order: `word, cnt`."""
-    found = words.explode_words(fill_cores(texts.select(column)), tx.whitespace_words(F.col(column)))
+    found = words.explode_words(texts, tx.whitespace_words(F.col(column)))
     counts = words.count_words(found)
     return counts.orderBy("word") if ordered else counts
 
 
 def corpus_words(texts: DataFrame, stops: words.Words | None = None, column: str = "value") -> DataFrame:
     """The space-delimited words of a corpus without its stop words: `word`."""
-    found = words.explode_words(fill_cores(texts.select(column)), tx.space_words(F.col(column)))
+    found = words.explode_words(texts, tx.space_words(F.col(column)))
     return found if stops is None else words.drop_stop_words(found, stops)
 
 
@@ -101,7 +101,7 @@ class TextClusters:
 
 def clean_tokens(texts: DataFrame, stops: words.Words, column: str = "text") -> DataFrame:
     """Adds `tokens` and `kept` to short texts."""
-    return textml.remove_stop_words(textml.tokenize(fill_cores(texts), column), stops)
+    return textml.remove_stop_words(textml.tokenize(texts, column), stops)
 
 
 def cluster_texts(

@@ -92,12 +92,13 @@ def tasks_for(spark: SparkSession, rows: float, per_task: int = ROWS_PER_TASK) -
     return int(max(cores, min(-(-rows // per_task), MOST_TASKS)))
 
 
-def fill_cores(df: DataFrame) -> DataFrame:
-    """Spread an input that has fewer splits than the session has cores.
+def fill_cores(scan: DataFrame) -> DataFrame:
+    """Spread a file scan that has fewer splits than the session has cores.
 
-    Tokenising is bound by the processor, so a handful of splits would leave cores idle. Inputs of
-    more than 64 splits are left alone: moving whole texts would then cost more than it gains.
+    Parsing and tokenising are bound by the processor, so a handful of splits would leave cores
+    idle. Inputs of more than 64 splits are left alone: moving them would cost more than it gains.
+    Only for plain scans, as counting the splits of anything else may run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores and splits <= 64 else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    return scan.repartition(cores) if splits < cores and splits <= 64 else scan

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as tx
 from quern.operators.grouping import large_groups, piece_of, replicate, with_pieces
-from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, measured_bytes, stage, tasks_for
+from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, row_bytes, stage, tasks_for
 
 #: Most items of one user that meet in one join group; more are dealt into pieces.
 ITEMS_PER_PIECE = 4096
@@ -95,29 +95,32 @@ def _multiply(
     `matrix` holds `item_a, item_b, cnt, own`; `own` is 1 on the diagonal, whose `cnt` is 0.
     """
     spark = rated.sparkSession
-    raters = rated.groupBy("item_id").agg(F.count(F.lit(1)).alias("raters"))
-    widths = matrix.groupBy(F.col("item_a").alias("item_id")).agg(F.count(F.lit(1)).alias("width"))
-    products = stage(
-        raters.join(widths, "item_id").select(
-            "item_id", (F.col("raters").cast("double") * F.col("width")).alias("products")
-        ),
-        "products",
-    )
-    work = products.agg(F.sum("products")).first()[0] or 0
     matrix = matrix.withColumnRenamed("item_a", "item_id")
+    widths = matrix.groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("width"), F.sum(row_bytes(matrix)).alias("size")
+    )
+    widest, size = widths.agg(F.max("width"), F.sum("size")).first()
 
-    if measured_bytes(matrix) <= broadcast_bytes:
+    if (size or 0) <= broadcast_bytes:
         # A user with n items puts n(n-1) entries into the matrix, so a matrix of this size also
         # bounds every user's summed rows. Dealt by user, they need no second shuffle for the sum,
         # and small tasks keep its hash table in the processor's cache.
         rows = matrix.groupBy("item_id").agg(F.collect_list(F.struct("item_b", "cnt", "own")).alias("row"))
         dealt = rated
         if product_decimals is None:
-            dealt = rated.repartition(tasks_for(spark, work, PRODUCTS_PER_USER_TASK), "user_id")
+            tasks = tasks_for(spark, rated.count() * (widest or 0), PRODUCTS_PER_USER_TASK)
+            dealt = rated.repartition(tasks, "user_id")
         joined = dealt.join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
     else:
+        raters = rated.groupBy("item_id").agg(F.count(F.lit(1)).alias("raters"))
+        products = stage(
+            raters.join(widths, "item_id").select(
+                "item_id", (F.col("raters").cast("double") * F.col("width")).alias("products")
+            ),
+            "products",
+        )
         sizes = large_groups(products, "item_id", F.ceil(F.col("products") / rows_per_task))
-        tasks = tasks_for(spark, work, rows_per_task)
+        tasks = tasks_for(spark, products.agg(F.sum("products")).first()[0] or 0, rows_per_task)
         dealt = with_pieces(rated, "item_id", sizes).withColumn("piece", piece_of("user_id"))
         copied = replicate(with_pieces(matrix, "item_id", sizes), "piece")
         joined = dealt.drop("pieces").repartition(tasks, "item_id", "piece").join(

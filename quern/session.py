@@ -7,14 +7,14 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: Rows one task should produce when an operator multiplies its input, and the most such tasks.
-ROWS_PER_TASK = 20_000_000
+ROWS_PER_TASK = 5_000_000
 MOST_TASKS = 20_000
 
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -72,13 +72,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """In-memory size estimate from a count and the real string lengths (one small aggregate)."""
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated in-memory size of a row: a fixed part per column and the real string lengths."""
     width = F.lit(32 + 16 * len(df.columns))
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return int(df.agg(F.sum(width.cast("long"))).first()[0] or 0)
+    return width.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """In-memory size estimate of a whole DataFrame (one small aggregate)."""
+    return int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

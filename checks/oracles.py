@@ -303,6 +303,23 @@ SELECT *, CASE WHEN expected = 0 THEN 'unexpected count'
                ELSE 'words differ' END AS status
 FROM g"""
 
+ORACLES["result_verdict"] = f"""
+WITH {_RATINGS}, turned AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM ratings),
+back AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM turned)
+SELECT CASE WHEN NOT EXISTS (SELECT * FROM ratings EXCEPT ALL SELECT * FROM turned)
+             AND NOT EXISTS (SELECT * FROM turned EXCEPT ALL SELECT * FROM ratings) THEN 'same'
+            WHEN NOT EXISTS (SELECT * FROM ratings EXCEPT ALL SELECT * FROM back)
+             AND NOT EXISTS (SELECT * FROM back EXCEPT ALL SELECT * FROM ratings) THEN 'swapped'
+            ELSE 'different' END AS verdict"""
+
+ORACLES["order_breaks"] = f"""
+WITH {_LINES}, {_TOKENS},
+ranked AS (
+  SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) AS INTEGER) AS rank, cnt
+  FROM counts WHERE lang = 'en' QUALIFY rank <= 50),
+raised AS (SELECT rank, CASE WHEN rank % 5 = 0 THEN cnt + 100 ELSE cnt END AS cnt FROM ranked)
+SELECT * FROM (SELECT rank, cnt, lag(cnt) OVER (ORDER BY rank) AS previous FROM raised) WHERE cnt > previous"""
+
 
 # ---- sinks ---------------------------------------------------------------------------------
 

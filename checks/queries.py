@@ -323,6 +323,20 @@ def topk_diff(spark, sf):
     )
 
 
+@query
+def result_verdict(spark, sf):
+    scores = inputs.ratings(spark, sf).withColumnRenamed("rating", "score")
+    turned = scores.select(F.col("item_id").alias("user_id"), F.col("user_id").alias("item_id"), "score")
+    return spark.createDataFrame([(compare.result_verdict(scores, turned),)], "verdict string")
+
+
+@query
+def order_breaks(spark, sf):
+    lang_and_rank = textml.token_report(_clean(spark, sf), "lang", n=50).where("lang = 'en'")
+    raised = F.when(F.col("rank") % 5 == 0, F.col("cnt") + 100).otherwise(F.col("cnt"))
+    return compare.order_breaks(lang_and_rank.withColumn("cnt", raised))
+
+
 # ---- sinks, read back ----------------------------------------------------------------------
 
 

@@ -58,3 +58,13 @@ def order_breaks(ranked: DataFrame, position: str = "rank") -> DataFrame:
     """Positions whose count is higher than the one before: `position, cnt, previous`."""
     before = ranked.select((F.col(position) + 1).alias(position), F.col("cnt").alias("previous"))
     return ranked.select(position, "cnt").join(before, position).where("cnt > previous")
+
+
+def top_k_verdict(expected: DataFrame, ranked: DataFrame, position: str = "rank") -> str:
+    """'passed', 'wrong order', 'too long' or 'wrong words' for a ranked top-K result."""
+    if not order_breaks(ranked, position).isEmpty():
+        return "wrong order"
+    found = {r["status"] for r in top_k_diff(expected, ranked).select("status").distinct().collect()} - {"ok"}
+    if not found:
+        return "passed"
+    return "too long" if found == {"unexpected count"} else "wrong words"

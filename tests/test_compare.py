@@ -45,3 +45,16 @@ def test_each_kind_of_difference(spark):
 def test_order_breaks(spark):
     ranked = spark.createDataFrame([(1, 9), (2, 9), (3, 4), (4, 6)], "rank int, cnt bigint")
     assert [tuple(r) for r in compare.order_breaks(ranked).collect()] == [(4, 6, 4)]
+
+
+def test_top_k_verdict(spark):
+    expected = top(spark, (9, "a"), (8, "b"), (8, "c"))
+
+    def verdict(*rows):
+        return compare.top_k_verdict(expected, spark.createDataFrame(list(rows), "rank int, cnt bigint, word string"))
+
+    assert verdict((1, 9, "a"), (2, 8, "c")) == "passed"
+    assert verdict((1, 8, "c"), (2, 9, "a")) == "wrong order"
+    assert verdict((1, 9, "a"), (2, 8, "c"), (3, 7, "d")) == "too long"
+    assert verdict((1, 9, "x"), (2, 8, "c")) == "wrong words"
+    assert verdict((1, 9, "a")) == "wrong words"

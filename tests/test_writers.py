@@ -1,7 +1,8 @@
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from quern.session import measured_bytes, shared_folder, stage
+from quern import session as quern_session
+from quern.session import fill_cores, measured_bytes, shared_folder, stage, tasks_for
 from quern.sources import readers, writers
 
 
@@ -55,3 +56,41 @@ def test_measured_bytes_follow_the_strings(spark):
     long = spark.createDataFrame([("a" * 1000,)] * 10, "s string")
     assert measured_bytes(long) - measured_bytes(short) == 9990
     assert measured_bytes(short.where("s = 'b'")) == 0
+
+
+class _Conf:
+    def __init__(self, **settings):
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+class _Session:
+    class sparkContext:
+        applicationId = "app-1"
+
+    def __init__(self, settings):
+        self.conf = _Conf(**settings)
+
+
+def test_shared_folder_is_the_clusters_own_and_never_a_machine_local_one():
+    folder = _Session({"spark.checkpoint.dir": "s3://bucket/ck/", "spark.master": "yarn"})
+    assert shared_folder(folder) == "s3://bucket/ck"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session({"spark.master": "yarn"}))
+    local = _Session({"spark.master": "local[2]"})
+    assert shared_folder(local) == shared_folder(local) != quern_session.shared_folder(folder)
+
+
+def test_task_counts_are_bounded(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks_for(spark, 0) == cores
+    assert tasks_for(spark, 10 * cores, per_task=1) == 10 * cores
+    assert tasks_for(spark, 1e18) == quern_session.MOST_TASKS
+
+
+def test_only_narrow_scans_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert fill_cores(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    assert fill_cores(spark.range(100, numPartitions=65)).rdd.getNumPartitions() == 65

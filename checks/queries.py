@@ -142,7 +142,7 @@ def drop_seen(spark, sf):
 
 
 def _postings(spark, sf):
-    return readers.parse_postings(inputs.posting_lines(spark, sf))
+    return stage(readers.parse_postings(inputs.posting_lines(spark, sf)), "postings")
 
 
 def _points(spark, sf):
@@ -161,7 +161,7 @@ def _fixed_fit(spark, sf, iterations):
 
 @query
 def postings_parse(spark, sf):
-    return _postings(spark, sf)
+    return readers.parse_postings(inputs.posting_lines(spark, sf))
 
 
 @query

@@ -13,8 +13,13 @@ Words = DataFrame | Iterable[str]
 
 
 def explode_words(df: DataFrame, words: Column, *keep: str) -> DataFrame:
-    """One row per word, the empty one left out: `keep…, word`."""
-    return df.select(*keep, F.explode(words).alias("word")).where(F.col("word") != "")
+    """One row per word, the empty one left out: `keep…, word`.
+
+    The coalesce keeps Spark from testing the array's size in a filter below, which would compute a
+    tokenised column once more for every test.
+    """
+    none = F.array().cast("array<string>")
+    return df.select(*keep, F.explode(F.coalesce(words, none)).alias("word")).where(F.col("word") != "")
 
 
 def drop_stop_words(words: DataFrame, stops: Words, column: str = "word") -> DataFrame:

@@ -59,8 +59,13 @@ def posting_points(
     lines: DataFrame, topics: Sequence[str] = postings.TOPICS, spread: int = postings.TOPIC_SPREAD,
     column: str = "value", mode: str = "strict",
 ) -> DataFrame:
-    """`id, x, y` points of the answered questions with a known topic."""
-    return postings.topic_points(postings.best_answers(parse_postings(lines, column, mode)), topics, spread)
+    """`id, x, y` points of the answered questions with a known topic.
+
+    Questions and answers are both read from the parsed lines, so these are written as a stage table:
+    the text is then split once instead of once per filter and projection on either side.
+    """
+    parsed = stage(parse_postings(lines, column, mode), "postings")
+    return postings.topic_points(postings.best_answers(parsed), topics, spread)
 
 
 def cluster_postings(

@@ -25,6 +25,7 @@ HISTORY_SCHEMA = (
     "iter int, idx int, old_x bigint, old_y bigint, new_x bigint, new_y bigint, "
     "moved double, total_moved double, converged boolean"
 )
+SUMMARY_SCHEMA = "x bigint, y bigint, size bigint, median bigint, average bigint"
 #: Up to this many distinct points an iteration is too short to be worth compiling or shuffling.
 FEW_POINTS = 100_000
 #: Rows with equal leading bits form one bin of the median search; a bin has at most 2**16 values.
@@ -122,10 +123,12 @@ def fit(
     One Spark job per iteration over the weighted points; only the centres reach the driver. A
     counted small set of distinct points takes one partition, so its iterations do not shuffle.
     """
+    points = points.select("x", "y", "w")
     if not centers:
+        if points.isEmpty():
+            return Fit([], converged=True)
         raise ValueError("k-means needs at least one centre")
     state = Fit(list(centers))
-    points = points.select("x", "y", "w")
     many = points.count() > FEW_POINTS
     points = (points if many else points.coalesce(1)).persist()
     try:
@@ -183,6 +186,8 @@ def integer_median(counts: DataFrame, group: str, value: str = "y", count: str =
 
 def summary(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
     """`x, y, size, median, average` of every non-empty cluster, in that order."""
+    if not centers:
+        return points.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
     counts = assign(points, centers).groupBy("idx", "y").agg(F.sum("w").alias("n"))
     sizes = counts.groupBy("idx").agg(F.sum("n").alias("size"), F.expr("sum(y * n) div sum(n)").alias("average"))
     places = F.broadcast(centers_df(points.sparkSession, centers))  # one row per centre

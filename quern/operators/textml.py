@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.operators.words import Words, count_words, explode_words, top_n_per_group
 from quern.session import stage
-from quern.sources.readers import WORD_LIST_LIMIT, as_word_list
+from quern.sources.readers import WORD_LIST_LIMIT, as_word_list, word_frame
 
 # Number of clusters, length of the vectors, least count of a word, tokens reported.
 CLUSTERS = 19
@@ -34,13 +34,11 @@ def remove_stop_words(tokenized: DataFrame, stops: Words, limit: int = WORD_LIST
 
     A list beyond the word-list limit stays distributed: tokens are then joined instead of filtered.
     """
+    stops = stops if isinstance(stops, DataFrame) else list(stops)
     found = as_word_list(stops, limit)
     if found is not None:
         return StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=found).transform(tokenized)
-    listed = stops if isinstance(stops, DataFrame) else tokenized.sparkSession.createDataFrame(
-        [(s,) for s in stops], "word string"
-    )
-    listed = listed.select(F.lower(listed.columns[0]).alias("word")).distinct()
+    listed = word_frame(tokenized.sparkSession, stops).select(F.lower("word").alias("word")).distinct()
     numbered = stage(tokenized.withColumn("text_no", F.monotonically_increasing_id()), "numbered")
     kept = (
         numbered.select("text_no", F.posexplode("tokens").alias("pos", "token"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.sources.readers import as_word_list
+from quern.sources.readers import as_word_list, word_frame
 
 Words = DataFrame | Iterable[str]
 
@@ -27,12 +27,10 @@ def drop_stop_words(words: DataFrame, stops: Words, column: str = "word") -> Dat
 
     A list within the word-list limit is broadcast; a longer one is joined as Catalyst sees fit.
     """
+    stops = stops if isinstance(stops, DataFrame) else list(stops)
     found = as_word_list(stops)
     if found is None:
-        listed = stops if isinstance(stops, DataFrame) else words.sparkSession.createDataFrame(
-            [(s,) for s in stops], "word string"
-        )
-        listed = listed.toDF(column).distinct()
+        listed = word_frame(words.sparkSession, stops, column)
     elif not found:
         return words
     else:

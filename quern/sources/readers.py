@@ -135,6 +135,13 @@ def as_word_list(words: DataFrame | Iterable[str], limit: int = WORD_LIST_LIMIT)
     return found if len(found) <= limit else None
 
 
+def word_frame(spark: SparkSession, words: DataFrame | Iterable[str], column: str = "word") -> DataFrame:
+    """The distinct words as a DataFrame."""
+    if not isinstance(words, DataFrame):
+        words = spark.createDataFrame([(w,) for w in words], "word string")
+    return words.select(F.col(words.columns[0]).alias(column)).distinct()
+
+
 def union_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Bag union of same-shaped inputs with a `source` column naming each."""
     if not sources:

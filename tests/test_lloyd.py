@@ -148,6 +148,17 @@ def test_cluster_postings_end_to_end(spark, texts, init):
     )
 
 
+@pytest.mark.parametrize("init", ["sample", "ordered"])
+def test_no_points_give_no_clusters(texts, init):
+    found = plans.cluster_postings(texts("1,1,,0,Security"), init=init)
+    assert found.summary.collect() == [] and found.history.collect() == [] and found.fit.centers == []
+
+
+def test_summary_types(spark):
+    frame = lloyd.summary(weighted(spark, [(0, 0)]), [(0, 0)])
+    assert ", ".join(f"{n} {t}" for n, t in frame.dtypes) == lloyd.SUMMARY_SCHEMA
+
+
 def test_refusals(spark, texts):
     with pytest.raises(ValueError):
         lloyd.fit(weighted(spark, [(0, 0)]), [])

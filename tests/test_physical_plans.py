@@ -1,6 +1,7 @@
 """The shapes the plans must keep at scale."""
 import pytest
 
+from quern.operators import postings as P
 from quern.operators import ratings as R
 from quern.operators import words
 from quern.plans.analyses import word_count
@@ -24,6 +25,37 @@ def totals(spark):
     return stage(R.rating_totals(spark.createDataFrame(rows, "user_id string, item_id string, rating double")), "t")
 
 
+@pytest.fixture
+def small_skew_limits(spark, no_auto_broadcast):
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_a_question_with_most_answers_is_split(spark, small_skew_limits):
+    asked = spark.range(1, 201).selectExpr(
+        "1 posting_type", "id", "cast(null as bigint) parent_id", "0 score", "'Security' tag"
+    )
+    given = spark.range(0, 40_000, 1, 8).selectExpr(
+        "2 posting_type", "id + 1000 as id", "if(id % 3 = 0, 7, id % 200 + 1) as parent_id",
+        "cast(id % 90 as int) score", "cast(null as string) tag"
+    )
+    joined = P.question_answers(asked.unionByName(given))
+    assert joined.count() == 40_000
+    joined.collect()
+    assert "SortMergeJoin(skew=true)" in plan(joined)
+
+
 def test_words_are_combined_before_their_one_shuffle(texts):
     text = plan(word_count(texts("a b"), ordered=False))
     assert text.count("Exchange hashpartitioning(word") == 1

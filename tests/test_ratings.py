@@ -62,6 +62,10 @@ def test_zero_scores_are_kept_and_lonely_items_give_nothing(spark):
     assert as_set(plans.recommend_scores(frame(spark, rows))) == [("u1", "b", 0.0)]
 
 
+def test_no_ratings_give_no_scores(spark):
+    assert plans.recommend_scores(frame(spark, [])).collect() == []
+
+
 def test_repeated_ratings_multiply(spark):
     rows = [("u1", "a", 1.0), ("u1", "a", 2.0), ("u1", "b", 1.0), ("u2", "a", 1.0)]
     totals = stage(R.rating_totals(frame(spark, rows)), "t")

@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import map_texts
+
 #: Least, normal and most bytes of a chunk.
 LEAST, NORMAL, MOST = 16, 48, 192
 #: A position ends a chunk when so many high bits of its hash are 0: before the normal size, and after it.
@@ -108,9 +110,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             prints = [fingerprint(c) for c in chunk_sets(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.string())], ["doc_id", "fingerprint"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, fingerprint string"
-    )
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_texts(rows, run, "doc_id long, fingerprint string")
 
 
 def edited(text: str, following: str) -> str:
@@ -204,4 +205,4 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             yield compared(held)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return _with_next(docs, doc_id, text).mapInArrow(run, schema)
+    return map_texts(_with_next(docs, doc_id, text), run, schema)

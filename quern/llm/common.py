@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one group that are put in order in one task; larger groups are dealt into more buckets.
 ROWS_PER_BUCKET = 4096
+#: Most texts in one Arrow batch.
+TEXTS_PER_BATCH = 512
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,6 +31,19 @@ def fold_of(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(folds))
 
 
+def map_texts(rows: DataFrame, run, schema) -> DataFrame:
+    """`rows.mapInArrow`, with no more than `TEXTS_PER_BATCH` rows sent to Python at once.
+
+    Spark's own default is 10,000 rows, which can be very much text. The session's setting is lowered; results
+    do not depend on it.
+    """
+    setting, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", rows.sparkSession.conf
+    now = int(conf.get(setting))
+    if now <= 0 or now > TEXTS_PER_BATCH:
+        conf.set(setting, str(TEXTS_PER_BATCH))
+    return rows.mapInArrow(run, schema)
+
+
 def raw_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a text column; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

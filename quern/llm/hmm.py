@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import numbered, raw_bytes
+from quern.llm.common import map_texts, numbered, raw_bytes
 from quern.session import stage
 
 #: Tokens that are looked up in a broadcast table; all others are joined. And levels of a count's logarithm.
@@ -84,7 +84,7 @@ def count_tokens(texts: DataFrame, text: str = "text") -> DataFrame:
             counts[END] = ends
         yield sent()
 
-    return texts.select(text).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    return map_texts(texts.select(text), run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 def vocabulary(counts: DataFrame, head_tokens: int = HEAD_TOKENS) -> Vocabulary:
@@ -306,39 +306,36 @@ def _encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
         constants[SYMBOLS - CLASSES :] = vocabulary.class_constants()
         get = index.get
         names = ["doc_id", "held_out", "row", "n_tokens", "n_known", "logs", "own", "divided", "symbols", "rare", "times"]
-        for whole, numbers in numbered(batches):
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                out: list[list] = [[] for _ in names[3:]]
-                for value in raw_bytes(batch.column(2)):
-                    tokens = tokens_of(value)
-                    at = np.array([get(t, -1) for t in tokens], dtype=np.int64)
-                    missing = np.flatnonzero(at < 0)
-                    codes = symbol[at]
-                    rare: Counter[bytes] = Counter()
-                    if len(missing):
-                        words = [tokens[i] for i in missing.tolist()]
-                        codes[missing] = [SYMBOLS - CLASSES + class_of(w) for w in words]
-                        rare.update(words)
-                    found = at >= 0
-                    each = np.where(found, logs[at], 0.0)
-                    values = (
-                        len(tokens), len(tokens) - len(missing), float(each.sum()), float(each[found & (at < own)].sum()),
-                        float(constants[codes].sum()), codes.tobytes(), list(rare), list(rare.values()),
-                    )
-                    for column, x in zip(out, values, strict=True):
-                        column.append(x)
-                rows = numbers[start : start + batch.num_rows]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(rows, pa.int64()), *(pa.array(v, t) for v, t in zip(out, types, strict=True))], names
+        for batch, numbers in numbered(batches):
+            out: list[list] = [[] for _ in names[3:]]
+            for value in raw_bytes(batch.column(2)):
+                tokens = tokens_of(value)
+                at = np.array([get(t, -1) for t in tokens], dtype=np.int64)
+                missing = np.flatnonzero(at < 0)
+                codes = symbol[at]
+                rare: Counter[bytes] = Counter()
+                if len(missing):
+                    words = [tokens[i] for i in missing.tolist()]
+                    codes[missing] = [SYMBOLS - CLASSES + class_of(w) for w in words]
+                    rare.update(words)
+                found = at >= 0
+                each = np.where(found, logs[at], 0.0)
+                values = (
+                    len(tokens), len(tokens) - len(missing), float(each.sum()), float(each[found & (at < own)].sum()),
+                    float(constants[codes].sum()), codes.tobytes(), list(rare), list(rare.values()),
                 )
+                for column, x in zip(out, values, strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(numbers, pa.int64()), *(pa.array(v, t) for v, t in zip(out, types, strict=True))], names
+            )
 
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
     schema = (
         "doc_id long, held_out boolean, row long, n_tokens long, n_known long, logs double, own double, divided double,"
         " symbols binary, rare array<binary>, times array<long>"
     )
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
 
 
 def score_texts(docs: DataFrame, held_out: Column, rounds: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

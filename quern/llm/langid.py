@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import map_texts
+
 #: The model is fitted on about so many labelled documents of at most so many bytes, alike for every language,
 #: of at most so many languages; so many of the documents are landmarks.
 FIT_DOCUMENTS = 3000
@@ -139,6 +141,5 @@ def identify(docs: DataFrame, model: LanguageModel | None, doc_id: str = "doc_id
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"]
             )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double"
-    )
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_texts(rows, run, "doc_id long, lang_pred string, score double")

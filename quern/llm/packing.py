@@ -11,13 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import numbered, ranked, raw_bytes
+from quern.llm.common import map_texts, numbered, ranked, raw_bytes
 from quern.session import stage
 
 #: Words whose ids a worker keeps, in two generations: when the young one is full it becomes the old one.
 CACHED_WORDS = 400_000
-#: Documents whose words are in memory at once.
-ROWS_AT_ONCE = 512
 
 _WORKER: dict[str, WordIds] = {}
 
@@ -87,13 +85,6 @@ def _word_ids(path: str) -> WordIds:
     return _WORKER[path]
 
 
-def _slices(batches):
-    """Batches with their row numbers, `ROWS_AT_ONCE` rows at a time."""
-    for batch, rows in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE), rows[start : start + ROWS_AT_ONCE]
-
-
 def tokenise(docs: DataFrame, path: str, room: int, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id, piece, start, length, ids_crc32, row`: the pieces of every document, one row each.
 
@@ -103,7 +94,7 @@ def tokenise(docs: DataFrame, path: str, room: int, end_id: int, doc_id: str = "
 
     def cut(batches):
         words = _word_ids(path)
-        for batch, rows in _slices(numbered(batches)):
+        for batch, rows in numbered(batches):
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "row": []}
             keys = batch.column(0).to_pylist()
             for key, row, ids in zip(keys, rows, words.of(raw_bytes(batch.column(1))), strict=True):
@@ -116,7 +107,7 @@ def tokenise(docs: DataFrame, path: str, room: int, end_id: int, doc_id: str = "
 
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
+    return map_texts(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), cut, schema)
 
 
 def best_two_fit(counts: dict[int, int], room: int) -> list[tuple[list[int], int]]:

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import map_texts
+
 #: Bytes up to which one compressed layer is unwrapped. A larger one is reported, not scanned.
 LAYER_BYTES = 1 << 26
 
@@ -249,7 +251,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, complete boolean"
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return map_texts(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 def redact(docs: DataFrame, marker: str = "[SECRET]", text: str = "text", most: int = LAYER_BYTES) -> DataFrame:
@@ -270,7 +272,7 @@ def redact(docs: DataFrame, marker: str = "[SECRET]", text: str = "text", most:
                 columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return map_texts(docs, clean, docs.schema)
 
 
 def _redacted(text: str | None, marker: str, most: int) -> str | None:

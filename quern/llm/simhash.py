@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import raw_bytes
+from quern.llm.common import map_texts, raw_bytes
 from quern.session import broadcast_if_small, stage
 
 BITS = 64
@@ -78,7 +78,8 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, doc_id: str =
             found = fingerprints_of(raw_bytes(batch.column(1)), words, seed)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(hashed, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_texts(rows, hashed, "doc_id long, fp long")
 
 
 class _Sets:
@@ -289,7 +290,7 @@ def keep_first(docs: DataFrame, words: int = 4, errors: int = 4, seed: int = 42,
             fps = fingerprints_of(raw_bytes(batch.column(batch.schema.names.index(text))), words, seed)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*batch.schema.names, "_fp"])
 
-    keyed = docs.mapInArrow(with_key, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
+    keyed = map_texts(docs, with_key, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
     kept = found.where("doc_id <=> component_id").select(
         F.col("doc_id").alias("_id"), F.conv("fingerprint", 16, -10).cast("long").alias("_kept"), "group"
     ).distinct()

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import map_texts
+
 #: The model is fitted on at most so many labelled documents of each class, of at most so many bytes each.
 FIT_DOCUMENTS = 3000
 FIT_BYTES = 32_768
@@ -331,7 +333,8 @@ def score_texts(docs: DataFrame, model: ToxicModel | None, doc_id: str = "doc_id
             scores = np.where(scores < 1e-9, 0.0, scores)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_texts(rows, run, "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: ToxicModel | None, text: str = "text", limit: float = 0.5) -> DataFrame:
@@ -344,4 +347,4 @@ def keep_clean(docs: DataFrame, model: ToxicModel | None, text: str = "text", li
             keep = np.ones(len(texts), dtype=bool) if sent.value is None else sent.value.scores(texts) < limit
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)

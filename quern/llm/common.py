@@ -31,6 +31,14 @@ def fold_of(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(folds))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_texts(rows: DataFrame, run, schema) -> DataFrame:
     """`rows.mapInArrow`, with no more than `TEXTS_PER_BATCH` rows sent to Python at once.
 

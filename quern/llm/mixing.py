@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import ranked
+from quern.llm.common import fresh, ranked
 from quern.session import broadcast_if_small, stage
 
 #: Budget left after the proportional part that the dynamic programme fills exactly.
@@ -55,14 +55,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take so that their lengths add up to `budget`, or as close below as can be.
 
-    Every length first gives its share, rounded down, and the longest that fit bring the budget left below
-    `EXACT_BUDGET`; a bounded-knapsack dynamic programme over sets of reachable sums fills that. `lengths` are
+    Every length first gives its share of all but half of `EXACT_BUDGET`, rounded down, and the longest that fit
+    bring the budget left below `EXACT_BUDGET`; a bounded-knapsack dynamic programme over sets of reachable sums fills that. `lengths` are
     positive and differ. Taken are the same for the same counts.
     """
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
-    taken = (counts.astype(object) * budget // total).astype(np.int64)
+    taken = (counts.astype(object) * max(0, budget - EXACT_BUDGET // 2) // total).astype(np.int64)
     left = budget - int((lengths * taken).sum())
     for i in np.argsort(-lengths):
         if left < EXACT_BUDGET:
@@ -131,6 +131,7 @@ def mix(
 
 def repeat(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` as often as the mix takes them, with their columns; rows of one id are taken alike."""
-    copies = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    met = docs.join(broadcast_if_small(copies), F.col(doc_id).cast("long").eqNullSafe(F.col("_id")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_id", "_copies", "_copy")
+    key, times, copy = (fresh(docs, n) for n in ("_id", "_copies", "_copy"))
+    copies = mixed.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times)).where(F.col(times) > 0)
+    met = docs.join(broadcast_if_small(copies), docs[doc_id].cast("long").eqNullSafe(F.col(key)))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times, copy)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import map_texts, raw_bytes
+from quern.llm.common import fresh, map_texts, raw_bytes
 from quern.session import broadcast_if_small, stage
 
 BITS = 64
@@ -280,19 +280,21 @@ def keep_first(docs: DataFrame, words: int = 4, errors: int = 4, seed: int = 42,
     repeated = stage(found.groupBy("doc_id").agg(again.alias("again")).where("again or doc_id is null").select("doc_id"), "repeated")
     removed = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
     if repeated.isEmpty():
-        gone = removed.select(F.col("doc_id").alias("_gone"))
-        return docs.join(broadcast_if_small(gone), F.col(doc_id) == F.col("_gone"), "left_anti")
+        key = fresh(docs, "_gone")
+        gone = removed.select(F.col("doc_id").alias(key))
+        return docs.join(broadcast_if_small(gone), docs[doc_id] == F.col(key), "left_anti")
     # Rows are told apart by id and fingerprint.
     names = docs.columns
+    fp, key, kept_fp, group = (fresh(docs, n) for n in ("_fp", "_id", "_kept", "_group"))
 
     def with_key(batches):
         for batch in batches:
             fps = fingerprints_of(raw_bytes(batch.column(batch.schema.names.index(text))), words, seed)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*batch.schema.names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*batch.schema.names, fp])
 
-    keyed = map_texts(docs, with_key, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
+    keyed = map_texts(docs, with_key, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
     kept = found.where("doc_id <=> component_id").select(
-        F.col("doc_id").alias("_id"), F.conv("fingerprint", 16, -10).cast("long").alias("_kept"), "group"
+        F.col("doc_id").alias(key), F.conv("fingerprint", 16, -10).cast("long").alias(kept_fp), F.col("group").alias(group)
     ).distinct()
-    on = keyed[doc_id].cast("long").eqNullSafe(kept["_id"]) & (keyed["_fp"] == kept["_kept"])
-    return keyed.join(kept, on).dropDuplicates(["_id", "group"]).select(*[keyed[n] for n in names])
+    on = keyed[doc_id].cast("long").eqNullSafe(kept[key]) & (keyed[fp] == kept[kept_fp])
+    return keyed.join(kept, on).dropDuplicates([key, group]).select(*[keyed[n] for n in names])

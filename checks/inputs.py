@@ -25,8 +25,8 @@ def spread_table(spark: SparkSession, sf: str, name: str, *columns: str, where:
     return fill_cores(table(spark, sf, name).where(where).select(*columns))
 
 
-def english(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_table(spark, sf, "documents", "text", where="lang = 'en'")
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread_table(spark, sf, "documents", "text")
 
 
 def benchmark(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,12 +21,12 @@ def _corpus(name: str, source: str) -> str:
     return f"""{name} AS (
   SELECT word, count(*) AS cnt
   FROM (SELECT unnest(string_split(line, ' ')) AS word
-        FROM (SELECT unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM {source}))
+        FROM (SELECT unnest(regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n')) AS line FROM {source}))
   WHERE word <> '' AND word NOT IN (SELECT w FROM (VALUES {_STOPS}) AS s(w))
   GROUP BY word)"""
 
 
-_ENGLISH = _corpus("l", "(SELECT text FROM documents WHERE lang = 'en')")
+_DOCUMENTS = _corpus("l", "documents")
 _BENCHMARK = _corpus("r", "benchmark")
 _CHAT = _corpus("c", "conversations")
 
@@ -35,10 +35,10 @@ SELECT word, count(*) AS cnt
 FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]')) AS word FROM documents)
 WHERE word <> '' GROUP BY word"""
 
-ORACLES["corpus_word_count"] = f"WITH {_ENGLISH} SELECT word, cnt FROM l"
+ORACLES["corpus_word_count"] = f"WITH {_DOCUMENTS} SELECT word, cnt FROM l"
 
 ORACLES["common_words"] = f"""
-WITH {_ENGLISH}, {_BENCHMARK}
+WITH {_DOCUMENTS}, {_BENCHMARK}
 SELECT least(l.cnt, r.cnt) AS cnt, word FROM l JOIN r USING (word)"""
 
 ORACLES["topk_common_words"] = ORACLES["common_words"] + " ORDER BY cnt DESC, word LIMIT 20"
@@ -49,7 +49,7 @@ UNION ALL SELECT item_id, text, 'benchmark' FROM benchmark
 UNION ALL SELECT conv_id, text, 'conversations' FROM conversations"""
 
 ORACLES["text_lines"] = """
-SELECT doc_id, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS value FROM documents"""
+SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n')) AS value FROM documents WHERE text <> ''"""
 
 ORACLES["kv_scan"] = """
 SELECT conv_id || ':' || turn AS key,
@@ -77,20 +77,20 @@ ORACLES["ratings_parse"] = f"WITH {_RATINGS} SELECT * FROM ratings"
 
 ORACLES["user_preferences"] = f"""
 WITH {_RATINGS}
-SELECT user_id, 0 AS piece, string_agg(item_id || ':' || rating, ',' ORDER BY item_id) AS prefs
-FROM ratings GROUP BY user_id"""
+SELECT user_id, CAST((n - 1) // 20 AS INTEGER) AS piece, string_agg(item_id || ':' || rating, ',' ORDER BY item_id) AS prefs
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS n FROM ratings) GROUP BY user_id, piece"""
 
 ORACLES["item_raters"] = f"""
 WITH {_RATINGS}
-SELECT item_id, 0 AS piece, string_agg(user_id || ':' || rating, ',' ORDER BY user_id) AS raters
-FROM ratings GROUP BY item_id"""
+SELECT item_id, CAST((n - 1) // 20 AS INTEGER) AS piece, string_agg(user_id || ':' || rating, ',' ORDER BY user_id) AS raters
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY user_id) AS n FROM ratings) GROUP BY item_id, piece"""
 
 ORACLES["cooccurrence_counts"] = f"WITH {_RATINGS}, {_MATRIX} SELECT * FROM cooc"
 
 ORACLES["cooccurrence_rows"] = f"""
 WITH {_RATINGS}, {_MATRIX}
-SELECT item_a, 0 AS piece, string_agg(item_b || ':' || cnt, ',' ORDER BY item_b) AS entries
-FROM cooc GROUP BY item_a"""
+SELECT item_a, CAST((n - 1) // 20 AS INTEGER) AS piece, string_agg(item_b || ':' || cnt, ',' ORDER BY item_b) AS entries
+FROM (SELECT *, row_number() OVER (PARTITION BY item_a ORDER BY item_b) AS n FROM cooc) GROUP BY item_a, piece"""
 
 ORACLES["recommendation_raw_scores"] = f"WITH {_RATINGS}, {_MATRIX}, {_RAW} SELECT * FROM raw"
 
@@ -226,7 +226,7 @@ FROM loop WHERE iter > 0"""
 # ---- short texts ---------------------------------------------------------------------------
 
 _LINES = """lines AS (
-  SELECT doc_id, lang, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM documents)"""
+  SELECT doc_id, lang, unnest(regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n')) AS line FROM documents WHERE text <> '')"""
 _TOKENS = f"""tokens AS (
   SELECT doc_id, lang,
          CASE WHEN line <> '' AND regexp_replace(line, '[ \\t\\n\\r\\f\\v]+$', '') = '' THEN []
@@ -271,7 +271,7 @@ sides AS (
 SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides"""
 
 ORACLES["vector_text"] = """
-SELECT vec_id, '[' || floor(embedding[1]::DOUBLE * 1000) || ',' || floor(embedding[2]::DOUBLE * 1000) || ']' AS shown
+SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS "at", unnest(embedding)::DOUBLE AS value
 FROM embeddings"""
 
 
@@ -289,7 +289,7 @@ UNION ALL
 SELECT 'actual only', *, count(*) FROM (SELECT * FROM actual EXCEPT ALL SELECT * FROM expected) GROUP BY ALL"""
 
 ORACLES["topk_diff"] = f"""
-WITH {_ENGLISH}, {_BENCHMARK}, {_CHAT},
+WITH {_DOCUMENTS}, {_BENCHMARK}, {_CHAT},
 e AS (SELECT least(l.cnt, r.cnt) AS cnt, word FROM l JOIN r USING (word) ORDER BY cnt DESC, word LIMIT 20),
 a AS (SELECT least(l.cnt, c.cnt) AS cnt, word FROM l JOIN c USING (word) ORDER BY cnt DESC, word LIMIT 20),
 g AS (
@@ -315,8 +315,8 @@ SELECT CASE WHEN NOT EXISTS (SELECT * FROM ratings EXCEPT ALL SELECT * FROM turn
 ORACLES["order_breaks"] = f"""
 WITH {_LINES}, {_TOKENS},
 ranked AS (
-  SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) AS INTEGER) AS rank, cnt
-  FROM counts WHERE lang = 'en' QUALIFY rank <= 50),
+  SELECT CAST(row_number() OVER (ORDER BY sum(cnt) DESC, word) AS INTEGER) AS rank, CAST(sum(cnt) AS BIGINT) AS cnt
+  FROM counts GROUP BY word QUALIFY rank <= 1000),
 raised AS (SELECT rank, CASE WHEN rank % 5 = 0 THEN cnt + 100 ELSE cnt END AS cnt FROM ranked)
 SELECT * FROM (SELECT rank, cnt, lag(cnt) OVER (ORDER BY rank) AS previous FROM raised) WHERE cnt > previous"""
 
@@ -327,7 +327,8 @@ ORACLES["kv_sink"] = f"SELECT word AS key, CAST(cnt AS VARCHAR) AS value FROM ({
 ORACLES["score_sink"] = f"WITH {_RATINGS} SELECT user_id || chr(9) || item_id || ',' || rating AS value FROM ratings"
 ORACLES["score_csv_sink"] = ORACLES["ratings_parse"]
 ORACLES["projection_sink"] = """
-SELECT embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label AS cluster FROM embeddings"""
+SELECT embedding[i]::DOUBLE AS x, embedding[i + 1]::DOUBLE AS y, cluster
+FROM (SELECT embedding, label AS cluster, unnest(range(1, len(embedding), 2)) AS i FROM embeddings)"""
 ORACLES["text_sink"] = f"WITH {_LINES} SELECT line AS value, count(*) AS cnt FROM lines GROUP BY line"
 ORACLES["short_text_csv"] = """
 SELECT md5(regexp_replace(text, '[^\\x{00}-\\x{ff}]', '?', 'g')) AS digest FROM documents"""

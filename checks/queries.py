@@ -20,6 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SEED = 7
+#: Entries to a page of the list views, so that keys have several; ranks that `order_breaks` looks at.
+PAGE = 20
+RANKS = 1000
 SHOWN_CLUSTERS = 8
 
 
@@ -38,12 +41,12 @@ def word_count(spark, sf):
 
 @query
 def corpus_word_count(spark, sf):
-    return words.corpus_counts(analyses.corpus_words(inputs.english(spark, sf), inputs.STOP_WORDS, "text"))
+    return words.corpus_counts(analyses.corpus_words(inputs.documents(spark, sf), inputs.STOP_WORDS, "text"))
 
 
 @query
 def common_words(spark, sf):
-    left = words.corpus_counts(analyses.corpus_words(inputs.english(spark, sf), None, "text"), inputs.STOP_WORDS)
+    left = words.corpus_counts(analyses.corpus_words(inputs.documents(spark, sf), None, "text"), inputs.STOP_WORDS)
     right = words.corpus_counts(analyses.corpus_words(inputs.benchmark(spark, sf), None, "text"), inputs.STOP_WORDS)
     return words.common_words(left, right)
 
@@ -51,7 +54,7 @@ def common_words(spark, sf):
 @query
 def topk_common_words(spark, sf):
     return plans.top_k_common_words(
-        inputs.english(spark, sf), inputs.benchmark(spark, sf), inputs.STOP_WORDS, 20, "text"
+        inputs.documents(spark, sf), inputs.benchmark(spark, sf), inputs.STOP_WORDS, 20, "text"
     )
 
 
@@ -91,13 +94,13 @@ def ratings_parse(spark, sf):
 @query
 def user_preferences(spark, sf):
     rated = stage(inputs.ratings(spark, sf), "ratings")
-    return ratings.list_to_text(ratings.user_preferences(rated), "prefs")
+    return ratings.list_to_text(ratings.user_preferences(rated, PAGE), "prefs")
 
 
 @query
 def item_raters(spark, sf):
     rated = stage(inputs.ratings(spark, sf), "ratings")
-    return ratings.list_to_text(ratings.item_raters(rated), "raters")
+    return ratings.list_to_text(ratings.item_raters(rated, PAGE), "raters")
 
 
 def _totals_and_pairs(spark, sf):
@@ -113,7 +116,7 @@ def cooccurrence_counts(spark, sf):
 
 @query
 def cooccurrence_rows(spark, sf):
-    return ratings.list_to_text(ratings.matrix_rows(_totals_and_pairs(spark, sf)[1]), "entries")
+    return ratings.list_to_text(ratings.matrix_rows(_totals_and_pairs(spark, sf)[1], PAGE), "entries")
 
 
 @query
@@ -257,11 +260,10 @@ def silhouette_by_label(spark, sf):
 
 @query
 def vector_text(spark, sf):
-    thousandths = F.transform(
-        F.slice(vector_to_array("vector"), 1, 2), lambda v: F.floor(v * 1000).cast("double")
-    )
-    vectors = inputs.embeddings(spark, sf).select("vec_id", array_to_vector(thousandths).alias("vector"))
-    return vectors.select("vec_id", tx.vector_to_text(F.col("vector")).alias("shown"))
+    """Every component as the text shows it, read back as a number."""
+    shown = inputs.embeddings(spark, sf).select("vec_id", tx.vector_to_text(F.col("vector")).alias("shown"))
+    inner = F.split(F.expr("substring(shown, 2, length(shown) - 2)"), ",")
+    return shown.select("vec_id", F.posexplode(inner).alias("at", "value")).withColumn("value", F.col("value").cast("double"))
 
 
 def _embedded(spark, sf):
@@ -315,7 +317,7 @@ def result_diff(spark, sf):
 
 @query
 def topk_diff(spark, sf):
-    left = inputs.english(spark, sf)
+    left = inputs.documents(spark, sf)
     chat = inputs.table(spark, sf, "conversations").select("text")
     return compare.top_k_diff(
         plans.top_k_common_words(left, inputs.benchmark(spark, sf), inputs.STOP_WORDS, 20, "text"),
@@ -332,7 +334,7 @@ def result_verdict(spark, sf):
 
 @query
 def order_breaks(spark, sf):
-    lang_and_rank = textml.token_report(_clean(spark, sf), "lang", n=50).where("lang = 'en'")
+    lang_and_rank = textml.token_report(_clean(spark, sf).withColumn("lang", F.lit("all")), "lang", n=RANKS)
     raised = F.when(F.col("rank") % 5 == 0, F.col("cnt") + 100).otherwise(F.col("cnt"))
     return compare.order_breaks(lang_and_rank.withColumn("cnt", raised))
 
@@ -364,8 +366,10 @@ def score_csv_sink(spark, sf):
 @query
 def projection_sink(spark, sf):
     path = new_path(spark, "projection")
-    first_two = array_to_vector(F.slice(vector_to_array("vector"), 1, 2))
-    labelled = inputs.embeddings(spark, sf).select(first_two.alias("projection"), F.col("label").alias("cluster"))
+    values = inputs.embeddings(spark, sf).select(vector_to_array("vector").alias("v"), F.col("label").alias("cluster"))
+    starts = F.explode(F.sequence(F.lit(1), F.size("v") - 1, F.lit(2))).alias("at")  # every two components
+    two = array_to_vector(F.slice("v", F.col("at"), F.lit(2))).alias("projection")
+    labelled = values.select("v", "cluster", starts).select(two, "cluster")
     writers.write_projection(labelled, path)
     return spark.read.csv(path, schema="x double, y double, cluster int")
 
@@ -384,4 +388,4 @@ def short_text_csv(spark, sf):
     fixed = [F.lit(v).alias(n) for n, v in (("f0", "0"), ("f2", "Mon"), ("f3", "NO"), ("f4", "user"))]
     wide = docs.select(fixed[0], F.col("doc_id").cast("string").alias("f1"), *fixed[1:], "text")
     wide.write.csv(path, encoding="ISO-8859-1", quoteAll=True, escape='"', lineSep="\n")
-    return readers.read_short_text_csv(spark, path).select(F.md5("text").alias("digest"))
+    return readers.read_short_text_csv(spark, path, multi_line=True).select(F.md5("text").alias("digest"))

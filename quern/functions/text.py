@@ -25,8 +25,9 @@ def space_words(text: Column) -> Column:
 
 
 def text_lines(text: Column) -> Column:
-    """The lines of a text."""
-    return F.split(text, LINE_END)
+    """The lines of a text, as a file with it has them: a final line end starts no line, an empty text has none."""
+    pieces = F.split(text, LINE_END)
+    return F.when(F.get(pieces, F.size(pieces) - 1) == "", F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
 
 
 def fields(line: Column) -> Column:

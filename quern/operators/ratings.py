@@ -7,7 +7,7 @@ over the user's ratings, of co-occurrence times rating.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as tx
@@ -176,16 +176,27 @@ def drop_seen(scores: DataFrame, ratings: DataFrame) -> DataFrame:
 
 
 def _lists(rows: DataFrame, key: str, entry: list[str], name: str, limit: int) -> DataFrame:
-    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    sizes = large_groups(per_key, key, F.ceil(F.col("n") / limit))
-    dealt = with_pieces(rows, key, sizes).withColumn("piece", piece_of(entry[0]))
-    return dealt.groupBy(key, "piece").agg(F.sort_array(F.collect_list(F.struct(*entry))).alias(name))
+    """Pages of every key's entries, in entry order, `limit` to a page.
+
+    Rows are sorted by range, with a number that splits repeated rows too, so no key has to fit in one task. An
+    entry's rank is its place in its key's part of a partition plus the rows of the key in the parts before.
+    """
+    apart = stage(rows.select(key, *entry).withColumn("_tie", F.monotonically_increasing_id()), "entries")
+    parts = stage(apart.repartitionByRange(key, *entry, "_tie").withColumn("_part", F.spark_partition_id()), "parts")
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    inside = Window.partitionBy(key, "_part").orderBy(*entry, "_tie")
+    placed = parts.withColumn("_place", F.row_number().over(inside) - 1).join(before, [key, "_part"])
+    piece = F.floor((F.col("_before") + F.col("_place")) / limit).cast("int").alias("piece")
+    return placed.groupBy(key, piece).agg(F.sort_array(F.collect_list(F.struct(*entry))).alias(name))
 
 
 def user_preferences(ratings: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """`user_id, piece, prefs`: the user's items and ratings in item order (A3).
 
-    A list longer than `limit` continues in further pieces, so no task gathers an unbounded list.
+    A list longer than `limit` continues in further pieces, in order, so no task gathers an unbounded list;
+    repeated rows count like others.
     """
     return _lists(ratings, "user_id", ["item_id", "rating"], "prefs", limit)
 

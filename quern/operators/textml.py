@@ -20,8 +20,11 @@ VECTOR_SIZE = 10
 MIN_COUNT = 2
 TOP_TOKENS = 5
 
-#: Tokens worth a Word2Vec task of their own.
-TOKENS_PER_TASK = 500_000
+#: Partitions that Word2Vec trains in. More than one change the vectors and their order of training, so the number
+#: depends on neither the data nor the cluster: whoever has a large corpus asks for more.
+TRAINING_TASKS = 1
+#: Distinct words whose vectors the driver is asked to hold; beyond it the fit fails with a message.
+MOST_WORDS = 5_000_000
 
 
 def tokenize(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -57,19 +60,21 @@ def word_vectors(
     seed: int,
     vector_size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
-    tasks: int | None = None,
+    tasks: int = TRAINING_TASKS,
     column: str = "kept",
+    most_words: int = MOST_WORDS,
 ) -> Word2VecModel:
     """Fitted word vectors (M5).
 
-    Training is dealt into `tasks` partitions, by default one per half million tokens up to the
-    number of cores. More than one changes the vectors, as each partition trains on its own share
-    before they are averaged.
+    Training is dealt into `tasks` partitions; each trains on its own share before they are averaged, and
+    only one gives the same vectors in every run.
+    Spark keeps the vocabulary on the driver, so it is counted first. Nothing is dropped from it: raise
+    `min_count` when there are more than `most_words`.
     """
-    if tasks is None:
-        tokens = tokenized.agg(F.sum(F.size(column))).first()[0] or 0
-        cores = tokenized.sparkSession.sparkContext.defaultParallelism
-        tasks = int(max(1, min(-(-tokens // TOKENS_PER_TASK), cores)))
+    counts = count_words(tokenized.select(F.explode(column).alias("word")))
+    words = counts.where(F.col("cnt") >= min_count).count()
+    if words > most_words:
+        raise ValueError(f"{words} words occur {min_count} times or more, and the driver holds {most_words}; raise min_count")
     return Word2Vec(
         inputCol=column,
         outputCol="vector",
@@ -132,7 +137,7 @@ def sweep(
     tokenized: DataFrame,
     grid: Iterable[tuple[int, int, int]],
     seed: int,
-    tasks: int | None = None,
+    tasks: int = TRAINING_TASKS,
 ) -> DataFrame:
     """`k, vector_size, min_count, silhouette` per setting, best first (M9).
 
@@ -147,4 +152,4 @@ def sweep(
         model = cluster_vectors(made[key], seed, k)
         rows.append((k, vector_size, min_count, silhouette(model.transform(made[key]))))
     schema = "k int, vector_size int, min_count int, silhouette double"
-    return tokenized.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("silhouette"), "k", "vector_size")
+    return tokenized.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("silhouette"), "k", "vector_size", "min_count")

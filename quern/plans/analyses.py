@@ -116,7 +116,7 @@ def cluster_texts(
     clusters: int = textml.CLUSTERS,
     vector_size: int = textml.VECTOR_SIZE,
     min_count: int = textml.MIN_COUNT,
-    tasks: int | None = None,
+    tasks: int = textml.TRAINING_TASKS,
     column: str = "text",
 ) -> TextClusters:
     """E5: clusters of short texts by their mean word vector, with top tokens and silhouette.

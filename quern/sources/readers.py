@@ -105,11 +105,11 @@ def tail_field_text(
     return parts.select(*keep, F.when(F.size("f") > skip, found).otherwise(short).alias("text"))
 
 
-def read_short_text_csv(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
+def read_short_text_csv(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """Last column of a quoted latin-1 CSV: `text`.
 
-    Quoted fields may hold line ends, which makes a file unsplittable; for large files known to
-    have one record per line, `multi_line=False` lets Spark split them.
+    With `multi_line` quoted fields may hold line ends, which makes a file one task; without it a record is a
+    line, and Spark splits large files.
     """
     return spark.read.csv(
         list(paths),

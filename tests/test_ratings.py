@@ -116,7 +116,14 @@ def test_list_views(spark):
 
 def test_long_lists_continue_in_pieces_and_stay_whole(spark):
     rated = frame(spark, skewed())
-    lists = R.item_raters(rated, limit=10).collect()
+    rated = rated.union(rated.where("item_id = 'i0'").limit(1).crossJoin(spark.range(35)).select(*rated.columns))
+    lists = sorted(R.item_raters(rated, limit=10).collect(), key=lambda r: (r["item_id"], r["piece"]))
+    for item in {r["item_id"] for r in lists}:
+        pages = [r for r in lists if r["item_id"] == item]
+        assert [r["piece"] for r in pages] == list(range(len(pages)))
+        assert all(len(r["raters"]) == 10 for r in pages[:-1]) and len(pages[-1]["raters"]) <= 10
+        users = [e["user_id"] for r in pages for e in r["raters"]]
+        assert users == sorted(users)
     assert len([r for r in lists if r["item_id"] == "i0"]) > 1
     got = sorted((e["user_id"], r["item_id"], e["rating"]) for r in lists for e in r["raters"])
     assert got == sorted(map(tuple, rated.collect()))

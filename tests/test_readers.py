@@ -10,7 +10,14 @@ def rows(df):
 
 def test_lines_split_at_every_line_end(spark):
     df = spark.createDataFrame([(1, "a\r\nb\rc\nd"), (2, "")], "id int, text string")
-    assert rows(readers.lines_of(df, "text", "id")) == [(1, "a"), (1, "b"), (1, "c"), (1, "d"), (2, "")]
+    assert rows(readers.lines_of(df, "text", "id")) == [(1, "a"), (1, "b"), (1, "c"), (1, "d")]
+
+
+@pytest.mark.parametrize("text", ["a\nb", "a\nb\n", "a\n\n", "", "\n", "a\r\n"])
+def test_columns_and_files_have_the_same_lines(spark, tmp_path, text):
+    (tmp_path / "x.txt").write_bytes(text.encode())
+    df = spark.createDataFrame([(text,)], "text string")
+    assert rows(readers.lines_of(df, "text")) == rows(readers.read_lines(spark, str(tmp_path)))
 
 
 def test_read_lines_takes_files_and_folders(spark, tmp_path):
@@ -85,7 +92,7 @@ def test_tail_field_text_with_too_few_fields(texts):
 def test_short_text_csv_is_latin_1_and_may_hold_line_ends(spark, tmp_path):
     path = tmp_path / "short.csv"
     path.write_bytes('"0","1","Mon","NO","u","caf\xe9, ""so"""\n"0","2","Mon","NO","u","two\nlines"\n'.encode("latin-1"))
-    assert rows(readers.read_short_text_csv(spark, str(path))) == [('café, "so"',), ("two\nlines",)]
+    assert rows(readers.read_short_text_csv(spark, str(path), multi_line=True)) == [('café, "so"',), ("two\nlines",)]
 
 
 def test_word_list_limit(spark, tmp_path):

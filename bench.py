@@ -8,7 +8,7 @@ import sys
 import time
 
 from checks.queries import QUERIES
-from quern.session import build_session
+from quern.session import build_session, drop_stages
 
 HEADLINE = [
     "word_count",
@@ -61,6 +61,7 @@ def main() -> None:
             }
         )
     )
+    drop_stages(spark)
     spark.stop()
 
 

@@ -54,11 +54,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), f"quern-{spark.sparkContext.applicationId}")
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return os.path.join(
-        shared_folder(spark), f"quern-{spark.sparkContext.applicationId}", f"{label}-{uuid.uuid4().hex}"
-    )
+    return os.path.join(_own_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -72,6 +74,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Remove every stage table of this application.
+
+    For the end of a run, when its results have been written elsewhere: lazy results read stage tables.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Estimated in-memory size of a row: a fixed part per column and the real string lengths."""
     width = F.lit(32 + 16 * len(df.columns))

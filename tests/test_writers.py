@@ -1,8 +1,10 @@
+import os
+
 import pytest
 from pyspark.ml.linalg import Vectors
 
 from quern import session as quern_session
-from quern.session import fill_cores, measured_bytes, shared_folder, stage, tasks_for
+from quern.session import drop_stages, fill_cores, measured_bytes, shared_folder, stage, tasks_for
 from quern.sources import readers, writers
 
 
@@ -94,3 +96,10 @@ def test_only_narrow_scans_are_spread(spark):
     cores = spark.sparkContext.defaultParallelism
     assert fill_cores(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
     assert fill_cores(spark.range(100, numPartitions=65)).rdd.getNumPartitions() == 65
+
+
+def test_no_stage_table_of_a_run_is_left(spark):
+    path = stage(spark.range(3), "left").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    drop_stages(spark)
+    assert not os.path.exists(path)

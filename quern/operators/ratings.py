@@ -181,7 +181,7 @@ def _lists(rows: DataFrame, key: str, entry: list[str], name: str, limit: int) -
     Rows are sorted by range, with a number that splits repeated rows too, so no key has to fit in one task. An
     entry's rank is its place in its key's part of a partition plus the rows of the key in the parts before.
     """
-    apart = stage(rows.select(key, *entry).withColumn("_tie", F.monotonically_increasing_id()), "entries")
+    apart = rows.select(key, *entry).withColumn("_tie", F.monotonically_increasing_id())
     parts = stage(apart.repartitionByRange(key, *entry, "_tie").withColumn("_part", F.spark_partition_id()), "parts")
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,9 +100,22 @@ def cluster_postings(
 
 @dataclass
 class TextClusters:
-    clustered: DataFrame
+    """`assigned` holds `kept, vector, cluster`; what else is asked for is computed when it is."""
+
+    assigned: DataFrame
     report: DataFrame
-    metrics: DataFrame
+    settings: tuple[int, int, int]
+
+    @cached_property
+    def clustered(self) -> DataFrame:
+        """`kept, vector, projection, cluster`, ready for the projection sink."""
+        return textml.project_2d(self.assigned)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """`k, vector_size, min_count, silhouette`."""
+        row = (*self.settings, textml.silhouette(self.assigned))
+        return self.assigned.sparkSession.createDataFrame([row], "k int, vector_size int, min_count int, silhouette double")
 
 
 def clean_tokens(texts: DataFrame, stops: words.Words, column: str = "text") -> DataFrame:
@@ -119,19 +133,11 @@ def cluster_texts(
     tasks: int = textml.TRAINING_TASKS,
     column: str = "text",
 ) -> TextClusters:
-    """E5: clusters of short texts by their mean word vector, with top tokens and silhouette.
-
-    `clustered` holds `kept, vector, projection, cluster`, ready for the projection sink.
-    """
-    spark = texts.sparkSession
+    """E5: clusters of short texts by their mean word vector, with top tokens and silhouette."""
     tokens = stage(clean_tokens(texts, stops, column).select("kept"), "tokens")
     model = textml.word_vectors(tokens, seed, vector_size, min_count, tasks)
     vectors = stage(model.transform(tokens), "vectors")
     kmeans = textml.cluster_vectors(vectors, seed, clusters)
-    clustered = stage(kmeans.transform(textml.project_2d(vectors)), "clustered")
-    report = textml.cluster_report(clustered, kmeans.clusterCenters())
-    metrics = spark.createDataFrame(
-        [(clusters, vector_size, min_count, textml.silhouette(clustered))],
-        "k int, vector_size int, min_count int, silhouette double",
-    )
-    return TextClusters(clustered, report, metrics)
+    assigned = kmeans.transform(vectors)
+    report = textml.cluster_report(assigned, kmeans.clusterCenters())
+    return TextClusters(assigned, report, (clusters, vector_size, min_count))

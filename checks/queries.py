@@ -23,6 +23,8 @@ SEED = 7
 #: Entries to a page of the list views, so that keys have several; ranks that `order_breaks` looks at.
 PAGE = 20
 RANKS = 1000
+#: Partitions that Word2Vec trains in where its vectors need not be the same in every run.
+TASKS = 8
 SHOWN_CLUSTERS = 8
 
 
@@ -290,7 +292,7 @@ def ml_kmeans(spark, sf):
 
 @query
 def text_cluster_report(spark, sf):
-    found = plans.cluster_texts(inputs.short_texts(spark, sf), inputs.STOP_WORDS, SEED, SHOWN_CLUSTERS, 4)
+    found = plans.cluster_texts(inputs.short_texts(spark, sf), inputs.STOP_WORDS, SEED, SHOWN_CLUSTERS, 4, tasks=TASKS)
     return found.report
 
 

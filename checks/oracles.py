@@ -194,7 +194,8 @@ ORACLES["kmeans_history"] = f"{_START}, {_THREE}, steps AS (" + " UNION ALL ".jo
   FROM c{i} o JOIN c{i + 1} n USING (idx)"""
     for i in range(3)
 ) + """)
-SELECT *, sum(moved) OVER (PARTITION BY iter) AS total_moved, sum(moved) OVER (PARTITION BY iter) < 0 AS converged
+SELECT *, sum(moved) OVER (PARTITION BY iter) AS total_moved, sum(moved) OVER (PARTITION BY iter) < 0 AS converged,
+       iter >= 3 AS reached_max
 FROM steps"""
 
 
@@ -219,7 +220,7 @@ near AS {_assigned('final')} {_summary_of('final')}"""
 ORACLES["kmeans_converged_history"] = f"""{_loop(_ordered_start(CLUSTERS))}
 SELECT iter, idx, old_x, old_y, x AS new_x, y AS new_y,
        CAST((x - old_x) * (x - old_x) + (y - old_y) * (y - old_y) AS DOUBLE) AS moved,
-       total_moved, total_moved < {ETA} AS converged
+       total_moved, total_moved < {ETA} AS converged, iter >= {MAX_ITERATIONS} AS reached_max
 FROM loop WHERE iter > 0"""
 
 

@@ -107,13 +107,12 @@ def item_raters(spark, sf):
 
 def _totals_and_pairs(spark, sf):
     totals = stage(ratings.rating_totals(inputs.ratings(spark, sf)), "totals")
-    return totals, stage(ratings.item_pairs(totals), "pairs")
+    return totals, ratings.pair_table(totals)
 
 
 @query
 def cooccurrence_counts(spark, sf):
-    totals = stage(ratings.rating_totals(inputs.ratings(spark, sf)), "totals")
-    return ratings.mirror_pairs(ratings.item_pairs(totals))
+    return ratings.mirror_pairs(_totals_and_pairs(spark, sf)[1])
 
 
 @query
@@ -146,10 +145,6 @@ def drop_seen(spark, sf):
 # ---- postings ------------------------------------------------------------------------------
 
 
-def _postings(spark, sf):
-    return stage(readers.parse_postings(inputs.posting_lines(spark, sf)), "postings")
-
-
 def _points(spark, sf):
     return analyses.posting_points(inputs.posting_lines(spark, sf), inputs.PRIORITY_TOPICS)
 
@@ -171,12 +166,12 @@ def postings_parse(spark, sf):
 
 @query
 def question_answer_join(spark, sf):
-    return postings.question_answers(_postings(spark, sf))
+    return postings.question_answers(readers.parse_postings(inputs.posting_lines(spark, sf)))
 
 
 @query
 def question_max_score(spark, sf):
-    return postings.best_answers(_postings(spark, sf))
+    return postings.best_answers(readers.parse_postings(inputs.posting_lines(spark, sf)))
 
 
 @query

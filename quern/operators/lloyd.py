@@ -23,7 +23,7 @@ MAX_ITERATIONS = 120
 CENTER_SCHEMA = "idx int, x bigint, y bigint"
 HISTORY_SCHEMA = (
     "iter int, idx int, old_x bigint, old_y bigint, new_x bigint, new_y bigint, "
-    "moved double, total_moved double, converged boolean"
+    "moved double, total_moved double, converged boolean, reached_max boolean"
 )
 SUMMARY_SCHEMA = "x bigint, y bigint, size bigint, median bigint, average bigint"
 #: Up to this many distinct points an iteration is too short to be worth compiling or shuffling.
@@ -40,12 +40,16 @@ class Fit:
     history: list[tuple] = field(default_factory=list)
     iterations: int = 0
     converged: bool = False
+    many: bool = False  # more distinct points than FEW_POINTS
 
     def centers_df(self, spark: SparkSession) -> DataFrame:
         return centers_df(spark, self.centers)
 
     def history_df(self, spark: SparkSession) -> DataFrame:
-        """`iter, idx, old_x, old_y, new_x, new_y, moved, total_moved, converged` (M3)."""
+        """`iter, idx, old_x, old_y, new_x, new_y, moved, total_moved, converged, reached_max` (M3).
+
+        `reached_max` marks the iteration that the limit allows as the last, converged or not.
+        """
         return spark.createDataFrame(self.history, HISTORY_SCHEMA)
 
 
@@ -54,14 +58,17 @@ def centers_df(spark: SparkSession, centers: Sequence[Center]) -> DataFrame:
     return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(centers)], CENTER_SCHEMA)
 
 
-def weigh_points(points: DataFrame) -> DataFrame:
-    """Distinct points in (x, y) order with their number, as a stage table: `x, y, w, place`.
+def weigh_points(points: DataFrame, ordered: bool = True) -> DataFrame:
+    """Distinct points with their number, as a stage table: `x, y, w`, and `place` when `ordered`.
 
     `place` is made of the sorted partition and the row's position in it, which `points_at_ranks`
-    turns into ranks without bringing the points into one task.
+    turns into ranks without bringing the points into one task. Only the ordered start needs it and
+    the sort it takes.
     """
-    weighted = points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")).orderBy("x", "y")
-    return stage(weighted.withColumn("place", F.monotonically_increasing_id()), "points")
+    weighted = points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+    if ordered:
+        weighted = weighted.orderBy("x", "y").withColumn("place", F.monotonically_increasing_id())
+    return stage(weighted, "points")
 
 
 def points_at_ranks(points: DataFrame, clusters: int) -> list[Center]:
@@ -128,8 +135,8 @@ def fit(
         if points.isEmpty():
             return Fit([], converged=True)
         raise ValueError("k-means needs at least one centre")
-    state = Fit(list(centers))
     many = points.count() > FEW_POINTS
+    state = Fit(list(centers), many=many)
     points = (points if many else points.coalesce(1)).persist()
     try:
         while not state.converged and state.iterations < max_iterations:
@@ -143,7 +150,8 @@ def fit(
             state.converged = total < eta
             state.centers = new
             state.history += [
-                (state.iterations, i, *old[i], *new[i], moves[i], total, state.converged) for i in range(len(old))
+                (state.iterations, i, *old[i], *new[i], moves[i], total, state.converged, state.iterations >= max_iterations)
+                for i in range(len(old))
             ]
     finally:
         points.unpersist()
@@ -184,11 +192,14 @@ def integer_median(counts: DataFrame, group: str, value: str = "y", count: str =
     return pair.select(group, F.expr("(lower + upper) div 2").alias("median"))
 
 
-def summary(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
-    """`x, y, size, median, average` of every non-empty cluster, in that order."""
+def summary(points: DataFrame, centers: Sequence[Center], many: bool = False) -> DataFrame:
+    """`x, y, size, median, average` of every non-empty cluster, in that order.
+
+    `many` compiles the distances, which pays for many distinct points; the result is the same.
+    """
     if not centers:
         return points.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
-    counts = assign(points, centers).groupBy("idx", "y").agg(F.sum("w").alias("n"))
+    counts = assign(points, centers, many).groupBy("idx", "y").agg(F.sum("w").alias("n"))
     sizes = counts.groupBy("idx").agg(F.sum("n").alias("size"), F.expr("sum(y * n) div sum(n)").alias("average"))
     places = F.broadcast(centers_df(points.sparkSession, centers))  # one row per centre
     return (

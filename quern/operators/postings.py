@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.geometry import list_position
@@ -57,12 +57,25 @@ def question_answers(postings: DataFrame) -> DataFrame:
 def best_answers(postings: DataFrame) -> DataFrame:
     """One row per distinct question record with its best answer's score: `…, max_score`.
 
-    Answers shrink to one row per question, and questions to distinct records, before they meet;
-    both shrink within each task first, so a question with very many answers is no burden.
+    One pass and no join: within each task, answers shrink to one row per question and questions to
+    distinct records, and what is left meets by question id. So a question with very many answers
+    is no burden. Postings that belong to no question shrink to one row per task.
     """
-    best = answers(postings).groupBy(F.col("parent_id").alias("question_id")).agg(F.max("score").alias("max_score"))
-    asked = questions(postings).distinct()
-    return asked.join(best, asked["id"] == best["question_id"]).drop("question_id")
+    asks = F.col("posting_type") == QUESTION
+    replies = F.col("posting_type") == ANSWER
+    marked = postings.select(
+        F.when(asks, F.col("id")).when(replies, F.col("parent_id")).alias("question_id"),
+        F.when(asks & F.col("id").isNotNull(), F.struct(*postings.columns)).alias("asked"),
+        F.when(replies, F.col("score")).alias("answer_score"),
+    )
+    shrunk = marked.groupBy("question_id", "asked").agg(F.max("answer_score").alias("best"))
+    per_question = Window.partitionBy("question_id")
+    met = shrunk.select(
+        "asked",
+        F.max("best").over(per_question).alias("max_score"),
+        F.max(F.col("asked").isNull()).over(per_question).alias("answered"),
+    )
+    return met.where("asked is not null and answered").select("asked.*", "max_score")
 
 
 def topic_points(scored: DataFrame, topics: Sequence[str] = TOPICS, spread: int = TOPIC_SPREAD) -> DataFrame:

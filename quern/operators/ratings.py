@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as tx
 from quern.operators.grouping import large_groups, piece_of, replicate, with_pieces
-from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, row_bytes, stage, tasks_for
+from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, row_bytes, shuffle_tasks, stage, tasks_for
 
 #: Most items of one user that meet in one join group; more are dealt into pieces.
 ITEMS_PER_PIECE = 4096
@@ -36,7 +36,23 @@ def rating_totals(ratings: DataFrame) -> DataFrame:
 def item_pairs(totals: DataFrame, items_per_piece: int = ITEMS_PER_PIECE) -> DataFrame:
     """`item_a < item_b, cnt`: how often two items meet at one user.
 
-    `totals` should be a stage table, as it is read several times. A user with more than
+    `totals` should be a stage table, as it is read several times. The count's shuffle follows
+    `spark.sql.shuffle.partitions`; `pair_table` sizes it from the measured work.
+    """
+    return _pairs_and_tasks(totals, items_per_piece)[0]
+
+
+def pair_table(totals: DataFrame, items_per_piece: int = ITEMS_PER_PIECE) -> DataFrame:
+    """`item_pairs` as a stage table, counted in as many tasks as its products ask for."""
+    pairs, tasks = _pairs_and_tasks(totals, items_per_piece)
+    with shuffle_tasks(totals.sparkSession, tasks):
+        return stage(pairs, "pairs")
+
+
+def _pairs_and_tasks(totals: DataFrame, items_per_piece: int) -> tuple[DataFrame, int]:
+    """The pairs, and the number of tasks that their products take.
+
+    A user with more than
     `items_per_piece` items is dealt into pieces and every two pieces form their own join group, so
     the largest user is spread over many tasks. Pairs go straight into the map-side count; what is
     shuffled is the count per task, not the pairs.
@@ -61,12 +77,13 @@ def item_pairs(totals: DataFrame, items_per_piece: int = ITEMS_PER_PIECE) -> Dat
     right = right.repartition(tasks, *keys).select(
         *keys, F.col("item_id").alias("item_b"), F.col("copies").alias("copies_b")
     )
-    return (
+    pairs = (
         left.join(right, keys)
         .where("item_a < item_b")
         .groupBy("item_a", "item_b")
         .agg(F.sum(F.col("copies_a") * F.col("copies_b")).alias("cnt"))
     )
+    return pairs, tasks
 
 
 def mirror_pairs(pairs: DataFrame) -> DataFrame:
@@ -126,6 +143,9 @@ def _multiply(
         joined = dealt.drop("pieces").repartition(tasks, "item_id", "piece").join(
             copied.drop("pieces").repartition(tasks, "item_id", "piece"), ["item_id", "piece"]
         )
+        # A task holds few items, so a user's products hardly meet in it and combining them there
+        # would gain nothing. The sum's shuffle is as large as the join and gets as many tasks.
+        joined = joined.repartition(tasks, "user_id", "item_b")
     return (
         joined.groupBy("user_id", "item_b")
         .agg(F.sum(_contribution(product_decimals)).alias("score"), F.max("own").alias("own"))

@@ -45,7 +45,7 @@ def recommend_scores(rated: DataFrame, product_decimals: int | None = None) -> D
     if product_decimals is not None:
         rated = stage(rated, "ratings")
     totals = stage(ratings.rating_totals(rated), "totals")
-    pairs = stage(ratings.item_pairs(totals), "pairs")
+    pairs = ratings.pair_table(totals)
     return ratings.unseen_scores(rated, totals, pairs, product_decimals)
 
 
@@ -60,13 +60,8 @@ def posting_points(
     lines: DataFrame, topics: Sequence[str] = postings.TOPICS, spread: int = postings.TOPIC_SPREAD,
     column: str = "value", mode: str = "strict",
 ) -> DataFrame:
-    """`id, x, y` points of the answered questions with a known topic.
-
-    Questions and answers are both read from the parsed lines, so these are written as a stage table:
-    the text is then split once instead of once per filter and projection on either side.
-    """
-    parsed = stage(parse_postings(lines, column, mode), "postings")
-    return postings.topic_points(postings.best_answers(parsed), topics, spread)
+    """`id, x, y` points of the answered questions with a known topic, in one pass over the lines."""
+    return postings.topic_points(postings.best_answers(parse_postings(lines, column, mode)), topics, spread)
 
 
 def cluster_postings(
@@ -89,13 +84,13 @@ def cluster_postings(
     if init not in ("sample", "ordered"):
         raise ValueError(f"init must be 'sample' or 'ordered', not {init!r}")
     points = stage(posting_points(lines, topics, spread, column, mode), "vectors")
-    weighted = lloyd.weigh_points(points)
+    weighted = lloyd.weigh_points(points, ordered=init == "ordered")
     if init == "sample":
         start = lloyd.sampled_centers(points, clusters, seed)
     else:
         start = lloyd.points_at_ranks(weighted, clusters)
     fit = lloyd.fit(weighted, start, eta, max_iterations)
-    return PostingClusters(fit, lloyd.summary(weighted, fit.centers), fit.history_df(lines.sparkSession))
+    return PostingClusters(fit, lloyd.summary(weighted, fit.centers, fit.many), fit.history_df(lines.sparkSession))
 
 
 @dataclass

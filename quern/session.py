@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,11 @@ from pyspark.sql import types as T
 
 #: A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Rows one task should produce when an operator multiplies its input, and the most such tasks.
+#: Rows one task should produce when an operator multiplies its input.
 ROWS_PER_TASK = 5_000_000
+#: Most tasks such a step asks for, and the session setting that replaces the number.
 MOST_TASKS = 20_000
+MOST_TASKS_SETTING = "spark.quern.most.tasks"
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -103,9 +106,27 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
 
 def tasks_for(spark: SparkSession, rows: float, per_task: int = ROWS_PER_TASK) -> int:
-    """Partition count for a step that will produce `rows` rows: never fewer than the cores."""
+    """Partition count for a step that will produce `rows` rows: never fewer than the cores.
+
+    Beyond `spark.quern.most.tasks` tasks (20,000 unless set) tasks grow instead.
+    """
     cores = spark.sparkContext.defaultParallelism
-    return int(max(cores, min(-(-rows // per_task), MOST_TASKS)))
+    most = int(spark.conf.get(MOST_TASKS_SETTING, str(MOST_TASKS)))
+    return int(max(cores, min(-(-rows // per_task), most)))
+
+
+@contextmanager
+def shuffle_tasks(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Let the shuffles of jobs that run inside have at least `tasks` partitions.
+
+    For aggregations whose size was measured: unlike `repartition`, it keeps their map-side combine.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(tasks, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def fill_cores(scan: DataFrame) -> DataFrame:

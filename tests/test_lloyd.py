@@ -130,11 +130,18 @@ def test_history(spark):
     fit = lloyd.fit(weighted(spark, [(0, 0), (0, 4), (9, 9)]), [(0, 0), (9, 9)], eta=1.0)
     rows = [tuple(r) for r in fit.history_df(spark).orderBy("iter", "idx").collect()]
     assert rows == [
-        (1, 0, 0, 0, 0, 2, 4.0, 4.0, False), (1, 1, 9, 9, 9, 9, 0.0, 4.0, False),
-        (2, 0, 0, 2, 0, 2, 0.0, 0.0, True), (2, 1, 9, 9, 9, 9, 0.0, 0.0, True),
+        (1, 0, 0, 0, 0, 2, 4.0, 4.0, False, False), (1, 1, 9, 9, 9, 9, 0.0, 4.0, False, False),
+        (2, 0, 0, 2, 0, 2, 0.0, 0.0, True, False), (2, 1, 9, 9, 9, 9, 0.0, 0.0, True, False),
     ]
 
 
+@pytest.mark.parametrize("most, expected", [(1, [(1, False, True)]), (2, [(1, False, False), (2, True, True)])])
+def test_history_marks_the_last_iteration_allowed(spark, most, expected):
+    fit = lloyd.fit(weighted(spark, [(0, 0), (0, 4), (9, 9)]), [(0, 0), (9, 9)], eta=1.0, max_iterations=most)
+    found = fit.history_df(spark).select("iter", "converged", "reached_max").distinct().collect()
+    assert sorted(map(tuple, found)) == expected
+
+
 @pytest.mark.parametrize("init", ["sample", "ordered"])
 def test_cluster_postings_end_to_end(spark, texts, init):
     lines = [f"1,{i},,0,{'Security' if i % 2 else 'Algorithm'}" for i in range(1, 21)]

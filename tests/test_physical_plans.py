@@ -1,11 +1,14 @@
 """The shapes the plans must keep at scale."""
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from quern.operators import postings as P
 from quern.operators import ratings as R
 from quern.operators import words
 from quern.plans.analyses import word_count
-from quern.session import stage
+from quern.session import stage, tasks_for
 
 
 def plan(df):
@@ -89,6 +92,31 @@ def test_large_matrix_is_joined_by_item_and_piece(spark, totals, no_auto_broadca
     assert "SortMergeJoin [item_id" in text and "piece" in text and "CartesianProduct" not in text
 
 
+def test_the_sum_of_joined_scores_has_as_many_tasks_as_the_join(spark, totals, no_auto_broadcast):
+    pairs = R.pair_table(totals)
+    products = sum(r["n"] ** 2 for r in totals.groupBy("user_id").agg(F.count("*").alias("n")).collect())
+    text = plan(R.unseen_scores(totals, totals, pairs, broadcast_bytes=0, rows_per_task=10))
+    found = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#\d+, (\d+)\)", text)
+    tasks = {int(n) for _, _, n in found}
+    assert ("user_id", "item_b") in {(a, b) for a, b, _ in found}
+    assert len(tasks) == 1 and tasks.pop() >= products / 10 and text.count("Exchange hashpartitioning(user_id") == 1
+
+
+def test_pairs_are_counted_in_as_many_tasks_as_their_products_ask_for(spark, totals, monkeypatch):
+    seen = []
+    monkeypatch.setattr(R, "stage", lambda df, label: seen.append(spark.conf.get("spark.sql.shuffle.partitions")))
+    monkeypatch.setattr(R, "tasks_for", lambda session, rows: 77)
+    R.pair_table(totals)
+    assert seen == ["77"] and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_the_most_tasks_are_a_setting(spark):
+    assert tasks_for(spark, 1e15) == 20_000
+    spark.conf.set("spark.quern.most.tasks", "30000")
+    assert tasks_for(spark, 1e15) == 30_000
+    spark.conf.unset("spark.quern.most.tasks")
+
+
 def test_pairs_join_within_users_only(totals, no_auto_broadcast):
     text = plan(R.item_pairs(totals))
     assert "SortMergeJoin [user_id" in text and "partial_sum" in text

@@ -31,6 +31,18 @@ def test_questions_are_told_apart_by_their_whole_record(texts):
     assert found == [(1, 0, 8), (1, 5, 8)]
 
 
+def test_null_ids_and_other_kinds_meet_nothing(spark):
+    rows = [(1, None, None, 3, "Security"), (2, 5, None, 9, None), (3, 1, 1, 9, None), (1, 1, None, 0, "Security"), (2, 6, 1, 2, None)]
+    frame = spark.createDataFrame(rows, "posting_type int, id bigint, parent_id bigint, score int, tag string")
+    assert [(r["id"], r["max_score"]) for r in P.best_answers(frame).collect()] == [(1, 2)]
+    assert P.best_answers(frame.limit(0)).collect() == []
+
+
+def test_best_answers_take_one_pass_without_a_join(parsed):
+    text = P.best_answers(parsed)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("partial_max") == 1
+
+
 def test_points_drop_unknown_and_missing_topics(texts):
     found = sorted((r["id"], r["x"], r["y"]) for r in posting_points(texts(*LINES)).collect())
     assert found == [(20, 750_000, -3), (9002525, 300_000, 4)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.inputs import PRIORITY_TOPICS, STOP_WORDS
-from checks.queries import SEED, SHOWN_CLUSTERS
+from checks.queries import LISTED, SEED, SHOWN_CLUSTERS
 from quern.operators.lloyd import CLUSTERS, ETA, MAX_ITERATIONS
 from quern.operators.postings import TOPIC_SPREAD
 
@@ -16,19 +16,23 @@ _STOP_LIST = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 # ---- words ---------------------------------------------------------------------------------
 
 
-def _corpus(name: str, source: str) -> str:
+def _corpus(name: str, source: str, stops: str = f"SELECT w FROM (VALUES {_STOPS}) AS s(w)") -> str:
     """CTE of one corpus: the words between spaces within its lines, stop words left out, counted."""
     return f"""{name} AS (
   SELECT word, count(*) AS cnt
   FROM (SELECT unnest(string_split(line, ' ')) AS word
         FROM (SELECT unnest(regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n')) AS line FROM {source}))
-  WHERE word <> '' AND word NOT IN (SELECT w FROM (VALUES {_STOPS}) AS s(w))
+  WHERE word <> '' AND word NOT IN ({stops})
   GROUP BY word)"""
 
 
 _DOCUMENTS = _corpus("l", "documents")
 _BENCHMARK = _corpus("r", "benchmark")
 _CHAT = _corpus("c", "conversations")
+_LISTED = (
+    _corpus("b", "benchmark", "SELECT '' AS w")
+    + f", listed AS (SELECT word FROM b ORDER BY cnt DESC, word LIMIT {LISTED})"
+)
 
 ORACLES["word_count"] = """
 SELECT word, count(*) AS cnt
@@ -37,6 +41,9 @@ WHERE word <> '' GROUP BY word"""
 
 ORACLES["corpus_word_count"] = f"WITH {_DOCUMENTS} SELECT word, cnt FROM l"
 
+ORACLES["file_stop_words"] = f"""
+WITH {_LISTED}, {_corpus("d", "documents", "SELECT word FROM listed")} SELECT word, cnt FROM d"""
+
 ORACLES["common_words"] = f"""
 WITH {_DOCUMENTS}, {_BENCHMARK}
 SELECT least(l.cnt, r.cnt) AS cnt, word FROM l JOIN r USING (word)"""
@@ -248,6 +255,12 @@ ORACLES["tokens_clean"] = f"""
 WITH {_LINES}, {_TOKENS}
 SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n, array_to_string(kept, ' ') AS kept FROM clean"""
 
+ORACLES["tokens_clean_joined"] = f"""
+WITH {_LINES}, {_TOKENS}, {_LISTED}, stops AS (SELECT list(lower(word)) AS stop FROM listed)
+SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n,
+       array_to_string(list_filter(tokens, lambda t: NOT list_contains(stop, t)), ' ') AS kept
+FROM clean CROSS JOIN stops"""
+
 ORACLES["token_freq_by_group"] = f"WITH {_LINES}, {_TOKENS} SELECT lang, word, cnt FROM counts"
 
 ORACLES["top_tokens_by_group"] = f"""
@@ -255,6 +268,28 @@ WITH {_LINES}, {_TOKENS}
 SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, word) AS INTEGER) AS rank, word, cnt
 FROM counts QUALIFY rank <= 5"""
 
+ORACLES["word2vec_vocabulary"] = f"""
+WITH {_LINES}, {_TOKENS}
+SELECT word FROM (SELECT unnest(kept) AS word FROM clean) GROUP BY word HAVING count(*) >= 2"""
+
+ORACLES["word2vec_means"] = f"WITH {_LINES} SELECT count(*) AS texts, 0 AS differing FROM lines"
+ORACLES["text_cluster_sizes"] = f"WITH {_LINES} SELECT {SHOWN_CLUSTERS} AS clusters, count(*) AS texts FROM lines"
+ORACLES["pca_facts"] = "SELECT count(*) AS points, 0::DOUBLE AS covariance, true AS ordered FROM embeddings"
+ORACLES["ml_kmeans_facts"] = "SELECT count(*) AS points, 0 AS misplaced FROM embeddings"
+
+ORACLES["cluster_report_by_key"] = f"""
+WITH {_LINES}, {_TOKENS},
+keys AS (SELECT CAST(range AS INTEGER) AS cluster FROM range({SHOWN_CLUSTERS} + 1)),
+sizes AS (SELECT doc_id % {SHOWN_CLUSTERS} AS cluster, count(*) AS size FROM clean GROUP BY 1),
+freq AS (
+  SELECT cluster, word, count(*) AS n
+  FROM (SELECT doc_id % {SHOWN_CLUSTERS} AS cluster, unnest(kept) AS word FROM clean) WHERE word <> '' GROUP BY ALL),
+top AS (
+  SELECT cluster, string_agg(word || ':' || n, ' ' ORDER BY n DESC, word) AS top
+  FROM (SELECT * FROM freq QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, word) <= 5) GROUP BY cluster)
+SELECT cluster, coalesce(size, 0) AS size, CAST(cluster AS DOUBLE) AS center_x, coalesce(top, '') AS top
+FROM keys LEFT JOIN sizes USING (cluster) LEFT JOIN top USING (cluster)"""
+
 ORACLES["silhouette_by_label"] = """
 WITH long AS (
   SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
@@ -304,6 +339,18 @@ SELECT *, CASE WHEN expected = 0 THEN 'unexpected count'
                ELSE 'words differ' END AS status
 FROM g"""
 
+ORACLES["top_k_verdict"] = f"""
+WITH statuses AS ({ORACLES["topk_diff"]}),
+bad AS (SELECT status FROM statuses WHERE status <> 'ok')
+SELECT 'same' AS "case", 'passed' AS verdict
+UNION ALL
+SELECT 'turned', CASE WHEN (SELECT count(DISTINCT cnt) FROM ({ORACLES["topk_common_words"]})) > 1
+                      THEN 'wrong order' ELSE 'passed' END
+UNION ALL
+SELECT 'other', CASE WHEN NOT EXISTS (FROM bad) THEN 'passed'
+                     WHEN NOT EXISTS (FROM bad WHERE status <> 'unexpected count') THEN 'too long'
+                     ELSE 'wrong words' END"""
+
 ORACLES["result_verdict"] = f"""
 WITH {_RATINGS}, turned AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM ratings),
 back AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM turned)
@@ -330,6 +377,7 @@ ORACLES["score_csv_sink"] = ORACLES["ratings_parse"]
 ORACLES["projection_sink"] = """
 SELECT embedding[i]::DOUBLE AS x, embedding[i + 1]::DOUBLE AS y, cluster
 FROM (SELECT embedding, label AS cluster, unnest(range(1, len(embedding), 2)) AS i FROM embeddings)"""
+ORACLES["projection_sink_bracketed"] = ORACLES["projection_sink"]
 ORACLES["text_sink"] = f"WITH {_LINES} SELECT line AS value, count(*) AS cnt FROM lines GROUP BY line"
 ORACLES["short_text_csv"] = """
 SELECT md5(regexp_replace(text, '[^\\x{00}-\\x{ff}]', '?', 'g')) AS digest FROM documents"""

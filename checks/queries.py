@@ -46,6 +46,23 @@ def corpus_word_count(spark, sf):
     return words.corpus_counts(analyses.corpus_words(inputs.documents(spark, sf), inputs.STOP_WORDS, "text"))
 
 
+LISTED = 50  # words of the list that is read from a file
+
+
+def _word_list_file(spark, sf):
+    """The most frequent words of the benchmark, written as a word list and read back."""
+    path = new_path(spark, "word-list")
+    frequent = words.top_k(words.corpus_counts(analyses.corpus_words(inputs.benchmark(spark, sf), None, "text")), LISTED)
+    writers.write_texts(frequent, path, "word")
+    return readers.read_word_list(spark, path)
+
+
+@query
+def file_stop_words(spark, sf):
+    listed = _word_list_file(spark, sf)
+    return words.corpus_counts(analyses.corpus_words(inputs.documents(spark, sf), listed, "text"))
+
+
 @query
 def common_words(spark, sf):
     left = words.corpus_counts(analyses.corpus_words(inputs.documents(spark, sf), None, "text"), inputs.STOP_WORDS)
@@ -239,6 +256,14 @@ def tokens_clean(spark, sf):
     return _clean(spark, sf).select("doc_id", F.size("tokens").alias("n"), F.array_join("kept", " ").alias("kept"))
 
 
+@query
+def tokens_clean_joined(spark, sf):
+    """A word list from a file, taken for too long to leave the cluster."""
+    tokens = textml.tokenize(inputs.short_texts(spark, sf))
+    kept = textml.remove_stop_words(tokens, _word_list_file(spark, sf), limit=0)
+    return kept.select("doc_id", F.size("tokens").alias("n"), F.array_join("kept", " ").alias("kept"))
+
+
 @query
 def token_freq_by_group(spark, sf):
     return words.count_words(words.explode_words(_clean(spark, sf), F.col("kept"), "lang"), "lang")
@@ -291,6 +316,72 @@ def text_cluster_report(spark, sf):
     return found.report
 
 
+@query
+def word2vec_vocabulary(spark, sf):
+    """The words that got a vector."""
+    tokens = stage(_clean(spark, sf).select("kept"), "tokens")
+    return textml.word_vectors(tokens, SEED, vector_size=4, tasks=TASKS).getVectors().select("word")
+
+
+@query
+def word2vec_means(spark, sf):
+    """Texts, and those whose vector is not the mean over their tokens, where a word without a vector adds nothing."""
+    tokens = stage(_clean(spark, sf).select(F.monotonically_increasing_id().alias("text_no"), "kept"), "tokens")
+    model = textml.word_vectors(tokens, SEED, vector_size=4, tasks=TASKS)
+    known = model.getVectors().select("word", vector_to_array("vector").alias("of_word"))
+    words_of = tokens.select("text_no", F.size("kept").alias("n"), F.explode("kept").alias("word")).join(known, "word")
+    parts = [F.sum(F.col("of_word")[i] / F.col("n")) for i in range(4)]
+    means = words_of.groupBy("text_no").agg(F.array(*parts).alias("mean"))
+    found = model.transform(tokens).select("text_no", vector_to_array("vector").alias("vector")).join(means, "text_no", "left")
+    far = [F.abs(F.col("vector")[i] - F.coalesce(F.col("mean")[i], F.lit(0.0))) > 1e-5 for i in range(4)]
+    wrong = F.greatest(*[f.cast("long") for f in far])
+    return found.agg(F.count(F.lit(1)).alias("texts"), F.sum(wrong).alias("differing"))
+
+
+@query
+def pca_facts(spark, sf):
+    """What makes two columns the first principal components, but for their direction."""
+    xy = textml.project_2d(inputs.embeddings(spark, sf)).select(vector_to_array("projection").alias("p"))
+    x, y = F.col("p")[0], F.col("p")[1]
+    return xy.agg(
+        F.count(F.lit(1)).alias("points"),
+        F.abs(F.round(F.covar_pop(x, y), 6)).alias("covariance"),
+        (F.var_pop(x) >= F.var_pop(y)).alias("ordered"),
+    )
+
+
+@query
+def ml_kmeans_facts(spark, sf):
+    """Points, and those that are not with their nearest centre."""
+    vectors = inputs.embeddings(spark, sf)
+    model = textml.cluster_vectors(vectors, SEED, SHOWN_CLUSTERS)
+    centers = [F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()]
+    point = vector_to_array("vector").alias("p")
+    away = F.array(*[
+        F.aggregate(F.zip_with("p", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v) for c in centers
+    ])
+    placed = model.transform(vectors).select("cluster", point).select("cluster", away.alias("away"))
+    wrong = F.col("away")[F.col("cluster")] > F.array_min("away") + 1e-9
+    return placed.agg(F.count(F.lit(1)).alias("points"), F.sum(wrong.cast("long")).alias("misplaced"))
+
+
+@query
+def cluster_report_by_key(spark, sf):
+    """The report of known clusters, the last of them empty."""
+    clustered = _clean(spark, sf).withColumn("cluster", (F.col("doc_id") % SHOWN_CLUSTERS).cast("int"))
+    report = textml.cluster_report(clustered, [[float(i), 0.5] for i in range(SHOWN_CLUSTERS + 1)])
+    shown = F.transform("top_tokens", lambda t: F.concat_ws(":", t["token"], t["freq"].cast("string")))
+    return report.select("cluster", "size", F.col("center")[0].alias("center_x"), F.array_join(shown, " ").alias("top"))
+
+
+@query
+def text_cluster_sizes(spark, sf):
+    """From six-field lines to clusters: how many there are and how many texts they hold."""
+    texts = readers.tail_field_text(inputs.short_text_lines(spark, sf))
+    found = plans.cluster_texts(texts, inputs.STOP_WORDS, SEED, SHOWN_CLUSTERS, 4, tasks=TASKS)
+    return found.report.agg(F.count(F.lit(1)).alias("clusters"), F.sum("size").alias("texts"))
+
+
 @query
 def silhouette_sweep(spark, sf):
     tokens = stage(_clean(spark, sf).select("kept"), "tokens")
@@ -322,6 +413,26 @@ def topk_diff(spark, sf):
     )
 
 
+@query
+def top_k_verdict(spark, sf):
+    """A top-k result against itself, against itself in reverse, and against one of another corpus."""
+    left = inputs.documents(spark, sf)
+    chat = inputs.table(spark, sf, "conversations").select("text")
+    expected, other = (
+        stage(
+            words.top_n_per_group(
+                plans.top_k_common_words(left, right, inputs.STOP_WORDS, 20, "text").withColumn("all", F.lit(1)), "all", 20
+            ).drop("all"),
+            "top",
+        )
+        for right in (inputs.benchmark(spark, sf), chat)
+    )
+    turned = expected.withColumn("rank", -F.col("rank"))
+    cases = {"same": expected, "turned": turned, "other": other}
+    rows = [(case, compare.top_k_verdict(expected.select("cnt", "word"), ranked)) for case, ranked in cases.items()]
+    return spark.createDataFrame(rows, "case string, verdict string")
+
+
 @query
 def result_verdict(spark, sf):
     scores = inputs.ratings(spark, sf).withColumnRenamed("rating", "score")
@@ -360,17 +471,30 @@ def score_csv_sink(spark, sf):
     return readers.read_ratings(spark, path)
 
 
+def _labelled_pairs(spark, sf):
+    """Every two components of the vectors, with their label."""
+    values = inputs.embeddings(spark, sf).select(vector_to_array("vector").alias("v"), F.col("label").alias("cluster"))
+    starts = F.explode(F.sequence(F.lit(1), F.size("v") - 1, F.lit(2))).alias("at")
+    two = array_to_vector(F.slice("v", F.col("at"), F.lit(2))).alias("projection")
+    return values.select("v", "cluster", starts).select(two, "cluster")
+
+
 @query
 def projection_sink(spark, sf):
     path = new_path(spark, "projection")
-    values = inputs.embeddings(spark, sf).select(vector_to_array("vector").alias("v"), F.col("label").alias("cluster"))
-    starts = F.explode(F.sequence(F.lit(1), F.size("v") - 1, F.lit(2))).alias("at")  # every two components
-    two = array_to_vector(F.slice("v", F.col("at"), F.lit(2))).alias("projection")
-    labelled = values.select("v", "cluster", starts).select(two, "cluster")
-    writers.write_projection(labelled, path)
+    writers.write_projection(_labelled_pairs(spark, sf), path)
     return spark.read.csv(path, schema="x double, y double, cluster int")
 
 
+@query
+def projection_sink_bracketed(spark, sf):
+    path = new_path(spark, "projection")
+    writers.write_projection(_labelled_pairs(spark, sf), path, layout="bracketed")
+    shown = spark.read.csv(path, schema="projection string, cluster int")
+    part = F.split(F.expr("substring(projection, 2, length(projection) - 2)"), ",")
+    return shown.select(part[0].cast("double").alias("x"), part[1].cast("double").alias("y"), "cluster")
+
+
 @query
 def text_sink(spark, sf):
     path = new_path(spark, "texts")

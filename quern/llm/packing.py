@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +29,7 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -38,27 +40,47 @@ class WordIds:
             raise ValueError("the tokenizer must mark the ends of words")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+        # A special token between words keeps them apart like texts of their own.
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.mark, self.marker = next(((i, t.content) for i, t in sorted(added.items()) if t.special), (None, ""))
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        """Keep the ids of `words`."""
+        """Keep the ids of `words` among the young."""
         found = {w: self.old[w] for w in words if w in self.old}
         new = [w for w in words if w not in found]
         plain = [w for w in new if w.decode("utf-8", "replace").isalpha()]
+        other = list(set(new).difference(plain))
         for start in range(0, len(plain), 256):
-            part = plain[start : start + 256]
-            ids = np.array(self._encode([b" ".join(part)])[0], dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            # Plain words are one piece each, unless the tokenizer splits them otherwise.
-            pieces = np.split(ids, cuts[:-1]) if len(cuts) == len(part) else self._encode(part)
-            found.update(zip(part, map(_packed, pieces), strict=True))
-        other = sorted(set(new).difference(plain))
-        found.update(zip(other, map(_packed, self._encode(other)), strict=True))
+            self._learn_joined(found, plain[start : start + 256], b" ", lambda ids: np.flatnonzero(self.ends[ids]) + 1, 0)
+        for start in range(0, len(other), 256):
+            part = other[start : start + 256]
+            if self.mark is None:
+                found.update(zip(part, self._each(part), strict=True))
+            else:
+                marker = self.marker.encode()
+                self._learn_joined(found, part, marker, lambda ids: np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
         if len(self.young) + len(found) > CACHED_WORDS:
             self.old, self.young = self.young, {}
         self.young.update(found)
 
+    def _learn_joined(self, found: dict[bytes, bytes], part: list[bytes], between: bytes, ends_of, gap: int) -> None:
+        """Tokenise words as one text. `ends_of` finds where each ends in the ids, the next starting `gap` ids later;
+        words that are not one piece each, as both ways of joining expect, are tokenised one by one."""
+        ids = np.array(self._encode([between.join(part)])[0], dtype="<u4")
+        ends = ends_of(ids).tolist()
+        if len(ends) != len(part):
+            found.update(zip(part, self._each(part), strict=True))
+            return
+        packed, start = ids.tobytes(), 0
+        for word, end in zip(part, ends, strict=True):
+            found[word] = packed[4 * start : 4 * end]
+            start = end + gap
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        return [np.asarray(ids, dtype="<u4").tobytes() for ids in self._encode(words)]
+
     def _encode(self, texts: list[bytes]) -> list[list[int]]:
         strings = [t.decode("utf-8", "replace") for t in texts]
         return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
@@ -67,16 +89,15 @@ class WordIds:
         """The ids of each text."""
         # The tokenizer lower-cases; doing it first keeps fewer words, but would make special tokens.
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing: set[bytes] = set().union(*split) - self.young.keys()
+        words = set().union(*split)
+        missing = words - self.young.keys()
         if missing:
             self.learn(missing)
-        young, old = self.young, self.old  # words of this batch are in either
-        for words in split:
-            yield np.frombuffer(b"".join([young[w] if w in young else old[w] for w in words]), dtype="<u4")
-
-
-def _packed(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+            for word in words - self.young.keys():  # of this batch, but made old just now
+                self.young[word] = self.old[word]
+        ids_of = self.young.__getitem__
+        for text in split:
+            yield np.frombuffer(b"".join(map(ids_of, text)), dtype="<u4")
 
 
 def _word_ids(path: str) -> WordIds:

@@ -192,6 +192,20 @@ def test_urls(spark, limit):
 
 
 @needs_tables
+@pytest.mark.parametrize("kept", [400_000, 3])
+def test_word_ids_are_those_of_the_whole_text(monkeypatch, kept):
+    monkeypatch.setattr(packing, "CACHED_WORDS", kept)
+    words = packing.WordIds(tokenizer_path())
+    batches = [
+        ["It's 12,000.5 $$$ don't, end.", "a<|endoftext|>b <|endoftext|> x<|endoftext| <|endo", ""],
+        ["\u00dcn\u1e2fcode\u0301 \u2603 \u00a0x a\u00a0b", "end. It's\tnew\n<|startoftext|>", "\u2028 y"],
+        ["It's 12,000.5 again", "word word. word, wordy"],
+    ]
+    for batch in batches * 2:
+        for text, ids in zip(batch, words.of([t.encode() for t in batch]), strict=True):
+            assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark, texts):
     from tokenizers import Tokenizer
 

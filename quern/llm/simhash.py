@@ -275,7 +275,15 @@ def keep_first(docs: DataFrame, words: int = 4, errors: int = 4, seed: int = 42,
     repeat one id in a group, one stays; of a group of null ids alone, too.
     """
     hashed = stage(fingerprints(docs, words, seed, doc_id, text), "fingerprints")
-    found = stage(linked(hashed, errors), "groups")
+    found = stage(linked(hashed, errors).withColumn("own", F.conv("fingerprint", 16, -10).cast("long")), "groups")
+    return keep_rows(docs, found, lambda texts: fingerprints_of(texts, words, seed), doc_id, text)
+
+
+def keep_rows(docs: DataFrame, found: DataFrame, own_of, doc_id: str, text: str) -> DataFrame:
+    """The rows of `docs` that `found`, a stage table of `doc_id, own, component_id, group`, has first in their groups.
+
+    `own_of` gives the value `own` of texts.
+    """
     again = F.count(F.lit(1)) > 1
     repeated = stage(found.groupBy("doc_id").agg(again.alias("again")).where("again or doc_id is null").select("doc_id"), "repeated")
     removed = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
@@ -283,18 +291,18 @@ def keep_first(docs: DataFrame, words: int = 4, errors: int = 4, seed: int = 42,
         key = fresh(docs, "_gone")
         gone = removed.select(F.col("doc_id").alias(key))
         return docs.join(broadcast_if_small(gone), docs[doc_id] == F.col(key), "left_anti")
-    # Rows are told apart by id and fingerprint.
+    # Rows are told apart by id and `own`.
     names = docs.columns
     fp, key, kept_fp, group = (fresh(docs, n) for n in ("_fp", "_id", "_kept", "_group"))
 
     def with_key(batches):
         for batch in batches:
-            fps = fingerprints_of(raw_bytes(batch.column(batch.schema.names.index(text))), words, seed)
+            fps = own_of(raw_bytes(batch.column(batch.schema.names.index(text))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*batch.schema.names, fp])
 
     keyed = map_texts(docs, with_key, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
     kept = found.where("doc_id <=> component_id").select(
-        F.col("doc_id").alias(key), F.conv("fingerprint", 16, -10).cast("long").alias(kept_fp), F.col("group").alias(group)
+        F.col("doc_id").alias(key), F.col("own").alias(kept_fp), F.col("group").alias(group)
     ).distinct()
     on = keyed[doc_id].cast("long").eqNullSafe(kept[key]) & (keyed[fp] == kept[kept_fp])
     return keyed.join(kept, on).dropDuplicates([key, group]).select(*[keyed[n] for n in names])

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls
+from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, similar, simhash, toxicity, urls
 from quern.llm.queries import QUERIES, URL_RULES, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
@@ -371,6 +371,41 @@ def test_simhash_odd_rows(odd, none):
     assert simhash.keep_first(odd.where("doc_id in (1, 2, 7)")).count() == 2
 
 
+def test_edited_copies_go(spark):
+    """Copies with edits that are more than four bits apart, held against all pairs."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 120)]
+        for edits in range(6):
+            words = list(base)
+            for at in rng.choice(120, edits, replace=False):
+                words[at] = f"e{rng.integers(0, 10**6)}"
+            texts.append(" ".join(words))
+    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    first = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                low, high = sorted((first[a], first[b]))
+                first = [low if x == high else x for x in first]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in similar.groups(df).collect()} == dict(enumerate(first))
+    import corpus_pipeline
+
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(first))
+    fps = simhash.fingerprints_of([t.encode() for t in texts], 4, 42)
+    assert len(set(classes(fps, 4))) > len(set(first))
+
+
+def test_similar_odd_rows(odd, none):
+    kept = similar.keep_first(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 3, 7, 8, None]
+    assert similar.keep_first(none).collect() == []
+
+
 # 7 languages
 
 

@@ -19,6 +19,8 @@ FIT_VECTORS = 16_384
 LIST_VECTORS = 256
 MOST_LISTS = 4096
 ROWS_PER_BLOCK = 4096
+#: Lists that every query visits, if there are as many.
+LISTS_LEAST = 16
 #: Rows whose distances to the centroids are in memory at once.
 ROWS_AT_ONCE = 1024
 
@@ -87,6 +89,18 @@ class Centroids:
         return far, far.min(axis=1) * ratio
 
 
+def reach(far: np.ndarray, sizes: np.ndarray, rows: int, least: int, ratio: float) -> np.ndarray:
+    """How far each query looks, for its distances to all lists and the rows that have each as their nearest.
+
+    `ratio` times the distance within which lists of `rows` such rows lie, and as far as the `least` nearest lists.
+    """
+    order = np.argsort(far, axis=1, kind="stable")
+    sorted_far = np.take_along_axis(far, order, axis=1)
+    enough = np.cumsum(sizes[order], axis=1) >= min(rows, int(sizes.sum()))
+    base = sorted_far[np.arange(len(far)), enough.argmax(axis=1)]
+    return np.maximum(base * ratio, sorted_far[:, min(least, far.shape[1]) - 1])
+
+
 def _distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * cosine, 1e-12))
 
@@ -133,10 +147,11 @@ def nearest(
     Nearness is the cosine of the original vectors in double precision; ties go to the smaller id. Centroids
     are fitted on at most `FIT_VECTORS` vectors drawn by a digest. Every vector lies in the list of its nearest
     centroid and, near a boundary, in up to `copies` lists whose centroids are at most `boundary` times as far.
-    A query visits the lists whose centroids are at most `ratio` times as far as its nearest one; there is no
-    cap on their number. Lists and the queries that visit them meet in blocks of `ROWS_PER_BLOCK` each, so a
+    A query visits the `LISTS_LEAST` nearest lists and those whose centroids are at most `ratio` times as far as
+    the nearest lists that `LIST_VECTORS` rows, or more than `k`, have as their nearest; there is no cap on their
+    number, so a query that is the centroid of a small list goes on to others. Lists and the queries that visit them meet in blocks of `ROWS_PER_BLOCK` each, so a
     list of very many equal vectors spreads over tasks and stays whole. Rows that `usable` drops are neither
-    queries nor candidates; a row repeated is a row of its own. With fewer than `k` others all found are
+    queries nor candidates; a row repeated is a row of its own. With fewer than `k` others in the table all are
     returned, and an empty table gives no rows.
     """
     rows = usable(vectors, vec_id, vector)
@@ -151,26 +166,38 @@ def nearest(
     np.random.default_rng(3).shuffle(sample)
     centroids = Centroids.fit(sample, min(MOST_LISTS, -(-total // LIST_VECTORS)))
 
-    def assign(limit: float, least: int, most: int | None, also: str):
-        """Adds the lists of every row."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for start in range(0, whole.num_rows, ROWS_AT_ONCE):
-                    batch = whole.slice(start, ROWS_AT_ONCE)
-                    unit = _unit(_matrix(batch.column("vector"), dim)).astype(np.float32)
-                    far, edge = centroids.near(unit, limit, least)
-                    if most:
-                        edge = np.minimum(edge, np.partition(far, min(most, far.shape[1]) - 1, axis=1)[:, min(most, far.shape[1]) - 1])
-                    row, to = np.nonzero(far <= edge[:, None])
-                    out = batch.take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), *out.columns], ["list", *out.schema.names])
-
-        return run
-
-    schema = "list int, row long, vec_id long, vector array<double>"
-    lists = stage(rows.mapInArrow(assign(boundary, 16, copies, "copies"), schema), "lists")
-    asked = stage(rows.where(is_query).mapInArrow(assign(ratio, 16, None, "visits"), schema), "visits")
+    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                yield batch, _unit(_matrix(batch.column("vector"), dim)).astype(np.float32)
+
+    def chosen(batch: pa.RecordBatch, far: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+        row, to = np.nonzero(far <= edge[:, None])
+        out = batch.take(pa.array(row))
+        first = pa.array(to == far.argmin(axis=1)[row])
+        return pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), first, *out.columns], ["list", "first", *out.schema.names])
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, unit in batches_of(batches):
+            far, edge = centroids.near(unit, boundary, 16)
+            most = min(copies, far.shape[1]) - 1
+            yield chosen(batch, far, np.minimum(edge, np.partition(far, most, axis=1)[:, most]))
+
+    schema = "list int, first boolean, row long, vec_id long, vector array<double>"
+    lists = stage(rows.mapInArrow(copied, schema), "lists")
+    sizes_of = np.zeros(len(centroids.points), dtype=np.int64)
+    for r in lists.where("first").groupBy("list").count().collect():  # at most `MOST_LISTS`
+        sizes_of[r["list"]] = r["count"]
+
+    enough = max(LIST_VECTORS, k + 1)
+
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, unit in batches_of(batches):
+            far = _distance(unit @ centroids.points.T)
+            yield chosen(batch, far, reach(far, sizes_of, enough, LISTS_LEAST, ratio))
+
+    asked = stage(rows.where(is_query).mapInArrow(visited, schema), "visits")
 
     def blocks(of: DataFrame, name: str) -> DataFrame:
         n = F.ceil(F.count(F.lit(1)) / ROWS_PER_BLOCK).cast("int")

@@ -513,6 +513,30 @@ def test_many_equal_vectors_stay_whole(spark):
     assert [r["vec_id"] for r in found] == [0, 1, 2, 3, 4]
 
 
+def test_small_groups_find_others(spark):
+    """Groups of 3 near-equal vectors, some of which are all of a list, among many copies."""
+    rng = np.random.default_rng(9)
+    copies = np.repeat(rng.normal(size=(12, 8)), 340, axis=0)
+    groups = np.repeat(rng.normal(size=(8, 8)), 3, axis=0) + 1e-4 * rng.normal(size=(24, 8))
+    points = np.concatenate([copies, groups])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("vec_id") >= len(copies)).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["score"])
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    for i in range(len(copies), len(points)):
+        cosine = unit @ unit[i]
+        cosine[i] = -2
+        assert found[i] == pytest.approx(np.sort(cosine)[:-6:-1])
+
+
+def test_reach_goes_past_small_lists():
+    far = np.array([[1e-6, 0.5, 0.6, 0.7, 2.0]])
+    assert ann.reach(far, np.array([3, 0, 2, 300, 300]), 6, 1, 1.0).tolist() == [0.7]
+    assert ann.reach(far, np.array([3, 1, 0, 0, 0]), 6, 1, 1.0).tolist() == [0.5]
+    assert ann.reach(far, np.array([600, 0, 0, 0, 0]), 6, 3, 1.3).tolist() == [0.6]
+
+
 # 10 mixing
 
 

@@ -9,6 +9,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import map_texts
 
-#: Bytes up to which one compressed layer is unwrapped. A larger one is reported, not scanned.
+#: Bytes of a compressed layer that are scanned at once. A larger one is scanned in blocks with an overlap, and reported.
 LAYER_BYTES = 1 << 26
+OVERLAP_BYTES = 1 << 20
+#: Compressed bytes that are unwrapped at once.
+_PIECE = 1 << 14
 
 # The kinds of secrets in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -36,10 +40,17 @@ _UNICODE = re.compile(
     rf"\\u{_HIGH}\\u{_LOW}|[\\%]u[0-9a-fA-F]{{4}}|\\u\{{[0-9a-fA-F]{{1,6}}\}}|\\U[0-9a-fA-F]{{8}}|\\x[0-9a-fA-F]{{2}}"
     r"|&#[xX][0-9a-fA-F]{1,6};|&#[0-9]{1,7};"
 )
+_RUN_LEAST = 16
+_STANDARD = str.maketrans("-_", "+/")
+_PIECES = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{60,}\r?\n)+[A-Za-z0-9+/_-]+={0,2}")
 
 
+# No secret is shorter, and none gets shorter by an encoding.
+_STRETCH = re.compile(rb"[\t-\r\x20-\x7e]{12,}")
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+
 _ASSIGN_PARTS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 
@@ -91,26 +102,23 @@ class _Layer:
         tail = (self.text[at:], self.low[at:], self.high[at:])
         return _Layer("".join([*text, tail[0]]), np.concatenate([*low, tail[1]]), np.concatenate([*high, tail[2]]))
 
-    def part(self, start: int, end: int, data: bytes, ends: np.ndarray | None) -> _Layer | None:
-        """The layer that `data` holds; byte i of it ends at character ends[i] of start..end, or anywhere."""
-        text = _readable(data)
-        if text is None:
-            return None
-        if ends is None:
-            return _Layer(text, np.full(len(text), self.low[start]), np.full(len(text), self.high[end - 1]))
-        sizes = np.array([len(c.encode()) for c in text])
-        last = np.cumsum(sizes)
-        first = np.r_[0, ends[last[:-1] - 1] - 1] if len(text) > 1 else np.zeros(1, dtype=np.int64)
-        return _Layer(text, self.low[start + first], self.high[start + ends[last - 1] - 1])
-
+    def parts(self, start: int, end: int, data: bytes, ends: np.ndarray | None) -> list[_Layer]:
+        """The layers that `data` holds; byte i of it ends at character ends[i] of start..end, or anywhere.
 
-def _readable(data: bytes) -> str | None:
-    """The text of bytes that are UTF-8 without control characters, else None."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c.isspace() for c in text) else None
+        One for each stretch that can hold a secret or an encoded one, a character for every byte: all that is
+        looked for is ASCII.
+        """
+        found = []
+        for m in _STRETCH.finditer(data):
+            a, b = m.span()
+            text = m.group().decode("ascii")
+            if ends is None:
+                low, high = np.full(b - a, self.low[start]), np.full(b - a, self.high[end - 1])
+            else:
+                first = np.r_[0, ends[:-1] - 1][a:b]
+                low, high = self.low[start + first], self.high[start + ends[a:b] - 1]
+            found.append(_Layer(text, low, high))
+        return found
 
 
 def _percent(text: str) -> str | None:
@@ -129,46 +137,71 @@ def _escape(text: str) -> str | None:
     return chr(code) if 0 < code < 0xD800 or 0xDFFF < code < 0x110000 else None
 
 
-def _from_base64(run: str) -> tuple[bytes, np.ndarray] | None:
-    """The bytes of a run, and after which of its characters each is complete."""
-    kept = [i for i, c in enumerate(run) if c not in "=\r\n"]
-    symbols = "".join([run[i] for i in kept]).translate(str.maketrans("-_", "+/"))
-    if len(symbols) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(symbols + "=" * (-len(symbols) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    byte = np.arange(len(data))
-    return data, np.array(kept, dtype=np.int64)[np.minimum((byte * 8 + 7) // 6, len(kept) - 1)] + 1
-
-
-def _unpacked(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """What compressed bytes hold, or None if they aren't; and whether that is too large."""
-    if data[:2] == b"\x1f\x8b":
-        stream = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0:
-        stream = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        stream = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        import zstandard
-
+def _from_base64(run: str) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The bytes of a run at its four alignments, and after which of its characters each is complete."""
+    kept = np.array([i for i, c in enumerate(run) if c not in "=\r\n"], dtype=np.int64)
+    symbols = "".join([run[i] for i in kept]).translate(_STANDARD)
+    for skip in range(4):
+        size = len(symbols) - skip
+        size -= size % 4 == 1  # no byte ends with an odd symbol
+        if size < _RUN_LEAST:
+            return
         try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(most + 1)
-            return (None, True) if len(out) > most else (out, False)
-        except zstandard.ZstdError:
-            return None, False
-    else:
-        return None, False
-    try:
-        out = stream.decompress(data, most + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None, False
-    return (None, True) if len(out) > most else (out, False)
+            data = base64.b64decode(symbols[skip : skip + size] + "=" * (-size % 4), validate=True)
+        except (binascii.Error, ValueError):
+            continue
+        byte = np.arange(len(data))
+        yield data, kept[skip + np.minimum((byte * 8 + 7) // 6, size - 1)] + 1
+
+
+def _members(data: memoryview) -> Iterator[bytes]:
+    """Blocks of what compressed bytes hold, member after member, up to the first that isn't whole."""
+    while len(data):
+        head = bytes(data[:6])
+        if head[:3] == b"\x1f\x8b\x08":
+            stream = zlib.decompressobj(31)
+        elif head[:2] in (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"):
+            stream = zlib.decompressobj()
+        elif head[:3] == b"BZh":
+            stream = bz2.BZ2Decompressor()
+        elif head == b"\xfd7zXZ\x00":
+            stream = lzma.LZMADecompressor()
+        elif head[:4] == b"\x28\xb5\x2f\xfd":
+            import zstandard
+
+            stream = zstandard.ZstdDecompressor().decompressobj()
+        else:
+            return
+        at = 0
+        while at < len(data) and not stream.eof:
+            # Few bytes at once: no block gets large.
+            piece = data[at : at + _PIECE]
+            at += len(piece)
+            try:
+                out = stream.decompress(piece)
+            except Exception:  # each library has errors of its own
+                return
+            if out:
+                yield out
+        if not stream.eof:
+            return
+        data = data[at - len(stream.unused_data) :]
+
+
+def _unpacked(data: bytes, most: int) -> tuple[list[bytes], bool]:
+    """What the compressed streams in some bytes hold, in blocks of `most` bytes that overlap, and whether one was larger."""
+    found, large = [], False
+    for m in _PACKED.finditer(data):
+        held = bytearray()
+        for block in _members(memoryview(data)[m.start() :]):
+            held += block
+            while len(held) > most:
+                large = True
+                found.append(bytes(held[:most]))
+                del held[: max(1, most - OVERLAP_BYTES)]
+        if held:
+            found.append(bytes(held))
+    return found, large
 
 
 def _below(layer: _Layer, most: int) -> tuple[list[_Layer], bool]:
@@ -181,23 +214,23 @@ def _below(layer: _Layer, most: int) -> tuple[list[_Layer], bool]:
     runs = [m.span() for m in _RUN.finditer(text)]
     if any(end - start >= 60 for start, end in runs):
         runs += [m.span() for m in _WRAPPED.finditer(text)]
+    # What ends at a separator is decoded without what follows, too.
+    runs += [
+        (start + m.start(), start + m.end()) for start, end in runs for m in _PIECES.finditer(text[start:end]) if m.end() - m.start() < end - start
+    ]
     for start, end in runs:
-        decoded = _from_base64(text[start:end])
-        if decoded is None:
-            continue
-        data, ends = decoded
-        inner, large = _unpacked(data, most)
-        too_large |= large
-        if inner is None:
-            found.append(layer.part(start, end, data, ends))
-            continue
-        while True:  # compressed again, without another encoding between
-            deeper, large = _unpacked(inner, most)
-            too_large |= large
-            if deeper is None or deeper == inner:
-                break
-            inner = deeper
-        found.append(layer.part(start, end, inner, None))
+        for data, ends in _from_base64(text[start:end]):
+            found += layer.parts(start, end, data, ends)
+            work, seen = [data], set()
+            while work:  # compressed again, without another encoding between
+                inner, large = _unpacked(work.pop(), most)
+                too_large |= large
+                for block in inner:
+                    digest = hashlib.sha256(block).digest()
+                    if digest not in seen:
+                        seen.add(digest)
+                        work.append(block)
+                        found += layer.parts(start, end, block, None)
     return [x for x in found if x is not None and x.text], too_large
 
 
@@ -235,7 +268,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
     Counts and the digest are of the plain spans; `spans` also has those found below URL, Unicode, base64 and
     compressed layers, as code points of the original. A span found below a compressed layer is that of the whole
     layer. Null texts are empty and have no spans. `complete` is false when a compressed layer holds more than
-    `most` bytes; nothing else is left out, and no text is cut. Repeated rows and other columns don't matter.
+    `most` bytes: it is scanned in blocks, and what is longer than their overlap may be missed. No text is cut. Repeated rows and other columns don't matter.
     """
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "complete"]
     types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.bool_()]

@@ -280,6 +280,19 @@ def test_layers_are_unwrapped(hidden):
     assert any(k == "assign" and a == 9 and 9 + len(hidden) - 2 <= b <= 9 + len(hidden) for k, a, b in spans)
 
 
+@pytest.mark.parametrize("before", ["id-", "/d/", "key-", "x_", "a", "ab", "abc", "a/b-"])
+@pytest.mark.parametrize("after", ["", "a", "-b", "/ab", "_abc"])
+def test_layers_that_touch_others(before, after):
+    for hidden in (ENCODED[0].rstrip("="), ENCODED[2].rstrip("=")):
+        spans = secrets.scan(f"é {before}{hidden}{after} z")[1]
+        assert any(k == "assign" and b >= 2 + len(before) + len(hidden) - 2 for k, a, b in spans)
+
+
+def test_layers_with_control_bytes():
+    hidden = base64.b64encode(b"\0\1 " + SECRET.encode() + b"\xff\0").decode()
+    assert [k for k, _, _ in secrets.scan(hidden)[1]] == ["assign"]
+
+
 def test_plain_matches():
     text = "API_KEY: 'abc123' token=abc secret=token: abcdefgh AKIA" + "A" * 16 + " " + "0f" * 12 + " ſecret=abcdefgh"
     assert secrets.as_text(secrets.matches(text)) == "assign:0:16,access:51:71,hex:72:96"

@@ -22,7 +22,7 @@ from quern.llm.common import map_texts
 LAYER_BYTES = 1 << 26
 OVERLAP_BYTES = 1 << 20
 #: Compressed bytes that are unwrapped at once.
-_PIECE = 1 << 14
+_PIECE = 1 << 10
 
 # The kinds of secrets in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -113,7 +113,7 @@ class _Layer:
             a, b = m.span()
             text = m.group().decode("ascii")
             if ends is None:
-                low, high = np.full(b - a, self.low[start]), np.full(b - a, self.high[end - 1])
+                low, high = np.broadcast_to(self.low[start], b - a), np.broadcast_to(self.high[end - 1], b - a)
             else:
                 first = np.r_[0, ends[:-1] - 1][a:b]
                 low, high = self.low[start + first], self.high[start + ends[a:b] - 1]
@@ -174,7 +174,7 @@ def _members(data: memoryview) -> Iterator[bytes]:
             return
         at = 0
         while at < len(data) and not stream.eof:
-            # Few bytes at once: no block gets large.
+            # Few bytes at once, as one may stand for tens of thousands.
             piece = data[at : at + _PIECE]
             at += len(piece)
             try:
@@ -188,29 +188,44 @@ def _members(data: memoryview) -> Iterator[bytes]:
         data = data[at - len(stream.unused_data) :]
 
 
-def _unpacked(data: bytes, most: int) -> tuple[list[bytes], bool]:
-    """What the compressed streams in some bytes hold, in blocks of `most` bytes that overlap, and whether one was larger."""
-    found, large = [], False
+def _unpacked(data: bytes, most: int) -> Iterator[tuple[bytes, bool]]:
+    """What the compressed streams in some bytes hold, in overlapping blocks of `most` bytes; and whether a block isn't all."""
+    step = most - min(OVERLAP_BYTES, most // 4)
     for m in _PACKED.finditer(data):
         held = bytearray()
         for block in _members(memoryview(data)[m.start() :]):
             held += block
             while len(held) > most:
-                large = True
-                found.append(bytes(held[:most]))
-                del held[: max(1, most - OVERLAP_BYTES)]
+                yield bytes(held[:most]), True
+                del held[:step]
         if held:
-            found.append(bytes(held))
-    return found, large
+            yield bytes(held), False
 
 
-def _below(layer: _Layer, most: int) -> tuple[list[_Layer], bool]:
-    """The layers directly below one, and whether one was too large."""
-    text, found, too_large = layer.text, [], False
+def _contents(data: bytes, most: int) -> Iterator[tuple[bytes, bool]]:
+    """What is compressed in some bytes, and what is compressed in that without another encoding between, once each."""
+    seen, stack = set(), [_unpacked(data, most)]
+    while stack:
+        block, large = next(stack[-1], (None, False))
+        if block is None:
+            stack.pop()
+            continue
+        digest = hashlib.sha256(block).digest()
+        if digest in seen:
+            yield b"", large
+            continue
+        seen.add(digest)
+        yield block, large
+        stack.append(_unpacked(block, most))
+
+
+def _below(layer: _Layer, most: int) -> Iterator[tuple[list[_Layer], bool]]:
+    """The layers directly below one, and whether one is too large to be scanned at once."""
+    text = layer.text
     if "%" in text:
-        found.append(layer.replaced(_PERCENT, _percent))
+        yield [layer.replaced(_PERCENT, _percent)], False
     if "\\" in text or "&#" in text or "%u" in text:
-        found.append(layer.replaced(_UNICODE, _escape))
+        yield [layer.replaced(_UNICODE, _escape)], False
     runs = [m.span() for m in _RUN.finditer(text)]
     if any(end - start >= 60 for start, end in runs):
         runs += [m.span() for m in _WRAPPED.finditer(text)]
@@ -220,41 +235,36 @@ def _below(layer: _Layer, most: int) -> tuple[list[_Layer], bool]:
     ]
     for start, end in runs:
         for data, ends in _from_base64(text[start:end]):
-            found += layer.parts(start, end, data, ends)
-            work, seen = [data], set()
-            while work:  # compressed again, without another encoding between
-                inner, large = _unpacked(work.pop(), most)
-                too_large |= large
-                for block in inner:
-                    digest = hashlib.sha256(block).digest()
-                    if digest not in seen:
-                        seen.add(digest)
-                        work.append(block)
-                        found += layer.parts(start, end, block, None)
-    return [x for x in found if x is not None and x.text], too_large
+            yield layer.parts(start, end, data, ends), False
+            for block, large in _contents(data, most):
+                yield layer.parts(start, end, block, None), large
 
 
 def scan(text: str, most: int = LAYER_BYTES) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], bool]:
     """The plain spans of a text, all spans, and whether every layer was scanned.
 
-    A worklist unwraps layers until no new one comes up. A layer already seen at the same place of the original
+    A stack unwraps layers until no new one comes up, so that one path of them is held. A layer already seen at the same place of the original
     isn't unwrapped again, so layers that hold themselves end.
     """
     plain = matches(text)
     if not text:
         return plain, plain, True
     spans, whole = set(plain), True
-    work, seen = [_Layer.root(text)], set()
+    work, seen = [_below(_Layer.root(text), most)], set()
     while work:
-        layers, too_large = _below(work.pop(), most)
+        layers, too_large = next(work[-1], (None, False))
+        if layers is None:
+            work.pop()
+            continue
         whole &= not too_large
+        deeper = []
         for layer in layers:
-            key = layer.key()
-            if key in seen:
+            if layer is None or not layer.text or (key := layer.key()) in seen:
                 continue
             seen.add(key)
-            work.append(layer)
+            deeper.append(_below(layer, most))
             spans.update((kind, int(layer.low[a]), int(layer.high[b - 1])) for kind, a, b in matches(layer.text))
+        work += deeper
     return plain, in_order(spans), whole
 
 

@@ -1,14 +1,17 @@
 """The training-data operators against brute force, and on the rows that break things."""
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
+import lzma
 import os
 import zlib
 
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, similar, simhash, toxicity, urls
@@ -293,6 +296,16 @@ def test_layers_with_control_bytes():
     assert [k for k, _, _ in secrets.scan(hidden)[1]] == ["assign"]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_every_member_and_block_is_scanned(pack):
+    members = pack(b"first") + pack(SECRET.encode())
+    assert {k for k, _, _ in secrets.scan(base64.b64encode(members).decode())[1]} == {"assign"}
+    large = pack(bytes(5000) + SECRET.encode() + bytes(5000))
+    for most in (100, 1000, 5010):
+        plain, spans, whole = secrets.scan(base64.b64encode(large).decode(), most=most)
+        assert {k for k, _, _ in spans} == {"assign"} and not whole
+
+
 def test_plain_matches():
     text = "API_KEY: 'abc123' token=abc secret=token: abcdefgh AKIA" + "A" * 16 + " " + "0f" * 12 + " ſecret=abcdefgh"
     assert secrets.as_text(secrets.matches(text)) == "assign:0:16,access:51:71,hex:72:96"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import mixing, packing, secrets, similar, toxicity
+from quern.llm import mixing, packing, secrets, simhash, toxicity
 from quern.llm.common import fold_of, table
 from quern.llm.queries import tokenizer_path
 from quern.session import stage
@@ -17,8 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles."""
-    return similar.keep_first(docs, words=5, similarity=0.8)
+    """One document of each group of near-duplicates, found with the settings of the operator's own query."""
+    return simhash.keep_first(docs, words=4, errors=4, seed=42)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

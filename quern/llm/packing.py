@@ -5,18 +5,21 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import map_texts, numbered, ranked, raw_bytes
 from quern.session import stage
 
-#: Words whose ids a worker keeps, in two generations: when the young one is full it becomes the old one.
+#: Words whose ids a worker keeps; when there are more, only those of the texts at hand stay. Longer words are not kept.
 CACHED_WORDS = 400_000
+CACHED_BYTES = 64
+#: Words that are tokenised as one text.
+WORDS_AT_ONCE = 256
 
 _WORKER: dict[str, WordIds] = {}
 
@@ -43,61 +46,69 @@ class WordIds:
         # A special token between words keeps them apart like texts of their own.
         added = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.marker = next(((i, t.content) for i, t in sorted(added.items()) if t.special), (None, ""))
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        """Keep the ids of `words` among the young."""
-        found = {w: self.old[w] for w in words if w in self.old}
-        new = [w for w in words if w not in found]
-        plain = [w for w in new if w.decode("utf-8", "replace").isalpha()]
-        other = list(set(new).difference(plain))
-        for start in range(0, len(plain), 256):
-            self._learn_joined(found, plain[start : start + 256], b" ", lambda ids: np.flatnonzero(self.ends[ids]) + 1, 0)
-        for start in range(0, len(other), 256):
-            part = other[start : start + 256]
-            if self.mark is None:
-                found.update(zip(part, self._each(part), strict=True))
-            else:
-                marker = self.marker.encode()
-                self._learn_joined(found, part, marker, lambda ids: np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
-        if len(self.young) + len(found) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
-        self.young.update(found)
-
-    def _learn_joined(self, found: dict[bytes, bytes], part: list[bytes], between: bytes, ends_of, gap: int) -> None:
-        """Tokenise words as one text. `ends_of` finds where each ends in the ids, the next starting `gap` ids later;
-        words that are not one piece each, as both ways of joining expect, are tokenised one by one."""
-        ids = np.array(self._encode([between.join(part)])[0], dtype="<u4")
-        ends = ends_of(ids).tolist()
-        if len(ends) != len(part):
-            found.update(zip(part, self._each(part), strict=True))
-            return
-        packed, start = ids.tobytes(), 0
-        for word, end in zip(part, ends, strict=True):
-            found[word] = packed[4 * start : 4 * end]
-            start = end + gap
-
-    def _each(self, words: list[bytes]) -> list[bytes]:
-        return [np.asarray(ids, dtype="<u4").tobytes() for ids in self._encode(words)]
-
-    def _encode(self, texts: list[bytes]) -> list[list[int]]:
-        strings = [t.decode("utf-8", "replace") for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-
-    def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.lengths = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+
+    def _learned(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """`words` in another order, their ids one after the other, and how many ids each has."""
+        alpha = pc.utf8_is_alpha(words)
+        plain, other = words.filter(alpha), words.filter(pc.invert(alpha))
+        parts = []
+        for group, between, ends_of, gap in (
+            (plain, " ", lambda ids: np.flatnonzero(self.ends[ids]) + 1, 0),
+            (other, self.marker, lambda ids: np.append(np.flatnonzero(ids == self.mark), len(ids)), 1),
+        ):
+            strings = group.to_pylist()
+            for start in range(0, len(strings), WORDS_AT_ONCE):
+                parts.append(self._joined(strings[start : start + WORDS_AT_ONCE], between, ends_of, gap))
+        ids, lengths = zip(*parts, strict=True) if parts else ([self.ids[:0]], [self.lengths[:0]])
+        return pa.concat_arrays([plain, other]), np.concatenate(ids), np.concatenate(lengths)
+
+    def _joined(self, words: list[str], between: str, ends_of, gap: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of words tokenised as one text. `ends_of` finds where each ends in the ids, the next
+        starting `gap` ids later; words that are not one piece each, as both ways of joining expect, are tokenised one by one."""
+        if between:
+            ids = np.array(self._encode([between.join(words)])[0], dtype="<u4")
+            ends = ends_of(ids)
+            if len(ends) == len(words):
+                lengths = np.diff(ends, prepend=-gap) - gap
+                return (ids[ids != self.mark] if gap else ids), lengths
+        each = self._encode(words)
+        return np.concatenate([np.asarray(x, dtype="<u4") for x in each]), np.array([len(x) for x in each], dtype=np.int64)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text. Words are split, told apart and looked up by Arrow, each distinct one once."""
+        column = pa.array([t.decode("utf-8", "replace") for t in texts], pa.large_string())
         # The tokenizer lower-cases; doing it first keeps fewer words, but would make special tokens.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        words = set().union(*split)
-        missing = words - self.young.keys()
-        if missing:
-            self.learn(missing)
-            for word in words - self.young.keys():  # of this batch, but made old just now
-                self.young[word] = self.old[word]
-        ids_of = self.young.__getitem__
-        for text in split:
-            yield np.frombuffer(b"".join(map(ids_of, text)), dtype="<u4")
+        column = pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column))
+        split = pc.ascii_split_whitespace(column)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        place = pc.index_in(words, value_set=self.known)
+        ids, lengths = self.ids, self.lengths
+        if place.null_count:
+            new, new_ids, new_lengths = self._learned(words.filter(pc.is_null(place)))
+            known, ids, lengths = pa.concat_arrays([self.known, new]), np.r_[ids, new_ids], np.r_[lengths, new_lengths]
+            place = pc.index_in(words, value_set=known)
+            self._keep(known, ids, lengths, place.to_numpy(zero_copy_only=False))
+        starts = np.cumsum(lengths) - lengths
+        codes = place.to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = lengths[codes]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - sizes), sizes)
+        return np.split(ids[at], np.r_[0, ends][split.offsets.to_numpy()[1:-1]])
+
+    def _keep(self, known: pa.Array, ids: np.ndarray, lengths: np.ndarray, used: np.ndarray) -> None:
+        """Keep words and their ids for the next texts: all, or those `used` just now when there are too many."""
+        kept = pc.binary_length(known).to_numpy() <= CACHED_BYTES
+        if kept.sum() > CACHED_WORDS:
+            now = np.zeros(len(known), dtype=bool)
+            now[used[:CACHED_WORDS]] = True
+            kept &= now
+        self.known, self.ids, self.lengths = known.filter(pa.array(kept)), ids[np.repeat(kept, lengths)], lengths[kept]
 
 
 def _word_ids(path: str) -> WordIds:

@@ -31,20 +31,26 @@ _ASSIGN_LEAST = 6
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
+# An escaped escape, escaped again and again: a long one is halved in a step, so that its layers are few.
+_CHAIN_LEAST = 8
+_CHAINS = (r"%(?:25|u0025)", r"\\(?:x5[cC]|u005[cC]|u\{0{0,4}5[cC]\}|U0000005[cC])", r"&(?:#0{0,5}38;|#[xX]0{0,4}26;)")
+_CHAIN = "|".join(f"{unit}{{{_CHAIN_LEAST},}}+" for unit in _CHAINS)
+_CHAIN_UNIT = re.compile("|".join(unit.split("(?:", 1)[1].removesuffix(")") for unit in _CHAINS))
 _PERCENT = re.compile(
+    rf"{_CHAIN}|"
     r"%[0-7][0-9A-Fa-f]|%[C-Dc-d][0-9A-Fa-f]%[89ABab][0-9A-Fa-f]"
     r"|%[Ee][0-9A-Fa-f](?:%[89ABab][0-9A-Fa-f]){2}|%[Ff][0-7](?:%[89ABab][0-9A-Fa-f]){3}"
 )
 _HIGH, _LOW = r"[dD][89abAB][0-9a-fA-F]{2}", r"[dD][c-fC-F][0-9a-fA-F]{2}"
 _UNICODE = re.compile(
-    rf"\\u{_HIGH}\\u{_LOW}|[\\%]u[0-9a-fA-F]{{4}}|\\u\{{[0-9a-fA-F]{{1,6}}\}}|\\U[0-9a-fA-F]{{8}}|\\x[0-9a-fA-F]{{2}}"
+    rf"{_CHAIN}|\\u{_HIGH}\\u{_LOW}|[\\%]u[0-9a-fA-F]{{4}}|\\u\{{[0-9a-fA-F]{{1,6}}\}}|\\U[0-9a-fA-F]{{8}}|\\x[0-9a-fA-F]{{2}}"
     r"|&#[xX][0-9a-fA-F]{1,6};|&#[0-9]{1,7};"
 )
 _RUN_LEAST = 16
 _STANDARD = str.maketrans("-_", "+/")
 _PIECES = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{60,}\r?\n)+[A-Za-z0-9+/_-]+={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,}+\r?\n)+[A-Za-z0-9+/_-]+={0,2}")
 
 
 # No secret is shorter, and none gets shorter by an encoding.
@@ -109,19 +115,30 @@ class _Layer:
         looked for is ASCII.
         """
         found = []
+        starts = None
         for m in _STRETCH.finditer(data):
             a, b = m.span()
             text = m.group().decode("ascii")
             if ends is None:
                 low, high = np.broadcast_to(self.low[start], b - a), np.broadcast_to(self.high[end - 1], b - a)
             else:
-                first = np.r_[0, ends[:-1] - 1][a:b]
-                low, high = self.low[start + first], self.high[start + ends[a:b] - 1]
+                starts = np.r_[0, ends[:-1] - 1] if starts is None else starts
+                low, high = self.low[start + starts[a:b]], self.high[start + ends[a:b] - 1]
             found.append(_Layer(text, low, high))
         return found
 
 
+def _halved(chain: str) -> str | None:
+    """A long chain of escapes without the first half of its levels; None for what is no such chain."""
+    if len(chain) < 1 + 2 * _CHAIN_LEAST:  # no unit is shorter than two characters
+        return None
+    units = list(_CHAIN_UNIT.finditer(chain, 1))
+    return chain[0] + chain[units[len(units) // 2].start() :]
+
+
 def _percent(text: str) -> str | None:
+    if (rest := _halved(text)) is not None:
+        return rest
     try:
         return bytes.fromhex(text.replace("%", "")).decode()
     except UnicodeDecodeError:
@@ -129,6 +146,8 @@ def _percent(text: str) -> str | None:
 
 
 def _escape(text: str) -> str | None:
+    if (rest := _halved(text)) is not None:
+        return rest
     pair = re.fullmatch(rf"\\u({_HIGH})\\u({_LOW})", text)
     if pair:
         return (bytes.fromhex(pair[1]) + bytes.fromhex(pair[2])).decode("utf-16-be")
@@ -139,8 +158,9 @@ def _escape(text: str) -> str | None:
 
 def _from_base64(run: str) -> Iterator[tuple[bytes, np.ndarray]]:
     """The bytes of a run at its four alignments, and after which of its characters each is complete."""
-    kept = np.array([i for i, c in enumerate(run) if c not in "=\r\n"], dtype=np.int64)
-    symbols = "".join([run[i] for i in kept]).translate(_STANDARD)
+    run = run.rstrip("=")
+    kept = np.flatnonzero(np.frombuffer(run.encode("ascii"), dtype=np.uint8) > ord("\r"))
+    symbols = run.replace("\r", "").replace("\n", "").translate(_STANDARD)
     for skip in range(4):
         size = len(symbols) - skip
         size -= size % 4 == 1  # no byte ends with an odd symbol

@@ -6,6 +6,8 @@ import gzip
 import hashlib
 import lzma
 import os
+import re
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +16,7 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, similar, simhash, toxicity, urls
+from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls
 from quern.llm.queries import QUERIES, URL_RULES, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
@@ -306,6 +308,52 @@ def test_every_member_and_block_is_scanned(pack):
         assert {k for k, _, _ in spans} == {"assign"} and not whole
 
 
+LONG = {
+    "base64": base64.b64encode(np.random.default_rng(1).bytes(750_000)).decode(),
+    "path": "/".join("ab cdefg hij klmnopqr".split() * 45_000),
+    "letters": "a" * 1_000_000,
+    "percent": "password%" + "25" * 50_000 + "3Dhunter22secret",
+    "entity": "password&" + "#38;" * 250_000 + "#61;hunter22secret",
+    "backslash": "password\\" + "x5cu005c" * 50_000 + "x3dhunter22secret",
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_texts_take_linear_time(kind):
+    text = LONG[kind]
+    began = time.process_time()
+    spans = secrets.scan(text)[1]
+    assert time.process_time() - began < 10
+    assert (("assign", 0, len(text)) in spans) == (kind in ("percent", "entity", "backslash"))
+
+
+def test_long_chains_are_those_of_short_ones():
+    for levels in range(1, 40):
+        text = "password%" + "25" * levels + "3Dhunter22secret"
+        assert ("assign", 0, len(text)) in secrets.scan(text)[1]
+
+
+@needs_tables
+def test_secrets_of_whole_table_keep_the_plain_ones(spark, texts):
+    """The prefilter and the order of the plain spans against the contract's patterns alone."""
+    kinds = {
+        "assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+        "access": re.compile(r"AKIA[A-Z0-9]+"),
+        "hex": re.compile(r"[0-9a-f]+"),
+    }
+    least = {"assign": 6, "access": 20, "hex": 24}
+    for r in QUERIES["op5_secret_scans"](spark, SF).collect():
+        plain = []
+        for at, (kind, pattern) in enumerate(kinds.items()):
+            for m in pattern.finditer(texts[r["doc_id"]]):
+                if len(m[2] if kind == "assign" else m[0]) >= least[kind]:
+                    plain.append((m.start(), at, kind, m.end()))
+        spans = [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(plain)]
+        assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(spans) <= set(r["spans"].split(","))
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(p[2] == k for p in plain) for k in kinds]
+
+
 def test_plain_matches():
     text = "API_KEY: 'abc123' token=abc secret=token: abcdefgh AKIA" + "A" * 16 + " " + "0f" * 12 + " ſecret=abcdefgh"
     assert secrets.as_text(secrets.matches(text)) == "assign:0:16,access:51:71,hex:72:96"
@@ -397,41 +445,6 @@ def test_simhash_odd_rows(odd, none):
     assert simhash.keep_first(odd.where("doc_id in (1, 2, 7)")).count() == 2
 
 
-def test_edited_copies_go(spark):
-    """Copies with edits that are more than four bits apart, held against all pairs."""
-    rng = np.random.default_rng(4)
-    texts = []
-    for _ in range(12):
-        base = [f"w{x}" for x in rng.integers(0, 5000, 120)]
-        for edits in range(6):
-            words = list(base)
-            for at in rng.choice(120, edits, replace=False):
-                words[at] = f"e{rng.integers(0, 10**6)}"
-            texts.append(" ".join(words))
-    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
-    first = list(range(len(texts)))
-    for a in range(len(texts)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
-                low, high = sorted((first[a], first[b]))
-                first = [low if x == high else x for x in first]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r["doc_id"]: r["component_id"] for r in similar.groups(df).collect()} == dict(enumerate(first))
-    import corpus_pipeline
-
-    kept = corpus_pipeline.drop_near_duplicates(spark, df, "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(first))
-    fps = simhash.fingerprints_of([t.encode() for t in texts], 4, 42)
-    assert len(set(classes(fps, 4))) > len(set(first))
-
-
-def test_similar_odd_rows(odd, none):
-    kept = similar.keep_first(odd)
-    assert kept.columns == odd.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 3, 7, 8, None]
-    assert similar.keep_first(none).collect() == []
-
-
 # 7 languages
 
 

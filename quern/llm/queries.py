@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls
+from quern.llm import ann, audit, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls
 from quern.llm.common import fold_of, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -75,6 +75,10 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
 
 
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Workers of a local session find the package where the driver found it; a cluster is sent it by --py-files."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -93,6 +97,7 @@ QUERIES = {
     for f in (
         op1_hmm_scores, op2_chunk_fingerprints, op3_url_filters, op4_best_fit_packing, op5_secret_scans,
         op6_simhash_groups, op7_language_id, op8_toxicity, op9_nearest_vectors, op10_source_mix,
+        op12_filter_audit,
     )
 }
 
@@ -118,4 +123,43 @@ ORACLES = {
         SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
         FROM parts LEFT JOIN best USING (n)
     """,
+    "op12_filter_audit": """
+        WITH words AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS copy
+            FROM documents
+        ), marks AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id
+        ), failed AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, concat(
+                CASE WHEN len(w) < 100 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > 10 * length(body) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN copy THEN 'E' ELSE '' END) AS fails
+            FROM words LEFT JOIN marks USING (doc_id)
+        ), weights AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails
+        ), l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), removal AS (
+            SELECT weights.*, filter_order, (SELECT min(instr(filter_order, f)) FROM unnest(string_split(fails, '')) t(f) WHERE f <> '') AS gone
+            FROM weights, orders
+        ), steps AS (
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, CAST(step AS INTEGER), 1) AS f,
+                CAST(coalesce(sum(n) FILTER (gone IS NULL OR gone > step), 0) AS BIGINT) AS kept,
+                CAST(coalesce(sum(n) FILTER (gone = step), 0) AS BIGINT) AS removed,
+                CAST(coalesce(sum(n) FILTER (gone < step AND contains(fails, substr(filter_order, CAST(step AS INTEGER), 1))), 0) AS BIGINT) AS redundant,
+                CAST(coalesce(sum(n) FILTER (fails = substr(filter_order, CAST(step AS INTEGER), 1)), 0) AS BIGINT) AS unique_fails,
+                CAST(coalesce(sum(good) FILTER (gone = step), 0) AS BIGINT) AS good_lost,
+                CAST(coalesce(sum(toxic) FILTER (gone = step), 0) AS BIGINT) AS toxic_lost
+            FROM removal, range(1, 6) s(step) GROUP BY part, filter_order, step
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+        FROM steps
+    """,
 }

@@ -70,10 +70,8 @@ def interactions(counted: DataFrame, names: Sequence[str], weight: str = "n", lo
     return named.join(shares, ["part", "_filter"]).drop("_filter")
 
 
-def conditions(text: Column) -> dict[str, Column]:
-    """The conditions that one text alone decides, by letter: A, B, C and D. Null is empty."""
-    text = F.coalesce(text, F.lit(""))
-    words = F.array_remove(F.split(text, _SPACE), "")
+def conditions(text: Column, words: Column) -> dict[str, Column]:
+    """The conditions that one text alone decides, by letter: A, B, C and D. `words` are the text's."""
     return {
         "A": F.size(words) < 100,
         "B": 100 * F.size(F.array_distinct(words)) < 80 * F.size(words),
@@ -100,12 +98,17 @@ def audit_documents(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("int")).alias("_good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("int")).alias("_toxic"),
     )
-    alone = sum((test.cast("int") * (1 << i) for i, test in enumerate(conditions(F.col(text)).values())), F.lit(0))
-    facts = docs.select(
+    texts = docs.select(
         F.col(doc_id).cast("long").alias("id"),
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
-        F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).alias("digest"),
-        alone.alias("alone"),
+        F.coalesce(F.col(text), F.lit("")).alias("body"),
+    )
+    # In a projection of its own the text is split once, though its words are used several times.
+    split = texts.withColumn("words", F.array_remove(F.split("body", _SPACE), ""))
+    tests = conditions(F.col("body"), F.col("words")).values()
+    facts = split.select(
+        "id", "part", F.unhex(F.sha2("body", 256)).alias("digest"),
+        sum((test.cast("int") * (1 << i) for i, test in enumerate(tests)), F.lit(0)).alias("alone"),
     )
     marked = facts.join(marks, facts["id"] == F.col(known), "left").fillna(0, ["_good", "_toxic"])
     alike = ["digest", "part", "alone", "_good", "_toxic"]
@@ -117,14 +120,14 @@ def audit_documents(
     )
     first = F.min("least.id").over(Window.partitionBy("digest"))  # a few rows for each text
     passing = F.col("unnamed") + F.when(F.col("least.id") == F.col("first"), F.col("least.rows")).otherwise(0)
-    split = by_text.withColumn("first", first).withColumn("passing", passing).select(
+    dealt = by_text.withColumn("first", first).withColumn("passing", passing).select(
         "part", "_good", "_toxic",
         F.inline(F.array(
             F.struct(F.col("alone").alias("mask"), F.col("passing").alias("n")),
             F.struct((F.col("alone") + 16).alias("mask"), (F.col("n") - F.col("passing")).alias("n")),
         )),
     )
-    counted = split.groupBy("part", "mask").agg(
+    counted = dealt.groupBy("part", "mask").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("_good")).alias("good"), F.sum(F.col("n") * F.col("_toxic")).alias("toxic")
     )
     return interactions(counted, "ABCDE", lost={"good_lost": "good", "toxic_lost": "toxic"}).select(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import ann, audit, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls
+from quern.llm import ann, audit, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls, variants
 from quern.llm.common import fold_of, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -79,6 +79,10 @@ def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf, "documents"))
+
+
 def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Workers of a local session find the package where the driver found it; a cluster is sent it by --py-files."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -97,7 +101,7 @@ QUERIES = {
     for f in (
         op1_hmm_scores, op2_chunk_fingerprints, op3_url_filters, op4_best_fit_packing, op5_secret_scans,
         op6_simhash_groups, op7_language_id, op8_toxicity, op9_nearest_vectors, op10_source_mix,
-        op12_filter_audit,
+        op12_filter_audit, op13_spelling_variants,
     )
 }
 

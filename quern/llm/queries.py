@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import ann, audit, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls, variants
+from quern.llm import ann, audit, chunks, hmm, langid, mixing, packing, secrets, simhash, substrings, toxicity, urls, variants
 from quern.llm.common import fold_of, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -75,6 +75,10 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
 
 
+def op11_repeated_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf, "documents"), length=200).drop("kept")
+
+
 def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -101,7 +105,7 @@ QUERIES = {
     for f in (
         op1_hmm_scores, op2_chunk_fingerprints, op3_url_filters, op4_best_fit_packing, op5_secret_scans,
         op6_simhash_groups, op7_language_id, op8_toxicity, op9_nearest_vectors, op10_source_mix,
-        op12_filter_audit, op13_spelling_variants,
+        op11_repeated_substrings, op12_filter_audit, op13_spelling_variants,
     )
 }
 

@@ -7,17 +7,25 @@ over the user's ratings, of co-occurrence times rating.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import text as tx
 from quern.operators.grouping import large_groups, piece_of, replicate, with_pieces
-from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, row_bytes, shuffle_tasks, stage, tasks_for
+from quern.operators.pages import pages
+from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, planned_with, row_bytes, shuffle_tasks, stage, tasks_for
 
 #: Most items of one user that meet in one join group; more are dealt into pieces.
 ITEMS_PER_PIECE = 4096
 #: Products per task when all of a user's products meet in one task.
 PRODUCTS_PER_USER_TASK = 1_000_000
+#: Cells of the score grid for each task, so that tasks come out alike.
+CELLS_PER_TASK = 4
+#: Rows that are dealt by cell meet on the cell and the item without being dealt again by both.
+CELLS_MEET = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.requireAllClusterKeysForDistribution": "false",
+}
 #: Most entries in one list of the list views; longer lists continue in further pieces.
 ENTRIES_PER_LIST = 100_000
 
@@ -129,23 +137,7 @@ def _multiply(
             dealt = rated.repartition(tasks, "user_id")
         joined = dealt.join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
     else:
-        raters = rated.groupBy("item_id").agg(F.count(F.lit(1)).alias("raters"))
-        products = stage(
-            raters.join(widths, "item_id").select(
-                "item_id", (F.col("raters").cast("double") * F.col("width")).alias("products")
-            ),
-            "products",
-        )
-        sizes = large_groups(products, "item_id", F.ceil(F.col("products") / rows_per_task))
-        tasks = tasks_for(spark, products.agg(F.sum("products")).first()[0] or 0, rows_per_task)
-        dealt = with_pieces(rated, "item_id", sizes).withColumn("piece", piece_of("user_id"))
-        copied = replicate(with_pieces(matrix, "item_id", sizes), "piece")
-        joined = dealt.drop("pieces").repartition(tasks, "item_id", "piece").join(
-            copied.drop("pieces").repartition(tasks, "item_id", "piece"), ["item_id", "piece"]
-        )
-        # A task holds few items, so a user's products hardly meet in it and combining them there
-        # would gain nothing. The sum's shuffle is as large as the join and gets as many tasks.
-        joined = joined.repartition(tasks, "user_id", "item_b")
+        return grid_product(rated, matrix, widths, product_decimals, rows_per_task)
     return (
         joined.groupBy("user_id", "item_b")
         .agg(F.sum(_contribution(product_decimals)).alias("score"), F.max("own").alias("own"))
@@ -153,6 +145,68 @@ def _multiply(
     )
 
 
+def grid_product(
+    rated: DataFrame, matrix: DataFrame, widths: DataFrame, product_decimals: int | None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """The summed products as a stage table, for a matrix of any size; `widths` has the entries of each item's row.
+
+    Users and target items are dealt into blocks, and every pair of blocks is a cell of its own: it gets the ratings of its
+    users and the matrix columns of its targets, and all products of one sum are made in one cell. So ratings are shuffled
+    once for each target block and matrix entries once for each user block, and products never. The numbers of blocks come
+    from the measured sizes of both sides. The ratings of a user with more products than a task should make are dealt
+    further by item, and only such users' sums are summed again.
+    """
+    spark = rated.sparkSession
+    work = stage(
+        rated.join(widths, "item_id").groupBy("user_id").agg(
+            F.sum(F.col("width").cast("double")).alias("products"), F.count(F.lit(1)).alias("ratings")
+        ),
+        "work",
+    )
+    products, ratings = work.agg(F.sum("products"), F.sum("ratings")).first()
+    targets, entries = widths.agg(F.count(F.lit(1)), F.sum("width")).first()
+    sizes = large_groups(work, "user_id", F.ceil(F.col("products") / rows_per_task))
+    tasks = tasks_for(spark, products or 0, rows_per_task)
+    user_blocks, target_blocks = grid(tasks * CELLS_PER_TASK, ratings or 1, entries or 1, targets or 1)
+    cell = ["user_block", "target_block"]
+    with planned_with(spark, CELLS_MEET):
+        sums = stage(_cell_sums(rated, matrix, sizes, (user_blocks, target_blocks), tasks, product_decimals), "sums")
+    if sizes is not None:
+        whole = sums.where("pieces = 1").drop(*cell, "pieces")
+        parts = sums.where("pieces > 1").groupBy("user_id", "item_id").agg(F.sum("score").alias("score"), F.max("own").alias("own"))
+        return whole.unionByName(parts)
+    return sums.drop(*cell, "pieces")
+
+
+def grid(cells: int, ratings: int, entries: int, targets: int) -> tuple[int, int]:
+    """User and target blocks for about so many cells, so that the fewest rows are copied: ratings go to every target
+    block, matrix entries to every user block."""
+    target_blocks = round((cells * entries / ratings) ** 0.5)
+    target_blocks = max(1, min(target_blocks, targets, cells))
+    return -(-cells // target_blocks), target_blocks
+
+
+def _cell_sums(
+    rated: DataFrame, matrix: DataFrame, sizes: DataFrame | None, blocks: tuple[int, int], tasks: int, product_decimals: int | None
+) -> DataFrame:
+    """Sums within cells. Planned with `CELLS_MEET`, both sides and the sum keep the partitioning by cell."""
+    user_blocks, target_blocks = blocks
+    dealt = with_pieces(rated, "user_id", sizes).withColumn("piece", piece_of("item_id"))
+    left = dealt.withColumn("user_block", F.pmod(F.xxhash64("user_id", "piece"), F.lit(user_blocks)).cast("int")).withColumn(
+        "target_block", F.explode(F.sequence(F.lit(0), F.lit(target_blocks - 1)))
+    )
+    right = matrix.withColumn("target_block", F.pmod(F.xxhash64("item_b"), F.lit(target_blocks)).cast("int")).withColumn(
+        "user_block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
+    )
+    cell = ["user_block", "target_block"]
+    joined = left.repartition(tasks, *cell).join(right.repartition(tasks, *cell), [*cell, "item_id"])
+    return (
+        joined.groupBy(*cell, "user_id", "pieces", "item_b")
+        .agg(F.sum(_contribution(product_decimals)).alias("score"), F.max("own").alias("own"))
+        .withColumnRenamed("item_b", "item_id")
+    )
+
+
 def raw_scores(
     ratings: DataFrame,
     totals: DataFrame,
@@ -195,40 +249,23 @@ def drop_seen(scores: DataFrame, ratings: DataFrame) -> DataFrame:
     return scores.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 
-def _lists(rows: DataFrame, key: str, entry: list[str], name: str, limit: int) -> DataFrame:
-    """Pages of every key's entries, in entry order, `limit` to a page.
-
-    Rows are sorted by range, with a number that splits repeated rows too, so no key has to fit in one task. An
-    entry's rank is its place in its key's part of a partition plus the rows of the key in the parts before.
-    """
-    apart = rows.select(key, *entry).withColumn("_tie", F.monotonically_increasing_id())
-    parts = stage(apart.repartitionByRange(key, *entry, "_tie").withColumn("_part", F.spark_partition_id()), "parts")
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-    inside = Window.partitionBy(key, "_part").orderBy(*entry, "_tie")
-    placed = parts.withColumn("_place", F.row_number().over(inside) - 1).join(before, [key, "_part"])
-    piece = F.floor((F.col("_before") + F.col("_place")) / limit).cast("int").alias("piece")
-    return placed.groupBy(key, piece).agg(F.sort_array(F.collect_list(F.struct(*entry))).alias(name))
-
-
 def user_preferences(ratings: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """`user_id, piece, prefs`: the user's items and ratings in item order (A3).
 
     A list longer than `limit` continues in further pieces, in order, so no task gathers an unbounded list;
     repeated rows count like others.
     """
-    return _lists(ratings, "user_id", ["item_id", "rating"], "prefs", limit)
+    return pages(ratings, "user_id", ["item_id", "rating"], "prefs", limit)
 
 
 def item_raters(ratings: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """`item_id, piece, raters`: the same ratings seen from the items."""
-    return _lists(ratings, "item_id", ["user_id", "rating"], "raters", limit)
+    return pages(ratings, "item_id", ["user_id", "rating"], "raters", limit)
 
 
 def matrix_rows(pairs: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """`item_a, piece, entries`: the co-occurrence matrix row by row (A5)."""
-    return _lists(mirror_pairs(pairs), "item_a", ["item_b", "cnt"], "entries", limit)
+    return pages(mirror_pairs(pairs), "item_a", ["item_b", "cnt"], "entries", limit)
 
 
 def list_to_text(lists: DataFrame, column: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StopWordsRemover, Tokenizer, Word2Vec, Word2VecModel
@@ -20,9 +22,10 @@ VECTOR_SIZE = 10
 MIN_COUNT = 2
 TOP_TOKENS = 5
 
-#: Partitions that Word2Vec trains in. More than one change the vectors and their order of training, so the number
-#: depends on neither the data nor the cluster: whoever has a large corpus asks for more.
-TRAINING_TASKS = 1
+#: Tokens that one shard of a Word2Vec training should have, unless the number of shards is given.
+TOKENS_PER_SHARD = 2_000_000
+#: Settings of a sweep that are fitted at the same time.
+SETTINGS_AT_ONCE = 4
 #: Distinct words whose vectors the driver is asked to hold; beyond it the fit fails with a message.
 MOST_WORDS = 5_000_000
 
@@ -60,21 +63,26 @@ def word_vectors(
     seed: int,
     vector_size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
-    tasks: int = TRAINING_TASKS,
+    tasks: int | None = None,
     column: str = "kept",
     most_words: int = MOST_WORDS,
 ) -> Word2VecModel:
     """Fitted word vectors (M5).
 
-    Training is dealt into `tasks` partitions; each trains on its own share before they are averaged, and
-    only one gives the same vectors in every run.
+    Texts are dealt into `tasks` shards by a digest of their tokens and put in order inside them, so what a shard trains on,
+    and in which order, follows from the texts alone: every run and every cluster trains the same vectors, up to the last
+    bits of sums over shards. Without `tasks` the number of tokens decides, `TOKENS_PER_SHARD` to a shard.
     Spark keeps the vocabulary on the driver, so it is counted first. Nothing is dropped from it: raise
     `min_count` when there are more than `most_words`.
     """
     counts = count_words(tokenized.select(F.explode(column).alias("word")))
-    words = counts.where(F.col("cnt") >= min_count).count()
+    enough = F.col("cnt") >= min_count
+    words, tokens = counts.agg(F.count(F.when(enough, 1)), F.sum("cnt")).first()
     if words > most_words:
         raise ValueError(f"{words} words occur {min_count} times or more, and the driver holds {most_words}; raise min_count")
+    tasks = tasks or max(1, -(-(tokens or 0) // TOKENS_PER_SHARD))
+    digest = F.xxhash64(F.array_join(column, " "))
+    shards = tokenized.select(column, digest.alias("_digest")).repartition(tasks, "_digest")
     return Word2Vec(
         inputCol=column,
         outputCol="vector",
@@ -82,7 +90,7 @@ def word_vectors(
         minCount=min_count,
         numPartitions=tasks,
         seed=seed,
-    ).fit(tokenized)
+    ).fit(shards.sortWithinPartitions("_digest", column).select(column))
 
 
 def cluster_vectors(vectors: DataFrame, seed: int, clusters: int = CLUSTERS, column: str = "vector") -> KMeansModel:
@@ -137,19 +145,41 @@ def sweep(
     tokenized: DataFrame,
     grid: Iterable[tuple[int, int, int]],
     seed: int,
-    tasks: int = TRAINING_TASKS,
+    tasks: int | None = None,
+    at_once: int = SETTINGS_AT_ONCE,
 ) -> DataFrame:
     """`k, vector_size, min_count, silhouette` per setting, best first (M9).
 
-    `grid` holds (k, vector size, least count); vectors are made once per size and count.
+    `grid` holds (k, vector size, least count); vectors are made once per size and count. `at_once` settings are fitted at
+    the same time, each as jobs of its own, so that one setting's last tasks leave no cores idle; with Spark's fair
+    scheduler each has its own pool. Results don't depend on it. The first setting that fails fails the sweep.
     """
-    rows, made = [], {}
-    for k, vector_size, min_count in grid:
-        key = (vector_size, min_count)
-        if key not in made:
-            model = word_vectors(tokenized, seed, vector_size, min_count, tasks)
-            made[key] = stage(model.transform(tokenized).select("vector"), "vectors")
-        model = cluster_vectors(made[key], seed, k)
-        rows.append((k, vector_size, min_count, silhouette(model.transform(made[key]))))
+    settings = list(grid)
+    spark = tokenized.sparkSession
+
+    def together(fn, items: Sequence) -> list:
+        def run(item):
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sweep-{items.index(item) % at_once}")
+            try:
+                return fn(item)
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+        with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(items)))) as pool:
+            return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), item) for item in items]]
+
+    def vectors(made: tuple[int, int]) -> DataFrame:
+        model = word_vectors(tokenized, seed, *made, tasks)
+        return stage(model.transform(tokenized).select("vector"), "vectors")
+
+    kinds = sorted({(size, count) for _, size, count in settings})
+    made = dict(zip(kinds, together(vectors, kinds), strict=True))
+
+    def score(setting: tuple[int, int, int]) -> float:
+        k, *kind = setting
+        found = made[tuple(kind)]
+        return silhouette(cluster_vectors(found, seed, k).transform(found))
+
+    rows = [(*setting, value) for setting, value in zip(settings, together(score, settings), strict=True)]
     schema = "k int, vector_size int, min_count int, silhouette double"
-    return tokenized.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("silhouette"), "k", "vector_size", "min_count")
+    return spark.createDataFrame(rows, schema).orderBy(F.desc("silhouette"), "k", "vector_size", "min_count")

@@ -86,6 +86,15 @@ def drop_stages(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers of a local session find the package where the driver found it; a cluster is sent it by --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    found = environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, found]))
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Estimated in-memory size of a row: a fixed part per column and the real string lengths."""
     width = F.lit(32 + 16 * len(df.columns))
@@ -129,6 +138,19 @@ def shuffle_tasks(spark: SparkSession, tasks: int) -> Iterator[None]:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@contextmanager
+def planned_with(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Plan and run the jobs inside with these session settings, and put back what was set before."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def fill_cores(scan: DataFrame) -> DataFrame:
     """Spread a file scan that has fewer splits than the session has cores.
 

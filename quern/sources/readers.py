@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions import text as tx
+from quern.session import stage
 
 SHORT_TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("f0", "f1", "f2", "f3", "f4", "text")])
 
+LATIN_1 = "ISO-8859-1"
+
 #: Longest word list that is brought to the driver or put into a plan as literals.
 WORD_LIST_LIMIT = 20_000
 
@@ -108,17 +111,62 @@ def tail_field_text(
 def read_short_text_csv(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """Last column of a quoted latin-1 CSV: `text`.
 
-    With `multi_line` quoted fields may hold line ends, which makes a file one task; without it a record is a
-    line, and Spark splits large files.
+    With `multi_line` quoted fields may hold line ends. Spark splits large files either way.
+    """
+    options = {"quote": '"', "escape": '"'}
+    if not multi_line:
+        return spark.read.csv(list(paths), schema=SHORT_TEXT_SCHEMA, encoding=LATIN_1, **options).select("text")
+    records = quoted_records(spark, *paths, encoding=LATIN_1)
+    fields = F.from_csv("record", SHORT_TEXT_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {**options, "multiLine": "true"})
+    return records.select(fields.alias("f")).select("f.text")
+
+
+def quoted_records(spark: SparkSession, *paths: str, encoding: str = "UTF-8") -> DataFrame:
+    """`file, record_id, record`: the records of quoted text files, whose quoted fields may hold line ends.
+
+    A line is inside a quoted field if an odd number of quotes stands before it in its file; doubled quotes don't change
+    that. So files are read in splits like any text: each split counts its quotes, splits of a file are put in order by one
+    row each, and lines learn from that sum where they are. Lines that are records of their own go no further; the others
+    are gathered record by record. Line ends are line feeds, or carriage returns and line feeds; a carriage return at the
+    end of a record goes. A quote inside a field that isn't quoted isn't allowed. Empty lines between records are no
+    records; `record_id` is increasing in each file.
     """
-    return spark.read.csv(
-        list(paths),
-        schema=SHORT_TEXT_SCHEMA,
-        encoding="ISO-8859-1",
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-    ).select("text")
+    lines = spark.read.option("lineSep", "\n").text(list(paths))
+    split = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+        F.decode(F.col("value").cast("binary"), encoding).alias("value"),
+    ).withColumn("odd", F.expr("(length(value) - length(replace(value, '\"', ''))) % 2").cast("int"))
+    # A split is bounded by spark.sql.files.maxPartitionBytes, and so is its window.
+    so_far = Window.partitionBy("file", "start").orderBy("at")
+    before = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    inside = split.withColumn("parity", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    # Lines that begin a record if the split begins outside of quotes, and if it begins inside.
+    begins = [F.sum((F.col("parity") == p).cast("long")).over(so_far).alias(f"begun{p}") for p in (0, 1)]
+    placed = stage(inside.select("*", *begins), "split-lines")
+
+    per_split = placed.groupBy("file", "start").agg(
+        F.sum("odd").alias("quotes"), F.max("begun0").alias("all0"), F.max("begun1").alias("all1")
+    )
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    entered = per_split.withColumn("entry", (F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).cast("int"))
+    own = F.when(F.col("entry") == 0, F.col("all0")).otherwise(F.col("all1"))
+    ordered = entered.withColumn("first", F.coalesce(F.sum(own).over(earlier), F.lit(0))).select(
+        F.col("file").alias("in_file"), F.col("start").alias("in_start"), "entry", "first"
+    )
+    met = placed.join(ordered, (F.col("file") == F.col("in_file")) & (F.col("start") == F.col("in_start")))
+    state = met.select(
+        "file", "start", "at", "value",
+        (F.col("first") + F.when(F.col("entry") == 0, F.col("begun0")).otherwise(F.col("begun1"))).alias("record_id"),
+        (((F.col("parity") + F.col("entry")) % 2 == 0) & (F.col("odd") == 0)).alias("alone"),
+    )
+    ended = F.regexp_replace("value", "\\r\\z", "")
+    single = state.where("alone").select("file", "record_id", ended.alias("record")).where("record <> ''")
+    parts = F.array_sort(F.collect_list(F.struct("start", "at", "value")))
+    joined = F.array_join(F.transform(parts, lambda p: p["value"]), "\n")
+    several = state.where("not alone").groupBy("file", "record_id").agg(joined.alias("value"))
+    return single.unionByName(several.select("file", "record_id", ended.alias("record")))
 
 
 def read_word_list(spark: SparkSession, *paths: str) -> DataFrame:

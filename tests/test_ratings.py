@@ -127,3 +127,40 @@ def test_long_lists_continue_in_pieces_and_stay_whole(spark):
     assert len([r for r in lists if r["item_id"] == "i0"]) > 1
     got = sorted((e["user_id"], r["item_id"], e["rating"]) for r in lists for e in r["raters"])
     assert got == sorted(map(tuple, rated.collect()))
+
+
+@pytest.mark.parametrize(("rows_per_task", "decimals"), [(5_000_000, None), (40, None), (7, None), (40, 1), (7, 1)])
+def test_grid_equals_brute_force_however_it_is_dealt(spark, rows_per_task, decimals):
+    rows = skewed()
+    rated = stage(frame(spark, rows), "r")
+    totals = stage(R.rating_totals(rated), "t")
+    pairs = R.pair_table(totals)
+    found = R.unseen_scores(rated, totals, pairs, decimals, broadcast_bytes=0, rows_per_task=rows_per_task)
+    assert as_set(found) == brute_scores(rows, decimals=decimals)
+    found = R.raw_scores(rated, totals, pairs, decimals, broadcast_bytes=0, rows_per_task=rows_per_task)
+    assert as_set(found) == brute_scores(rows, unseen=False, decimals=decimals)
+
+
+def test_grid_blocks_copy_few_rows():
+    for cells, ratings, entries, targets in ((64, 10**6, 10**6, 5000), (64, 10**8, 10**3, 50), (7, 10, 10**9, 3), (1, 1, 1, 1)):
+        users, blocks = R.grid(cells, ratings, entries, targets)
+        assert users * blocks >= cells and 1 <= blocks <= targets
+        best = min(ratings * b + entries * -(-cells // b) for b in range(1, min(cells, targets) + 1))
+        assert ratings * blocks + entries * users <= 2 * best
+
+
+def test_products_are_not_shuffled(spark):
+    """Above the product join there is no exchange: cells hold whole sums."""
+    from pyspark.sql import functions as F
+
+    from quern.session import planned_with
+
+    totals = stage(R.rating_totals(frame(spark, skewed())), "t")
+    matrix = R.mirror_pairs(R.pair_table(totals)).withColumn("own", F.lit(0)).withColumnRenamed("item_a", "item_id")
+    settings = {**R.CELLS_MEET, "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    with planned_with(spark, settings):
+        sums = R._cell_sums(totals.select("user_id", "item_id", "rating"), matrix, None, (3, 2), 4, None)
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
+    assert plan.index("SortMergeJoin") < plan.index("Exchange")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -1,6 +1,11 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from quern.session import planned_with
 from quern.sources import readers
 
 
@@ -108,3 +113,30 @@ def test_union_sources_is_a_bag(texts):
     assert rows(both.groupBy("source").agg(F.count("*"))) == [("l", 2), ("r", 1)]
     with pytest.raises(ValueError):
         readers.union_sources({})
+
+
+@pytest.mark.parametrize("split", ["120", "700", "128m"])
+def test_records_with_line_ends_cross_split_borders(spark, tmp_path, split):
+    r = random.Random(2)
+    wanted = []
+    for n, end in enumerate(("\n", "\r\n", "\n")):
+        made = ["".join(r.choice(["a", "\xe9", '"', "\n", "\r\n", ",", '""', "word "]) for _ in range(r.randrange(14))) for _ in range(120)]
+        made.append("\n" * 400 + '"' * 301)  # longer than a split
+        out = io.StringIO(newline="")
+        csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator=end).writerows([["0", str(i), "Mon", "NO", "user", t] for i, t in enumerate(made)])
+        (tmp_path / f"{n}.csv").write_bytes(out.getvalue().encode("latin-1"))
+        wanted += made
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "0"}
+    with planned_with(spark, settings):
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        found = [x["text"] or "" for x in readers.read_short_text_csv(spark, str(tmp_path), multi_line=True).collect()]
+        ids = readers.quoted_records(spark, str(tmp_path), encoding="ISO-8859-1").select("file", "record_id").collect()
+    assert sorted(found) == sorted(wanted)
+    assert len(set(ids)) == len(ids) == len(wanted)
+    assert tasks > 20 or split == "128m"
+
+
+def test_records_of_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"")
+    (tmp_path / "b.csv").write_bytes(b'\n"0","1","2","3","4","x"\n\n')
+    assert rows(readers.read_short_text_csv(spark, str(tmp_path), multi_line=True)) == [("x",)]

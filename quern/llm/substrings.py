@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from quern.llm.common import map_texts, raw_bytes
 from quern.session import stage
 
-#: Different fragments that one collection may take from a group; larger groups are split first.
+#: Parts that fragments are divided into.
+PARTS = 4
+#: Different fragments that one collection may take from a group; larger groups are divided further.
 KINDS_AT_ONCE = 256
 #: Fragments in one collection. Groups stay whole, so it may be larger by one group.
 FRAGMENTS_AT_ONCE = 192
@@ -275,16 +277,16 @@ def _compared(kinds: DataFrame, length: int) -> DataFrame:
     return map_texts(rows, run, "group long, kind long, low int, high int")
 
 
-def _halved(rows: DataFrame, length: int) -> DataFrame:
-    """Fragments of large groups in two, by their windows' distances from the anchor. The bytes that all windows of a half
-    have in common divide it into new groups."""
+def _divided(rows: DataFrame, length: int) -> DataFrame:
+    """Fragments in `PARTS`, by their windows' distances from the anchor. The bytes that all windows of a part have in
+    common, more than the anchor, divide a group into new ones."""
 
     def run(batches):
         for batch in batches:
             out = []
             for anchor, fingerprint, group, times, low, high, lead, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                middle = (low + high) // 2
-                for a, b in ((low, middle), (middle + 1, high)):
+                edges = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)]
+                for a, b in zip(edges, [e - 1 for e in edges[1:]], strict=False):
                     # Windows start at byte lead - distance.
                     first, last = max(lead - b, 0), min(lead - a, len(text) - length)
                     if a <= b and first <= last:
@@ -313,8 +315,9 @@ def _shared(docs: DataFrame, repeated: DataFrame, text: str, length: int) -> Dat
     """`anchor, print, low, high`: the fragments of `repeated` (`key, anchor, print, times`; a stage table) that have shared
     windows, with the distances from their anchors at which those are.
 
-    A fragment that is all there is to its anchor is shared as a whole. Of an anchor with few different fragments these are
-    compared; one with more is halved until its parts have few or are alike.
+    A fragment that is all there is to its anchor is shared as a whole. Other anchors' fragments are divided, so that most
+    parts are alike or alone; the rest are compared, as what a collection costs grows with the square of their length.
+    Groups with very many different parts are divided on, down to single windows, which are alike.
     """
     kinds = repeated.groupBy("anchor", "print").agg(F.sum("times").alias("times"), F.min("key").alias("key"))
     kinds = stage(kinds, "kinds")
@@ -330,6 +333,7 @@ def _shared(docs: DataFrame, repeated: DataFrame, text: str, length: int) -> Dat
     rows = wanted.join(found, ["anchor", "print"]).select(
         "anchor", "print", F.col("anchor").alias("group"), F.col("print").alias("kind"), "times", *span, "lead", "bytes"
     )
+    rows = _divided(rows, length)
     while True:
         rows = stage(rows, "fragments")
         alike = rows.groupBy("group", "kind").agg(F.sum("times").alias("all"))
@@ -343,7 +347,7 @@ def _shared(docs: DataFrame, repeated: DataFrame, text: str, length: int) -> Dat
         many = met.where(F.col("different") > KINDS_AT_ONCE)
         if many.isEmpty():
             return shared
-        rows = _halved(many, length)
+        rows = _divided(many, length)
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

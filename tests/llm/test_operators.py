@@ -16,8 +16,9 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from quern.llm import ann, chunks, hmm, langid, mixing, packing, secrets, simhash, toxicity, urls
+from quern.llm import ann, audit, chunks, hmm, langid, mixing, packing, secrets, simhash, substrings, toxicity, urls, variants
 from quern.llm.queries import QUERIES, URL_RULES, tokenizer_path
+from quern.session import stage
 
 SF = "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not mounted")
@@ -623,3 +624,274 @@ def test_mix_odd_rows(odd, none):
     assert all(r["taken"] <= 2 * r["size"] for r in rows)
     assert mixing.mix(none).collect() == []
     assert mixing.repeat(odd, mixing.mix(odd)).columns == odd.columns
+
+
+# 11 repeated substrings
+
+
+def struck(texts, length):
+    """Kept bytes and spans by brute force, by row."""
+    windows = collections.Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
+    found = []
+    for t in texts:
+        gone = np.zeros(len(t) + 1, dtype=bool)
+        for p in range(len(t) - length + 1):
+            if windows[t[p : p + length]] > 1:
+                gone[p : p + length] = True
+        kept = bytes(c for c, g in zip(t, gone, strict=False) if not g)
+        found.append((len(t), int(gone.sum()), int((gone[:-1] < gone[1:]).sum()) + int(gone[0]), hashlib.sha256(kept).hexdigest(), kept))
+    return found
+
+
+def test_ranks_and_common_prefixes_are_those_of_sorted_suffixes():
+    rng = np.random.default_rng(5)
+    for trial in range(60):
+        texts = [bytes(rng.choice([97, 98, 0], rng.integers(0, 14))) for _ in range(rng.integers(1, 7))]
+        most = [200, 3][trial % 2]
+        common, ranks = substrings.column_wise(texts, most)
+        suffixes = sorted((list(t[k:]) + [1000 + i], i, len(t) - k) for i, t in enumerate(texts) for k in range(len(t) + 1))
+        where = {(i, size): n for n, (_, i, size) in enumerate(suffixes)}
+        for i, t in enumerate(texts):
+            assert ranks[i].tolist() == [where[i, size] for size in range(len(t) + 1)]
+        for n in range(1, len(suffixes)):
+            shared = os.path.commonprefix([suffixes[n - 1][0], suffixes[n][0]])
+            assert common[n] == min(len(shared), most)
+
+
+def passages(seed=6):
+    rng = np.random.default_rng(seed)
+    word = lambda: bytes(rng.integers(97, 123, rng.integers(2, 9), dtype=np.uint8)).decode()
+    some = [" ".join(word() for _ in range(12)) for _ in range(5)]
+    texts = []
+    for n in range(150):
+        parts = [" ".join(word() for _ in range(rng.integers(0, 20))) for _ in range(4)]
+        parts[rng.integers(0, 4)] += some[rng.integers(0, 5)][rng.integers(0, 30) :] if n % 3 else some[0]
+        texts.append("é ".join(parts))
+    return [*texts, texts[0], texts[0], "ab" * 300, "x" * 700, "", None, "\0" * 90 + "\ufffd" * 40]
+
+
+@pytest.mark.parametrize(("length", "kinds"), [(40, 256), (40, 2), (17, 256), (200, 256)])
+def test_repeats_are_struck(spark, monkeypatch, length, kinds):
+    monkeypatch.setattr(substrings, "KINDS_AT_ONCE", kinds)
+    monkeypatch.setattr(substrings, "FRAGMENTS_AT_ONCE", 20)
+    rows = list(enumerate(passages()))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit("c") for n in ("key", "body", "wanted", "anchor")})
+    found = {r["doc_id"]: tuple(r)[1:] for r in substrings.remove_repeats(df, length).collect()}
+    wanted = struck([(t or "").encode() for _, t in rows], length)
+    assert found == {i: (n, gone, spans, digest, bytearray(kept)) for i, (n, gone, spans, digest, kept) in enumerate(wanted)}
+
+
+def test_repeats_of_long_texts_and_segments(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SEGMENT", 1 << 10)
+    rng = np.random.default_rng(7)
+    body = bytes(rng.integers(97, 123, 6000, dtype=np.uint8)).decode()
+    texts = [body, "x" + body[1500:4200], "word " * 9000, "a" * 50_000]
+    anchors = substrings.Anchors(50)
+    for text in texts:
+        starts = [x for _, _, first, last, _ in anchors.of(text.encode()) for a, b in zip(first, last, strict=True) for x in range(a, b + 1)]
+        assert starts == list(range(len(text) - 49))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: tuple(r)[1:5] for r in substrings.remove_repeats(df, 50).collect()}
+    gone = {0: (6000, 2700, 1), 1: (2701, 2700, 1), 2: (45_000, 45_000, 1), 3: (50_000, 50_000, 1)}
+    assert {i: f[:3] for i, f in found.items()} == gone
+
+
+@needs_tables
+def test_repeats_of_whole_table(spark, texts):
+    found = by_id(QUERIES["op11_repeated_substrings"](spark, SF))
+    body = {i: (t or "").encode() for i, t in texts.items()}
+    digests = {i: [xxhash.xxh3_128_digest(t[p : p + 200]) for p in range(len(t) - 199)] for i, t in body.items()}
+    often = collections.Counter(d for each in digests.values() for d in each)
+    for i, t in body.items():
+        edges = np.zeros(len(t) + 1, dtype=int)
+        for p, d in enumerate(digests[i]):
+            if often[d] > 1:
+                edges[p] += 1
+                edges[p + 200] -= 1
+        gone = np.cumsum(edges)[:-1] > 0
+        kept = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()
+        spans = int(np.sum(np.diff(np.r_[0, gone.astype(int)]) == 1))
+        assert tuple(found[i]) == (i, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+
+
+def test_repeat_odd_rows(odd, none):
+    rows = substrings.remove_repeats(odd, 20).collect()
+    assert len(rows) == len(ODD)
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"]) for r in rows if r["doc_id"] == 3] == [(42, 42, 1)] * 2
+    assert all(r["n_bytes"] == 0 and r["kept_sha256"] == hashlib.sha256(b"").hexdigest() for r in rows if r["doc_id"] in (1, 2))
+    assert substrings.remove_repeats(none).collect() == []
+
+
+# 12 filter interactions
+
+
+def slow_audit(rows, labels):
+    """`(part, order, step): counts` from every row and order by definition."""
+    import itertools
+    import re as plain
+
+    fails = []
+    for i, text, part in rows:
+        text = text or ""
+        words = plain.findall(r"[^\x20\x09-\x0d]+", text)
+        copy = i is not None and any(j is not None and j < i and (other or "") == text for j, other, _ in rows)
+        failed = {
+            "A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words),
+            "C": 100 * len(plain.findall("[A-Z]", text)) > 10 * len(text), "D": bool(plain.search("[#$%&*|]", text)), "E": copy,
+        }
+        fails.append((part or "", {f for f, x in failed.items() if x}, [any(q[k] == 1 for q in labels if q[0] == i and i is not None) for k in (1, 2)]))
+    found = {}
+    for part in {p for p, _, _ in fails}:
+        share = collections.Counter()
+        mine = [f for f in fails if f[0] == part]
+        for order in map("".join, itertools.permutations("ABCDE")):
+            for step, f in enumerate(order, 1):
+                gone = [x for x in mine if f in x[1] and not x[1] & set(order[: step - 1])]
+                share[f] += len(gone)
+                found[part, order, step] = [
+                    sum(not x[1] & set(order[:step]) for x in mine), len(gone), sum(f in x[1] and bool(x[1] & set(order[: step - 1])) for x in mine),
+                    sum(x[1] == {f} for x in mine), sum(x[2][0] for x in gone), sum(x[2][1] for x in gone), f,
+                ]
+        for (p, _, _), x in found.items():
+            if p == part:
+                x[6] = share[x[6]]
+    return {k: tuple(v) for k, v in found.items()}
+
+
+def test_audit(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in range(120):
+        words = [f"w{x}" for x in rng.integers(0, 400, rng.integers(60, 180))]
+        words += ["LOUD"] * int(rng.integers(0, 2) * 60) + ["50%"] * int(rng.integers(0, 2)) + ["again"] * int(rng.integers(0, 2) * 90)
+        rows.append((n, " ".join(words), [None, "en", "de"][n % 3]))
+    rows += [(200, rows[0][1], "en"), (200, rows[0][1], "en"), (-1, rows[3][1], "de"), (None, rows[0][1], "en"), (7, None, "en"), (8, "", None)]
+    rows += [(9, "\x1cone\u00a0word\x0b" * 200, "fr")]
+    labels = [(n, int(n % 4 == 0), int(n % 7 == 0)) for n in range(0, 210, 2)] + [(4, 0, 0), (None, 1, 1), (6, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({n: F.lit("c") for n in ("id", "part", "mask", "words", "n")})
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("text", F.lit("c"))
+    found = {tuple(r)[:3]: tuple(r)[3:] for r in audit.audit_documents(docs, marks).collect()}
+    assert found == slow_audit(rows, labels)
+
+
+def test_removal_steps_are_the_first_failed_filter():
+    orders, steps = audit.removal_steps(3)
+    for p, order in enumerate(orders):
+        for mask in range(8):
+            wanted = min([s for s, f in enumerate(order, 1) if mask >> f & 1], default=np.inf)
+            assert steps[mask, p] == wanted
+
+
+def test_audit_odd_rows(odd, none, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    first = audit.audit_documents(odd, labels).where("filter_order = 'ABCDE' and step = 1")
+    assert {r["part"]: r["kept"] + r["removed"] for r in first.collect()} == {"": 2, "en": 4, "de": 1}
+    assert audit.audit_documents(none, labels).collect() == []
+
+
+# 13 spelling variants
+
+
+def slow_variants(n):
+    """`word: (form, root, n, n_near, form_n)` by comparing all words."""
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        return len(b) - len(a) == 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+    close = {w: [x for x in n if x != w and near(w, x)] for w in n}
+    form = {w: min(c, key=lambda x: (-n[x], x)) for w, c in close.items() if c}
+    form = {w: f for w, f in form.items() if n[f] >= 5 * n[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n[w], len(close[w]), n[form[w]] if w in form else None) for w in n}
+
+
+def runs_of(rows):
+    counts = collections.Counter()
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for i, text in rows:
+        for w in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            w = w.translate(low)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 199 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            counts[w] += 1
+    return {w: c for w, c in counts.items() if len(w) >= 6 and c >= 5}
+
+
+def vocabulary_of(seed, size):
+    rng = np.random.default_rng(seed)
+    letters = list("abé")
+    words = {"".join(rng.choice(letters, rng.integers(6, 9))) for _ in range(size)}
+    return {w: int(5 ** rng.integers(0, 6) + rng.integers(0, 5)) for w in words}
+
+
+@pytest.mark.parametrize(("frequent", "long_list"), [(64, 128), (3, 128), (64, 2), (3, 2), (10**6, 1)])
+def test_variants_of_dense_vocabulary(spark, frequent, long_list):
+    n = vocabulary_of(frequent + long_list, 400)
+    words = spark.createDataFrame(list(n.items()), "word string, n long")
+    found = variants.group_variants(stage(words, "words"), frequent=frequent, long_list=long_list)
+    assert {r["word"]: tuple(r)[1:] for r in found.collect()} == slow_variants(n)
+
+
+def test_affected_grams_bound_every_edit():
+    rng = np.random.default_rng(9)
+    frequent = {"aba": 9, "abab": 9, "bab": 9, "^ab": 9, "ba$": 9, "baba": 9}
+    for _ in range(200):
+        word = "".join(rng.choice(list("ab"), rng.integers(6, 10)))
+        at = int(rng.integers(0, len(word) + 1))
+        for other in (word[:at] + "b" + word[at:], word[:at] + "a" + word[at + 1 :], word[:at] + word[at + 1 :]):
+            if other == word or len(other) < 6:
+                continue
+            mine, theirs = (variants.decompose(f"^{w}$", frequent) for w in (word, other))
+            shared = collections.Counter(g for g, _ in mine) & collections.Counter(g for g, _ in theirs)
+            assert sum(shared.values()) >= len(mine) - variants.affected(mine, len(word) + 2)
+            assert {g for g, _ in variants.rare_grams(word, frequent)} & {g for g, _ in variants.rare_grams(other, frequent)}
+
+
+def test_dictionary_is_bounded(spark):
+    words = spark.createDataFrame([(w,) for w in vocabulary_of(1, 300)], "word string")
+    assert 0 < len(variants.frequent_grams(words, frequent=0, dictionary=50)) <= 50
+
+
+@needs_tables
+def test_variants_of_whole_table(spark, texts):
+    found = {r["word"]: tuple(r)[1:] for r in QUERIES["op13_spelling_variants"](spark, SF).collect()}
+    n = runs_of(texts.items())
+    assert found.keys() == n.keys()
+    by_rest = collections.defaultdict(set)
+    for w in n:
+        for k in range(len(w)):
+            by_rest[k, w[:k] + w[k + 1 :]].add(w)
+            by_rest[-1, w[:k] + w[k + 1 :]].add(w)
+    close = collections.defaultdict(set)
+    for (k, rest), group in by_rest.items():
+        for w in group:
+            close[w] |= (group - {w}) if k >= 0 else ({rest} & n.keys())
+            if k < 0 and rest in n:
+                close[rest].add(w)
+    for w, (form, root, count, n_near, form_n) in found.items():
+        assert (count, n_near) == (n[w], len(close[w]))
+        best = min(close[w], key=lambda x: (-n[x], x), default=None)
+        wanted = best if best is not None and n[best] >= 5 * n[w] else None
+        assert (form, form_n) == (wanted, n[wanted] if wanted else None)
+        assert root == (w if form is None else found[form][1])
+
+
+def test_variant_odd_rows(spark, odd, none):
+    assert variants.spelling_variants(odd).collect() == []
+    assert variants.spelling_variants(none).collect() == []
+    rows = [(i, "\u00c9COLE\u00d7s \u00e9colees, spelling's speling") for i in (None, None, 1, 2, 3, 3)] + [(9, "longword " * 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("c") for c in ("word", "n", "key", "id", "run")})
+    found = {r["word"]: tuple(r)[1:] for r in variants.spelling_variants(df).collect()}
+    assert found == slow_variants(runs_of(rows)) and "\u00c9cole\u00d7s" in found
+    with pytest.raises(ValueError):
+        variants.near_pairs(spark.createDataFrame([("abcd", 5)], "word string, n long"))

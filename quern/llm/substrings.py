@@ -16,11 +16,11 @@ from quern.llm.common import map_texts, raw_bytes
 from quern.session import stage
 
 #: Parts that fragments are divided into.
-PARTS = 4
+PARTS = 8
 #: Different fragments that one collection may take from a group; larger groups are divided further.
 KINDS_AT_ONCE = 256
-#: Fragments in one collection. Groups stay whole, so it may be larger by one group.
-FRAGMENTS_AT_ONCE = 192
+#: Fragments that are compared at once. Groups stay whole, so there may be more by one group.
+FRAGMENTS_AT_ONCE = 512
 #: Window starts of a text that are hashed at once.
 SEGMENT = 1 << 20
 #: Lists of repeated fragments are broadcast to the texts while they have fewer entries; otherwise texts and lists are joined.
@@ -209,56 +209,108 @@ def _fragments(docs: DataFrame, text: str, length: int) -> DataFrame:
 
 
 def _with_lists(texts: DataFrame, entries: DataFrame, fields: list[str], how: str) -> DataFrame:
-    """`texts` with `wanted`, the list of `fields` that `entries`, a stage table, has for its key."""
-    lists = entries.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
+    """`texts` with `wanted`, the `fields` that `entries`, a stage table, has for its key, once each."""
+    lists = entries.groupBy("key").agg(F.collect_set(F.struct(*fields)).alias("wanted"))
     return texts.join(F.broadcast(lists) if entries.count() <= ENTRIES_TO_BROADCAST else lists, "key", how)
 
 
+def _lists_of(column: pa.Array) -> Iterator[list[tuple]]:
+    """The rows of each list of a list column; null is empty."""
+    fields = [c.to_pylist() for c in column.flatten().flatten()]
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy()).tolist()
+    for a, b in zip([0, *ends], ends, strict=False):
+        yield list(zip(*[f[a:b] for f in fields], strict=True))
+
+
 def _bytes_of(docs: DataFrame, wanted: DataFrame, text: str, length: int) -> DataFrame:
-    """`anchor, print, lead, bytes` for the fragments `wanted` (`key, anchor, print`), once each."""
-    names, types = ["anchor", "print", "lead", "bytes"], [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    """`wanted` (`key, anchor, print, times, many`) with `lead, bytes` of each fragment; copies of a text may give one again."""
+    names = ["anchor", "print", "times", "many", "lead", "bytes"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
 
     def cut(batches):
         anchors, done = Anchors(length), set()
         for batch in batches:
             out = []
-            lists = batch.column(2)
-            pairs = lists.flatten()
-            pairs = list(zip(pairs.field(0).to_pylist(), pairs.field(1).to_pylist(), strict=True))
-            ends = np.cumsum(pc.list_value_length(lists).to_numpy()).tolist()
-            for key, body, a, b in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1)), [0, *ends], ends, strict=False):
+            for key, body, rows in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1)), _lists_of(batch.column(2)), strict=True):
                 if key in done:  # a copy
                     continue
                 done.add(key)
-                left = set(pairs[a:b])
+                left = {row[:2]: row for row in rows}
                 for digests, prints, first, last, place in anchors.of(body):
-                    for pair, x, y, at in zip(zip(digests.tolist(), prints.tolist(), strict=True), first.tolist(), last.tolist(), place.tolist(), strict=True):
+                    pairs = zip(digests.tolist(), prints.tolist(), strict=True)
+                    for pair, x, y, at in zip(pairs, first.tolist(), last.tolist(), place.tolist(), strict=True):
                         if pair in left:
-                            left.discard(pair)
-                            out.append((*pair, at - x, body[x : y + length]))
-            columns = zip(*out, strict=True) if out else [[]] * 4
+                            out.append((*left.pop(pair), at - x, body[x : y + length]))
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
-    texts = _with_lists(_keyed(docs, text), wanted, ["anchor", "print"], "inner").select("key", "body", "wanted")
-    found = map_texts(texts, cut, "anchor long, print long, lead int, bytes binary")
-    once = found.groupBy("anchor", "print").agg(F.first(F.struct("lead", "bytes")).alias("f"))
-    return once.select("anchor", "print", "f.*")
+    fields = ["anchor", "print", "times", "many"]
+    texts = _with_lists(_keyed(docs, text), wanted, fields, "inner").select("key", "body", "wanted")
+    return map_texts(texts, cut, "anchor long, print long, times long, many boolean, lead int, bytes binary")
+
+
+def _parts(low: int, high: int) -> list[tuple[int, int]]:
+    edges = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)]
+    return [(a, b - 1) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+
+
+def compare(rows: list[tuple[int, int, int, bytes]], length: int) -> list[list[tuple[int, int]]]:
+    """For each of `group, times, lead, bytes` the distances from its anchor, from and to, at which it shares windows.
+
+    Within a group fragments are divided by distance; parts whose common bytes no other has are alone, and parts that are
+    all alike are shared. What is left goes into one collection, each different part once.
+    """
+    groups: dict[int, list[int]] = {}
+    for i, (group, *_) in enumerate(rows):
+        groups.setdefault(group, []).append(i)
+    spans: list[list[tuple[int, int]]] = [[] for _ in rows]
+    collection: dict[tuple[int, int, bytes], list[int]] = {}
+    number = 0
+    for members in groups.values():
+        low = min(rows[i][2] - len(rows[i][3]) + length for i in members)
+        high = max(rows[i][2] for i in members)
+        for a, b in _parts(low, high):
+            met: dict[bytes, dict[tuple[int, bytes], list[int]]] = {}
+            for i in members:
+                _, _, lead, text = rows[i]
+                first, last = max(lead - b, 0), min(lead - a, len(text) - length)
+                if first <= last:
+                    alike = met.setdefault(text[lead - a : lead - b + length], {})
+                    alike.setdefault((lead - first, text[first : last + length]), []).append(i)
+            for alike in met.values():
+                if len(alike) > 1:
+                    collection.update({(number, *part): owners for part, owners in alike.items()})
+                    number += 1
+                else:
+                    ((lead, part), owners), = alike.items()
+                    if len(owners) > 1:
+                        for i in owners:
+                            spans[i].append((lead - len(part) + length, lead))
+    if collection:
+        fragments = list(collection)
+        for (_, lead, _), owners, windows in zip(fragments, collection.values(), shared_windows(fragments, length), strict=True):
+            if len(owners) > 1:
+                windows = np.ones_like(windows)
+            for first, last in zip(*(x.tolist() for x in _spans(windows)), strict=True):
+                for i in owners:
+                    spans[i].append((lead - last, lead - first))
+    for i, (_, times, lead, text) in enumerate(rows):
+        if times > 1:
+            spans[i] = [(lead - len(text) + length, lead)]
+    return spans
 
 
 def _compared(kinds: DataFrame, length: int) -> DataFrame:
     """`group, kind, low, high`: the distances from the anchor at which windows of the kinds of a group are shared.
 
-    `kinds` has `group, kind, times, lead, bytes`, few kinds for each group. Groups are dealt to tasks whole, and each task
-    builds one collection after the other from some of them.
+    `kinds` has `group, kind, times, lead, bytes`, few kinds for each group, some perhaps repeated. Groups are dealt to
+    tasks whole, and each task compares some of them after the other.
     """
     names, types = ["group", "kind", "low", "high"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def search(rows: list[tuple]) -> pa.RecordBatch:
-        out = []
-        shared = shared_windows([(g, lead, text) for g, _, _, lead, text in rows], length)
-        for (group, kind, times, lead, _), windows in zip(rows, shared, strict=True):
-            first, last = _spans(windows | (times > 1))
-            out += [(group, kind, lead - b, lead - a) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        found = compare([(group, *rest) for group, _, *rest in rows], length)
+        out = [(*row[:2], *span) for row, spans in zip(rows, found, strict=True) for span in spans]
         columns = zip(*out, strict=True) if out else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
@@ -266,6 +318,8 @@ def _compared(kinds: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if held and row[:2] == held[-1][:2]:
+                    continue
                 if len(held) >= FRAGMENTS_AT_ONCE and row[0] != held[-1][0]:
                     yield search(held)
                     held = []
@@ -285,11 +339,10 @@ def _divided(rows: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             out = []
             for anchor, fingerprint, group, times, low, high, lead, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                edges = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)]
-                for a, b in zip(edges, [e - 1 for e in edges[1:]], strict=False):
+                for a, b in _parts(low, high):
                     # Windows start at byte lead - distance.
                     first, last = max(lead - b, 0), min(lead - a, len(text) - length)
-                    if a <= b and first <= last:
+                    if first <= last:
                         part = text[first : last + length]
                         core = text[lead - a : lead - b + length]
                         new = xxhash.xxh3_64_intdigest(core, (group ^ (a * 1024 + b)) & _WRAP)
@@ -315,39 +368,39 @@ def _shared(docs: DataFrame, repeated: DataFrame, text: str, length: int) -> Dat
     """`anchor, print, low, high`: the fragments of `repeated` (`key, anchor, print, times`; a stage table) that have shared
     windows, with the distances from their anchors at which those are.
 
-    A fragment that is all there is to its anchor is shared as a whole. Other anchors' fragments are divided, so that most
-    parts are alike or alone; the rest are compared, as what a collection costs grows with the square of their length.
-    Groups with very many different parts are divided on, down to single windows, which are alike.
+    A fragment that is all there is to its anchor is shared as a whole. Few different fragments of an anchor are compared
+    in one task. Where there are very many, they are divided by the distance of windows from the anchor, again and again
+    while parts meet very many others, down to single windows.
     """
-    kinds = repeated.groupBy("anchor", "print").agg(F.sum("times").alias("times"), F.min("key").alias("key"))
-    kinds = stage(kinds, "kinds")
+    kinds = stage(repeated.groupBy("anchor", "print").agg(F.sum("times").alias("times"), F.min("key").alias("key")), "kinds")
     several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"))
     placed = stage(kinds.join(several, "anchor"), "placed")
-    reach = length - max(1, length // 4)
-    span = (F.lit(0).alias("low"), F.lit(reach).alias("high"))
+    span = (F.lit(0).alias("low"), F.lit(length - max(1, length // 4)).alias("high"))
     shared = placed.where("different = 1").select("anchor", "print", *span)
-    wanted = placed.where("different > 1")
+    many = (F.col("different") > KINDS_AT_ONCE).alias("many")
+    wanted = stage(placed.where("different > 1").select("key", "anchor", "print", "times", many), "wanted")
     if wanted.isEmpty():
         return shared
-    found = _bytes_of(docs, stage(wanted.select("key", "anchor", "print"), "wanted"), text, length)
-    rows = wanted.join(found, ["anchor", "print"]).select(
-        "anchor", "print", F.col("anchor").alias("group"), F.col("print").alias("kind"), "times", *span, "lead", "bytes"
-    )
-    rows = _divided(rows, length)
-    while True:
-        rows = stage(rows, "fragments")
+    found = stage(_bytes_of(docs, wanted, text, length), "bytes")
+    few = found.where("not many").withColumnsRenamed({"anchor": "group", "print": "kind"})
+    shared = shared.unionByName(_compared(few, length).withColumnsRenamed({"group": "anchor", "kind": "print"}))
+    rows = found.where("many")
+    if rows.isEmpty():
+        return shared
+    once = rows.dropDuplicates(["anchor", "print"])
+    rows = once.select("anchor", "print", F.col("anchor").alias("group"), F.col("print").alias("kind"), "times", *span, "lead", "bytes")
+    while not rows.isEmpty():
+        rows = stage(_divided(rows, length), "parts")
         alike = rows.groupBy("group", "kind").agg(F.sum("times").alias("all"))
         groups = alike.groupBy("group").agg(F.sum("all").alias("total"), F.count(F.lit(1)).alias("different"))
         met = stage(rows.join(groups.where("total > 1"), "group"), "met")
         shared = shared.unionByName(met.where("different = 1").select("anchor", "print", "low", "high"))
         few = met.where(F.col("different").between(2, KINDS_AT_ONCE))
-        once = few.groupBy("group", "kind").agg(F.sum("times").alias("times"), F.first(F.struct("lead", "bytes")).alias("f"))
-        ranges = stage(_compared(once.select("group", "kind", "times", "f.*"), length), "ranges")
+        each = few.groupBy("group", "kind").agg(F.sum("times").alias("times"), F.first(F.struct("lead", "bytes")).alias("f"))
+        ranges = stage(_compared(each.select("group", "kind", "times", "f.*"), length), "ranges")
         shared = shared.unionByName(few.drop("low", "high").join(ranges, ["group", "kind"]).select("anchor", "print", "low", "high"))
-        many = met.where(F.col("different") > KINDS_AT_ONCE)
-        if many.isEmpty():
-            return shared
-        rows = _divided(many, length)
+        rows = met.where(F.col("different") > KINDS_AT_ONCE).drop("total", "different")
+    return shared
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -368,9 +421,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
     again = found.groupBy("anchor").agg(F.sum("times").alias("total")).where("total > 1").select("anchor")
     repeated = stage(found.join(again, "anchor"), "repeated")
     shared = _shared(docs, repeated, text, length)
-    ranges = shared.groupBy("anchor", "print").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
-    own = repeated.select("key", "anchor", "print").distinct()
-    entries = stage(own.join(ranges, ["anchor", "print"]).select("key", "anchor", "print", F.inline("ranges")), "entries")
+    # A text's own fragments are told apart by one number; where they are shared is two bytes.
+    met = repeated.select("key", "anchor", "print").join(shared.distinct(), ["anchor", "print"])
+    one, span = F.col("anchor").bitwiseXOR(F.col("print")), F.col("low") * 256 + F.col("high")
+    entries = stage(met.select("key", one.alias("id"), span.cast("int").alias("span")), "entries")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
 
@@ -378,18 +432,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
         anchors = Anchors(length)
         for batch in batches:
             out = []
-            lists = batch.column(2)
-            columns = [c.to_pylist() for c in lists.flatten().flatten()]
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()).tolist()
-            for key, body, a, b in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1)), [0, *ends], ends, strict=False):
-                ranges: dict[tuple[int, int], list[tuple[int, int]]] = {}
-                for anchor, fingerprint, low, high in zip(*[c[a:b] for c in columns], strict=True):
-                    ranges.setdefault((anchor, fingerprint), []).append((low, high))
+            for key, body, rows in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1)), _lists_of(batch.column(2)), strict=True):
+                ranges: dict[int, list[tuple[int, int]]] = {}
+                for one, span in rows:
+                    ranges.setdefault(one, []).append(divmod(span, 256))
                 edges = np.zeros(len(body) + 1, dtype=np.int32)
                 for digests, prints, first, last, place in anchors.of(body) if ranges else ():
-                    pairs = zip(digests.tolist(), prints.tolist(), strict=True)
-                    for pair, x, y, at in zip(pairs, first.tolist(), last.tolist(), place.tolist(), strict=True):
-                        for low, high in ranges.get(pair, ()):
+                    for one, x, y, at in zip((digests ^ prints).tolist(), first.tolist(), last.tolist(), place.tolist(), strict=True):
+                        for low, high in ranges.get(one, ()):
                             start, end = max(x, at - high), min(y, at - low) + length
                             if end - start >= length:
                                 edges[start] += 1
@@ -401,6 +451,6 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(rows, types, strict=True)], names)
 
     texts = _keyed(docs, text, F.col(doc_id).cast("long").alias("doc_id"))
-    listed = _with_lists(texts, entries, ["anchor", "print", "low", "high"], "left").select("doc_id", "body", "wanted")
+    listed = _with_lists(texts, entries, ["id", "span"], "left").select("doc_id", "body", "wanted")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return map_texts(listed, strike, schema)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
 from collections.abc import Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import lower_ascii
+from quern.llm.common import map_texts, raw_bytes
 from quern.session import broadcast_if_small, stage
 
 #: Lengths of grams. One edit changes at most `LONGEST` grams of a word, and a word of n characters has
@@ -18,13 +21,14 @@ SHORTEST, LONGEST = 3, 5
 FREQUENT = 64
 #: Most grams the broadcast dictionary holds; its threshold rises with the vocabulary to stay below.
 DICTIONARY = 200_000
-#: Words of one list that are paired as they are. Those of longer lists meet with one character left out.
+#: Words of one list that are paired as they are. Longer lists are divided by the half of the word that an edit leaves
+#: alone, and those of them that are still long by the word with one character left out.
 LONG_LIST = 128
 #: Ends of a word.
 _FIRST, _LAST = "^", "$"
 
-# What isn't part of a run of letters.
-_BETWEEN = "[^A-Za-z\\u00C0-\\u00FF]+"
+# Fixed value: the characters of a run of letters.
+_LETTERS = "A-Za-z\u00C0-\u00FF"
 
 
 def vocabulary(
@@ -33,18 +37,28 @@ def vocabulary(
     """`word, n`: lower-cased runs of letters of `shortest` or more characters that occur at least `least` times.
 
     Runs whose digest with the document's id is divisible by `drop_one_in` lose the character that the digest picks.
-    Null texts have no words; a null id counts as the empty text. Repeated rows count as often as they occur.
+    Null texts have no words; a null id counts as the empty text. Repeated rows count as often as they occur. Each batch of
+    texts is counted where it is; only its different words are shuffled.
     """
-    runs = docs.select(
-        F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"), F.explode(F.split(F.col(text), _BETWEEN)).alias("run")
-    ).where(F.length("run") >= shortest)
-    ascii_only = F.octet_length("run") == F.length("run")
-    low = runs.select("id", F.when(ascii_only, F.lower("run")).otherwise(lower_ascii(F.col("run"))).alias("low"))
-    digest = low.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "low").cast("binary")))
-    at = (F.col("h") % F.length("low")).cast("int")
-    shorter = F.concat(F.expr("left(low, cast(h % length(low) as int))"), F.substring(F.col("low"), at + 2, F.length("low")))
-    words = digest.select(F.when(F.col("h") % drop_one_in == 0, shorter).otherwise(F.col("low")).alias("word"))
-    counted = words.where(F.length("word") >= shortest).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    run_of = re.compile(f"[{_LETTERS}]{{{shortest},}}")
+
+    def count(batches):
+        for batch in batches:
+            found: Counter[str] = Counter()
+            for key, body in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1)), strict=True):
+                start = zlib.crc32(f"{key}:".encode())
+                for word, n in Counter(run_of.findall(body.lower().decode())).items():
+                    digest = zlib.crc32(word.encode(), start)
+                    if digest % drop_one_in == 0:
+                        at = digest % len(word)
+                        word = word[:at] + word[at + 1 :]
+                        if len(word) < shortest:
+                            continue
+                    found[word] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
+
+    texts = docs.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"), F.col(text).alias("body"))
+    counted = map_texts(texts, count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= least)
 
 
@@ -132,7 +146,7 @@ def _postings(words: DataFrame, frequent: Mapping[str, int]) -> DataFrame:
         F.struct(F.lit(True).alias("long"), F.xxhash64("gram", "place", size - 1).alias("key")),
         F.struct(F.lit(True).alias("long"), F.xxhash64("gram", F.col("place") - 1, size - 1).alias("key")),
     )
-    return each.select("word", "n", F.inline(lists)).distinct()
+    return each.select("word", "n", F.inline(lists))
 
 
 def _without_one(postings: DataFrame) -> DataFrame:
@@ -146,7 +160,26 @@ def _without_one(postings: DataFrame) -> DataFrame:
     shorter = F.concat(F.transform(places, lambda p: F.struct(p.alias("cut"), left(p).alias("rest"))), whole)
     longer = F.transform(places, lambda p: F.struct(F.lit(0).alias("cut"), left(p).alias("rest")))
     met = postings.select("key", "long", "word", "n", F.inline(F.when(F.col("long"), longer).otherwise(shorter)))
-    return met.select(F.xxhash64("key", "cut", "rest").alias("key"), "long", "word", "n").distinct()
+    return met.select(F.xxhash64("key", "cut", "rest").alias("key"), "long", "word", "n")
+
+
+def _by_half(postings: DataFrame) -> DataFrame:
+    """The rows of long lists in lists of their own for the half of the word that an edit leaves alone: the first half of
+    the shorter word of a pair, or what comes after it."""
+    size = F.length("word")
+    short = (size - F.col("long").cast("int")).cast("int")
+    half = F.floor(short / 2).cast("int")
+    halves = F.array(
+        F.struct(F.lit(0).alias("side"), F.substring(F.col("word"), F.lit(1), half).alias("part")),
+        F.struct(F.lit(1).alias("side"), F.substring(F.col("word"), size - (short - half) + 1, short - half).alias("part")),
+    )
+    met = postings.select("key", "long", "word", "n", F.inline(halves))
+    return met.select(F.xxhash64("key", "side", "part").alias("key"), "long", "word", "n")
+
+
+def _long_lists(postings: DataFrame, most: int) -> DataFrame:
+    lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    return stage(lists.where(F.col("c") > most).select("key"), "long-lists")
 
 
 def near_pairs(
@@ -157,11 +190,14 @@ def near_pairs(
     if shortest is not None and shortest + 2 < SHORTEST + LONGEST:
         raise ValueError(f"words of fewer than {SHORTEST + LONGEST - 2} characters need shorter grams")
     postings = stage(_postings(words, frequent_grams(words, frequent, dictionary)), "postings")
-    longs = stage(postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > long_list).select("key"), "long-lists")
     lists = postings
-    if not longs.isEmpty():
+    for divide in (_by_half, _without_one):
+        longs = _long_lists(lists, long_list)
+        if longs.isEmpty():
+            break
         side = broadcast_if_small(longs)
-        lists = stage(postings.join(side, "key", "left_anti").unionByName(_without_one(postings.join(side, "key", "left_semi"))), "lists")
+        rest = lists.join(side, "key", "left_anti")
+        lists = stage(rest.unionByName(divide(lists.join(side, "key", "left_semi"))), "lists")
     short = lists.where("not long").select("key", "word", "n")
     met = lists.select("key", "long", F.col("word").alias("other"), F.col("n").alias("other_n"))
     pairs = short.join(met, "key").where("long or word < other").where(F.levenshtein("word", "other", 1) == 1)

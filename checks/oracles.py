@@ -109,6 +109,7 @@ ORACLES["recommendations_rounded"] = ORACLES["recommendations"].replace(
     "sum(cnt * rating)", "sum(round(cnt * rating, 6))"
 )
 ORACLES["drop_seen"] = ORACLES["recommendations"]
+ORACLES["recommendations_grid"] = ORACLES["recommendations"]
 
 
 # ---- postings ------------------------------------------------------------------------------
@@ -184,6 +185,24 @@ ORDER BY ALL"""
 
 ORACLES["postings_parse"] = f"WITH {_POSTINGS} SELECT * FROM postings"
 ORACLES["question_answer_join"] = f"WITH {_POSTINGS}, {_PAIRS} SELECT * FROM pairs"
+ORACLES["question_answer_digest"] = f"""
+WITH {_POSTINGS}, {_PAIRS}
+SELECT id, score, tag, count(*) AS answers, CAST(sum(answer_score) AS BIGINT) AS total,
+       md5(string_agg(answer_id || ':' || answer_score, ',' ORDER BY answer_id || ':' || answer_score)) AS digest
+FROM pairs GROUP BY id, score, tag"""
+ORACLES["posting_line_report"] = """
+WITH lines AS (
+  SELECT concat('1,', o_orderkey, ',,', o_orderkey % 20 - 3, ',', o_orderpriority) AS line, o_orderkey % 20 - 3 AS score FROM orders
+  UNION ALL
+  SELECT concat('2,', l_orderkey * 10 + l_linenumber, ',', l_orderkey, ',', CAST(l_quantity AS INTEGER) - 6, ','),
+         CAST(l_quantity AS INTEGER) - 6
+  FROM lineitem),
+sorted AS (
+  SELECT score, length(line) AS size, length(split_part(line, ',', 1)) + length(split_part(line, ',', 2)) + 1 AS head FROM lines)
+SELECT CASE size % 7 WHEN 0 THEN 'type is no number' WHEN 1 THEN 'too few fields' WHEN 2 THEN 'parent is no number' ELSE 'kept' END AS reason,
+       count(*) AS lines,
+       CAST(sum(CASE size % 7 WHEN 0 THEN size + 1 WHEN 1 THEN head WHEN 2 THEN size + 1 ELSE score END) AS BIGINT) AS measure
+FROM sorted GROUP BY 1"""
 ORACLES["question_max_score"] = f"WITH {_POSTINGS}, {_PAIRS}, {_BEST} SELECT * FROM best"
 ORACLES["posting_vectors"] = f"WITH {_POSTINGS}, {_PAIRS}, {_BEST}, {_VECTORS} SELECT * FROM vectors"
 
@@ -381,3 +400,6 @@ ORACLES["projection_sink_bracketed"] = ORACLES["projection_sink"]
 ORACLES["text_sink"] = f"WITH {_LINES} SELECT line AS value, count(*) AS cnt FROM lines GROUP BY line"
 ORACLES["short_text_csv"] = """
 SELECT md5(regexp_replace(text, '[^\\x{00}-\\x{ff}]', '?', 'g')) AS digest FROM documents"""
+ORACLES["silhouette_sweep_facts"] = """
+SELECT CAST(k AS INTEGER) AS k, CAST(s AS INTEGER) AS vector_size, CAST(m AS INTEGER) AS min_count, true AS in_order, true AS as_alone
+FROM (VALUES (3, 3, 2), (5, 3, 2), (4, 2, 1)) AS v(k, s, m), (SELECT count(*) AS n FROM documents) WHERE n > 0"""

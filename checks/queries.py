@@ -148,6 +148,14 @@ def recommendations(spark, sf):
     return plans.recommend_scores(inputs.ratings(spark, sf))
 
 
+@query
+def recommendations_grid(spark, sf):
+    """The scores as for a matrix that is too large to be broadcast."""
+    rated = stage(inputs.ratings(spark, sf), "ratings")
+    totals = stage(ratings.rating_totals(rated), "totals")
+    return ratings.unseen_scores(rated, totals, ratings.pair_table(totals), broadcast_bytes=0)
+
+
 @query
 def recommendations_rounded(spark, sf):
     return plans.recommend_scores(inputs.ratings(spark, sf), product_decimals=6)
@@ -186,6 +194,35 @@ def question_answer_join(spark, sf):
     return postings.question_answers(readers.parse_postings(inputs.posting_lines(spark, sf)))
 
 
+@query
+def question_answer_digest(spark, sf):
+    """One row for each question record: how many answers it meets, and a digest of them."""
+    met = postings.question_answers(readers.parse_postings(inputs.posting_lines(spark, sf)))
+    each = F.concat_ws(":", F.col("answer_id").cast("string"), F.col("answer_score").cast("string"))
+    return met.groupBy("id", "score", "tag").agg(
+        F.count(F.lit(1)).alias("answers"),
+        F.sum("answer_score").alias("total"),
+        F.md5(F.array_join(F.array_sort(F.collect_list(each)), ",")).alias("digest"),
+    )
+
+
+@query
+def posting_line_report(spark, sf):
+    """What was kept of posting lines of which some are broken, and what was rejected and why."""
+    lines = inputs.posting_lines(spark, sf)
+    size = F.length("value")
+    broken = (
+        F.when(size % 7 == 0, F.concat(F.lit("x"), "value"))
+        .when(size % 7 == 1, F.substring_index("value", ",", 2))
+        .when(size % 7 == 2, F.regexp_replace("value", "^([0-9]+),([0-9]+),", "$1,$2,?"))
+        .otherwise(F.col("value"))
+    )
+    checked = readers.checked_postings(lines.select(broken.alias("value")))
+    kept = readers.kept_lines(checked).select(F.lit("kept").alias("reason"), F.col("score").cast("long").alias("measure"))
+    rejected = readers.rejected_lines(checked).select("reason", F.length("value").cast("long").alias("measure"))
+    return kept.unionByName(rejected).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.sum("measure").alias("measure"))
+
+
 @query
 def question_max_score(spark, sf):
     return postings.best_answers(readers.parse_postings(inputs.posting_lines(spark, sf)))
@@ -388,6 +425,23 @@ def silhouette_sweep(spark, sf):
     return textml.sweep(tokens, [(4, 3, 2), (8, 3, 2), (4, 5, 1)], SEED)
 
 
+@query
+def silhouette_sweep_facts(spark, sf):
+    """What must hold of a sweep whatever the random numbers are: its settings, the order of its rows, and values that are
+    those of the same fit made alone."""
+    tokens = stage(_clean(spark, sf).select("kept"), "tokens")
+    grid = [(3, 3, 2), (5, 3, 2), (4, 2, 1)]
+    found = textml.sweep(tokens, grid, SEED, TASKS).collect()
+    ranked = sorted(found, key=lambda r: (-r["silhouette"], r["k"]))
+    rows = []
+    for r in found:
+        model = textml.word_vectors(tokens, SEED, r["vector_size"], r["min_count"], TASKS)
+        vectors = stage(model.transform(tokens).select("vector"), "vectors")
+        alone = textml.silhouette(textml.cluster_vectors(vectors, SEED, r["k"]).transform(vectors))
+        rows.append((r["k"], r["vector_size"], r["min_count"], found == ranked, abs(alone - r["silhouette"]) < 1e-6))
+    return spark.createDataFrame(rows, "k int, vector_size int, min_count int, in_order boolean, as_alone boolean")
+
+
 # ---- comparison ----------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,19 +49,71 @@ def _check_mode(mode: str) -> bool:
     return mode == "strict"
 
 
-def _number(value: Column, kind: str, strict: bool) -> Column:
-    return value.cast(kind) if strict else value.try_cast(kind)
+def checked_ratings(lines: DataFrame, column: str = "value") -> DataFrame:
+    """`value, reason, user_id, item_id, rating`: every line, with why it can't be read, or NULL (S3)."""
+    parts = lines.select(F.col(column).alias("value"), tx.fields(F.col(column)).alias("f"))
+    rating = F.get("f", F.lit(2)).try_cast("double")
+    reason = F.when(F.col("value").isNull(), "no line").when(F.size("f") < 3, "too few fields").when(
+        rating.isNull(), "rating is no number"
+    )
+    ids = [F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("user_id", "item_id"))]
+    return parts.select("value", reason.alias("reason"), *ids, rating.alias("rating"))
+
+
+def checked_postings(lines: DataFrame, column: str = "value") -> DataFrame:
+    """`value, reason, posting_type, id, parent_id, score, tag`: every line, with why it can't be read, or NULL."""
+    parts = lines.select(F.col(column).alias("value"), tx.fields(F.col(column)).alias("f"))
+    at = lambda i: F.get("f", F.lit(i))
+    kind, number, score = at(0).try_cast("int"), at(1).try_cast("bigint"), at(3).try_cast("int")
+    parent = tx.blank_to_null(at(2))
+    reason = (
+        F.when(F.col("value").isNull(), "no line")
+        .when(F.size("f") < 4, "too few fields")
+        .when(kind.isNull(), "type is no number")
+        .when(number.isNull(), "id is no number")
+        .when(parent.isNotNull() & parent.try_cast("bigint").isNull(), "parent is no number")
+        .when(score.isNull(), "score is no number")
+    )
+    return parts.select(
+        "value", reason.alias("reason"), kind.alias("posting_type"), number.alias("id"),
+        parent.try_cast("bigint").alias("parent_id"), score.alias("score"), at(4).alias("tag"),
+    )
+
+
+def checked_tail_fields(lines: DataFrame, *keep: str, column: str = "value", skip: int = 5) -> DataFrame:
+    """`keep…, value, reason, text`: every line, with why it can't be read, or NULL."""
+    parts = lines.select(*keep, F.col(column).alias("value"), tx.fields(F.col(column)).alias("f"))
+    reason = F.when(F.col("value").isNull(), "no line").when(F.size("f") <= skip, "too few fields")
+    text = F.when(F.size("f") > skip, tx.unquote(tx.rest_of_fields(F.col("f"), skip + 1)))
+    return parts.select(*keep, "value", reason.alias("reason"), text.alias("text"))
+
+
+def kept_lines(checked: DataFrame) -> DataFrame:
+    """What the lines that can be read say."""
+    return checked.where("reason IS NULL").drop("value", "reason")
+
+
+def rejected_lines(checked: DataFrame) -> DataFrame:
+    """`reason, value` of the lines that can't be read, for an output of their own."""
+    return checked.where("reason IS NOT NULL").select("reason", "value")
+
+
+def count_lines(checked: DataFrame, name: str = "lines") -> tuple[DataFrame, Observation]:
+    """`checked` and its counts `lines, kept, rejected`, which are there once a job has read all of it, whatever that job
+    writes: no second pass is needed to know how much was dropped."""
+    seen = Observation(name)
+    bad = F.count(F.col("reason"))
+    counts = [F.count(F.lit(1)).alias("lines"), (F.count(F.lit(1)) - bad).alias("kept"), bad.alias("rejected")]
+    return checked.observe(seen, *counts), seen
 
 
 def parse_ratings(lines: DataFrame, column: str = "value", mode: str = "strict") -> DataFrame:
     """`user_id, item_id, rating` from 'user,item,rating' lines; ids stay strings (S3)."""
-    strict = _check_mode(mode)
+    if not _check_mode(mode):
+        return kept_lines(checked_ratings(lines, column))
+    f = F.col("f")
     parts = lines.select(tx.fields(F.col(column)).alias("f"))
-    at = (lambda i: F.col("f")[i]) if strict else (lambda i: F.get("f", F.lit(i)))
-    out = parts.select(
-        at(0).alias("user_id"), at(1).alias("item_id"), _number(at(2), "double", strict).alias("rating")
-    )
-    return out if strict else out.dropna()
+    return parts.select(f[0].alias("user_id"), f[1].alias("item_id"), f[2].cast("double").alias("rating"))
 
 
 def read_ratings(spark: SparkSession, *paths: str, mode: str = "strict") -> DataFrame:
@@ -73,21 +125,17 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
 
     An empty parent and a missing tag are NULL.
     """
-    strict = _check_mode(mode)
+    if not _check_mode(mode):
+        return kept_lines(checked_postings(lines, column))
+    f = F.col("f")
     parts = lines.select(tx.fields(F.col(column)).alias("f"))
-    at = (lambda i: F.col("f")[i]) if strict else (lambda i: F.get("f", F.lit(i)))
-    out = parts.select(
-        _number(at(0), "int", strict).alias("posting_type"),
-        _number(at(1), "bigint", strict).alias("id"),
-        _number(tx.blank_to_null(at(2)), "bigint", strict).alias("parent_id"),
-        _number(at(3), "int", strict).alias("score"),
+    return parts.select(
+        f[0].cast("int").alias("posting_type"),
+        f[1].cast("bigint").alias("id"),
+        tx.blank_to_null(f[2]).cast("bigint").alias("parent_id"),
+        f[3].cast("int").alias("score"),
         F.get("f", F.lit(4)).alias("tag"),
-        *([] if strict else [(tx.blank_to_null(F.get("f", F.lit(2)))).alias("raw_parent")]),
     )
-    if strict:
-        return out
-    readable_parent = F.col("raw_parent").isNull() | F.col("parent_id").isNotNull()
-    return out.where(readable_parent).drop("raw_parent").dropna(subset=["posting_type", "id", "score"])
 
 
 def read_postings(spark: SparkSession, *paths: str, mode: str = "strict") -> DataFrame:
@@ -101,10 +149,11 @@ def tail_field_text(
 
     A line with too few fields is an error, or a NULL text when permissive.
     """
-    strict = _check_mode(mode)
+    if not _check_mode(mode):
+        return checked_tail_fields(lines, *keep, column=column, skip=skip).drop("value", "reason")
     parts = lines.select(*keep, tx.fields(F.col(column)).alias("f"))
     found = tx.unquote(tx.rest_of_fields(F.col("f"), skip + 1))
-    short = F.raise_error(F.lit("too few fields in a short-text line")).cast("string") if strict else F.lit(None)
+    short = F.raise_error(F.lit("too few fields in a short-text line")).cast("string")
     return parts.select(*keep, F.when(F.size("f") > skip, found).otherwise(short).alias("text"))
 
 

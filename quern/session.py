@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,13 +73,91 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a parquet table in the shared folder and read it back (K4).
 
     Used where several later jobs read one result: it is computed once, its lineage is cut, and a
-    lost executor costs a re-read instead of a re-run.
+    lost executor costs a re-read instead of a re-run. Inside `resumable` a table that an earlier driver
+    finished is read instead.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    run = _RUNS.get(df.sparkSession.sparkContext.applicationId)
+    if run is None:
+        path = new_path(df.sparkSession, label)
+        df.write.parquet(path)
+    else:
+        path = run.path_of(df, label)
+        if not run.finished(path):
+            df.write.mode("overwrite").parquet(path)  # what a killed driver left half done goes
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class _Run:
+    """The stage tables of one named run: the same table has the same path in every driver."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, os.path.join(shared_folder(spark), f"quern-run-{name}")
+        self.times: dict[str, int] = {}
+
+    def path_of(self, df: DataFrame, label: str) -> str:
+        """A path named by digests of the plan, of the files it reads and of this package; equal ones are numbered."""
+        plan = df._jdf.queryExecution().analyzed().canonicalized().treeString()
+        # Stage tables before this one stand in the plan by their paths, and so by their digests.
+        facts = [plan, df.schema.json(), *(self._file(f) for f in sorted(df.inputFiles())), _package_digest()]
+        digest = hashlib.sha256("\n".join(facts).encode()).hexdigest()[:32]
+        self.times[digest] = self.times.get(digest, 0) + 1
+        return os.path.join(self.folder, f"{label}-{digest}-{self.times[digest]}")
+
+    def _file(self, name: str) -> str:
+        if name.startswith(self.folder) or f"/{os.path.basename(self.folder)}/" in name:
+            return name.rsplit("/", 2)[-2]  # of a stage table, whose name says what it holds
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        return f"{name} {status.getLen()} {status.getModificationTime()}"
+
+    def finished(self, path: str) -> bool:
+        """Spark writes the marker when all of a table is there."""
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+
+    def remove(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_RUNS: dict[str, _Run] = {}
+
+
+@contextmanager
+def resumable(spark: SparkSession, name: str) -> Iterator[None]:
+    """A run whose stage tables outlive a killed driver (K4).
+
+    Stage tables made inside are named by what they hold: the plan, the files it reads with their sizes and times, and
+    the package's code. A driver that runs the same work again under the same name reads those that are finished and makes
+    the others. When the work inside ends well, all of the run's tables go; so write its results elsewhere before that.
+    After an error they stay for the next attempt. One run at a time in an application; plans over data that the driver
+    holds are told apart by their schema and order only.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _RUNS:
+        raise ValueError("a resumable run is going on already")
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+        raise ValueError("a run's name is made of letters, digits, '.', '_' and '-'")
+    run = _RUNS[app] = _Run(spark, name)
+    try:
+        yield
+        run.remove()
+    finally:
+        del _RUNS[app]
+
+
+@cache
+def _package_digest() -> str:
+    """Digest of the package's source files, as plans don't show the code of Python functions."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    digest = hashlib.sha256()
+    for folder, _, names in sorted(os.walk(root)):
+        for name in sorted(n for n in names if n.endswith(".py")):
+            with open(os.path.join(folder, name), "rb") as file:
+                digest.update(name.encode() + file.read())
+    return digest.hexdigest()
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Remove every stage table of this application.
 

@@ -431,14 +431,17 @@ def silhouette_sweep_facts(spark, sf):
     those of the same fit made alone."""
     tokens = stage(_clean(spark, sf).select("kept"), "tokens")
     grid = [(3, 3, 2), (5, 3, 2), (4, 2, 1)]
-    found = textml.sweep(tokens, grid, SEED, TASKS).collect()
-    ranked = sorted(found, key=lambda r: (-r["silhouette"], r["k"]))
+    made = {}
+    for _, size, count in grid:
+        model = textml.word_vectors(tokens, SEED, size, count, TASKS)
+        made[size, count] = stage(model.transform(tokens).select("vector"), "vectors")
+    found = textml.score_settings(made, grid, SEED).collect()
+    in_order = found == sorted(found, key=lambda r: (-r["silhouette"], r["k"]))
     rows = []
-    for r in found:
-        model = textml.word_vectors(tokens, SEED, r["vector_size"], r["min_count"], TASKS)
-        vectors = stage(model.transform(tokens).select("vector"), "vectors")
-        alone = textml.silhouette(textml.cluster_vectors(vectors, SEED, r["k"]).transform(vectors))
-        rows.append((r["k"], r["vector_size"], r["min_count"], found == ranked, abs(alone - r["silhouette"]) < 1e-6))
+    for k, size, count, value in found:
+        vectors = made[size, count]
+        alone = textml.silhouette(textml.cluster_vectors(vectors, SEED, k).transform(vectors))
+        rows.append((k, size, count, in_order, abs(alone - value) < 1e-6))
     return spark.createDataFrame(rows, "k int, vector_size int, min_count int, in_order boolean, as_alone boolean")
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StopWordsRemover, Tokenizer, Word2Vec, Word2VecModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.words import Words, count_words, explode_words, top_n_per_group
@@ -70,8 +70,9 @@ def word_vectors(
     """Fitted word vectors (M5).
 
     Texts are dealt into `tasks` shards by a digest of their tokens and put in order inside them, so what a shard trains on,
-    and in which order, follows from the texts alone: every run and every cluster trains the same vectors, up to the last
-    bits of sums over shards. Without `tasks` the number of tokens decides, `TOKENS_PER_SHARD` to a shard.
+    and in which order, follows from the texts alone. Without `tasks` the number of tokens decides, `TOKENS_PER_SHARD` to a
+    shard. One shard trains the same vectors in every run and on every cluster. Several don't: Spark's tasks of one executor
+    change the same vectors while they train.
     Spark keeps the vocabulary on the driver, so it is counted first. Nothing is dropped from it: raise
     `min_count` when there are more than `most_words`.
     """
@@ -150,36 +151,48 @@ def sweep(
 ) -> DataFrame:
     """`k, vector_size, min_count, silhouette` per setting, best first (M9).
 
-    `grid` holds (k, vector size, least count); vectors are made once per size and count. `at_once` settings are fitted at
-    the same time, each as jobs of its own, so that one setting's last tasks leave no cores idle; with Spark's fair
-    scheduler each has its own pool. Results don't depend on it. The first setting that fails fails the sweep.
+    `grid` holds (k, vector size, least count); vectors are made once per size and count. `at_once` fits run at the same
+    time (see `together`). The first one that fails fails the sweep.
     """
     settings = list(grid)
-    spark = tokenized.sparkSession
+    kinds = sorted({(size, count) for _, size, count in settings})
 
-    def together(fn, items: Sequence) -> list:
-        def run(item):
-            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sweep-{items.index(item) % at_once}")
-            try:
-                return fn(item)
-            finally:
-                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    def vectors(kind: tuple[int, int]) -> DataFrame:
+        model = word_vectors(tokenized, seed, *kind, tasks)
+        return stage(model.transform(tokenized).select("vector"), "vectors")
 
-        with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(items)))) as pool:
-            return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), item) for item in items]]
+    made = dict(zip(kinds, together(tokenized.sparkSession, vectors, kinds, at_once), strict=True))
+    return score_settings(made, settings, seed, at_once)
 
-    def vectors(made: tuple[int, int]) -> DataFrame:
-        model = word_vectors(tokenized, seed, *made, tasks)
-        return stage(model.transform(tokenized).select("vector"), "vectors")
 
-    kinds = sorted({(size, count) for _, size, count in settings})
-    made = dict(zip(kinds, together(vectors, kinds), strict=True))
+def score_settings(
+    made: Mapping[tuple[int, int], DataFrame], grid: Iterable[tuple[int, int, int]], seed: int, at_once: int = SETTINGS_AT_ONCE
+) -> DataFrame:
+    """The ranked settings of a sweep, for vectors `made` for each size and least count; a stage table each."""
+    settings = list(grid)
+    spark = next(iter(made.values())).sparkSession
 
     def score(setting: tuple[int, int, int]) -> float:
         k, *kind = setting
         found = made[tuple(kind)]
         return silhouette(cluster_vectors(found, seed, k).transform(found))
 
-    rows = [(*setting, value) for setting, value in zip(settings, together(score, settings), strict=True)]
+    values = together(spark, score, settings, at_once)
     schema = "k int, vector_size int, min_count int, silhouette double"
+    rows = [(*setting, value) for setting, value in zip(settings, values, strict=True)]
     return spark.createDataFrame(rows, schema).orderBy(F.desc("silhouette"), "k", "vector_size", "min_count")
+
+
+def together(spark: SparkSession, fn: Callable, items: Sequence, at_once: int) -> list:
+    """`fn` of every item, `at_once` of them at the same time, each as Spark jobs of its own, so that the last tasks of one
+    leave no cores idle. With Spark's fair scheduler each has its own pool."""
+
+    def run(place: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"together-{place % at_once}")
+        try:
+            return fn(items[place])
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(items)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), i) for i in range(len(items))]]

@@ -140,3 +140,31 @@ def test_records_of_empty_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"")
     (tmp_path / "b.csv").write_bytes(b'\n"0","1","2","3","4","x"\n\n')
     assert rows(readers.read_short_text_csv(spark, str(tmp_path), multi_line=True)) == [("x",)]
+
+
+BROKEN = ["1,2,,3,t", "x,2,,3", "1,y,,3", "1,2,?,3", "1,2,,z", "1,2", "", None]
+
+
+def test_every_line_is_kept_or_rejected_with_a_reason(spark, tmp_path):
+    lines = spark.createDataFrame([(b,) for b in BROKEN], "value string")
+    checked, seen = readers.count_lines(readers.checked_postings(lines))
+    checked.write.parquet(str(tmp_path / "out"))
+    assert seen.get == {"lines": 8, "kept": 1, "rejected": 7}
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(readers.kept_lines(found)) == [(1, 2, None, 3, "t")]
+    assert rows(readers.rejected_lines(found)) == sorted(
+        [
+            ("type is no number", "x,2,,3"), ("id is no number", "1,y,,3"), ("parent is no number", "1,2,?,3"),
+            ("score is no number", "1,2,,z"), ("too few fields", "1,2"), ("too few fields", ""), ("no line", None),
+        ],
+        key=repr,
+    )
+
+
+def test_reasons_of_ratings_and_short_texts(texts):
+    assert rows(readers.checked_ratings(texts("u,i,1", "u,i", "u,i,x")).select("reason", "rating")) == sorted(
+        [(None, 1.0), ("too few fields", None), ("rating is no number", None)], key=repr
+    )
+    assert rows(readers.checked_tail_fields(texts('a,b,c,d,e,"f,g"', "a,b")).select("reason", "text")) == sorted(
+        [(None, "f,g"), ("too few fields", None)], key=repr
+    )

@@ -1,3 +1,6 @@
+import threading
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -104,3 +107,52 @@ def test_sweep_is_ranked(spark):
     found = textml.sweep(tokens_df, [(2, 2, 1), (3, 2, 1)], seed=2, tasks=1).collect()
     assert {r["k"] for r in found} == {2, 3}
     assert [r["silhouette"] for r in found] == sorted((r["silhouette"] for r in found), reverse=True)
+
+
+def test_one_shard_trains_the_same_vectors_however_texts_lie(spark):
+    words = [[f"w{(i * j) % 23}" for j in range(12)] for i in range(400)]
+    df = spark.createDataFrame([(w,) for w in words], "kept array<string>")
+    found = [
+        sorted((r["word"], tuple(r["vector"])) for r in textml.word_vectors(d, 3, vector_size=3, min_count=1).getVectors().collect())
+        for d in (df, df.repartition(7), df.repartition(3, "kept"))
+    ]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 23
+
+
+def test_shards_follow_the_tokens(spark, monkeypatch):
+    df = spark.createDataFrame([([f"a{i % 5}", "b"],) for i in range(100)], "kept array<string>")
+    asked = []
+    monkeypatch.setattr(textml, "TOKENS_PER_SHARD", 60)
+    real = textml.Word2Vec
+    monkeypatch.setattr(textml, "Word2Vec", lambda **k: asked.append(k["numPartitions"]) or real(**k))
+    textml.word_vectors(df, seed=1, vector_size=2, min_count=1)
+    textml.word_vectors(df, seed=1, vector_size=2, min_count=1, tasks=2)
+    assert asked == [4, 2]
+
+
+def test_settings_of_a_sweep_overlap(spark):
+    """Jobs of different settings run at the same time, and the result is that of one after the other."""
+    tokens_df = spark.createDataFrame([([f"a{i % 7}", f"b{i % 3}", "c"],) for i in range(300)], "kept array<string>")
+    grid = [(2, 2, 1), (3, 2, 1), (2, 3, 1), (3, 3, 1)]
+    tracker, most, done = spark.sparkContext.statusTracker(), [0], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            most[0] = max(most[0], len(tracker.getActiveJobsIds()))
+            time.sleep(0.002)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    together = textml.sweep(tokens_df, grid, seed=2, tasks=1, at_once=4).collect()
+    done.set()
+    watcher.join()
+    assert most[0] > 1
+    alone = textml.sweep(tokens_df, grid, seed=2, tasks=1, at_once=1).collect()
+    assert [r[:3] for r in together] == [r[:3] for r in alone]
+    assert [r["silhouette"] for r in together] == pytest.approx([r["silhouette"] for r in alone])
+
+
+def test_a_setting_that_fails_fails_the_sweep(spark):
+    tokens_df = spark.createDataFrame([(["a", "b"],)] * 4, "kept array<string>")
+    with pytest.raises(Exception):  # noqa: B017
+        textml.sweep(tokens_df, [(2, 2, 1), (-1, 2, 1)], seed=2, tasks=1)

@@ -13,18 +13,22 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import map_texts
 
-#: The model is fitted on about so many labelled documents of at most so many bytes, alike for every language,
-#: of at most so many languages; so many of the documents are landmarks.
+#: The model is fitted on about so many labelled documents, alike for every language and one of each at least; of longer
+#: ones on a window of so many characters. So many of the documents are landmarks.
 FIT_DOCUMENTS = 3000
-FIT_BYTES = 32_768
-MOST_LANGUAGES = 512
+FIT_CHARACTERS = 16_384
 LANDMARKS = 240
 #: Documents whose kernels are multiplied at once.
 ROWS_AT_ONCE = 64
 
 UNDETERMINED = "und"
 _BUCKET_BITS = 18
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; other numerals than digits, such as a half, are none."""
+    return any(m.group().isalpha() for m in _WORDLIKE.finditer(text))
 
 
 def grams_of(text: bytes) -> list[np.ndarray]:
@@ -43,6 +47,8 @@ class LanguageModel:
     languages: list[str]
     rows: np.ndarray
     weights: np.ndarray
+    #: With more languages than landmarks, `weights` are those of the landmarks, and this has theirs of the languages.
+    mixed: np.ndarray | None = None
 
     def values(self, texts: list[bytes]) -> np.ndarray:
         """One value per text and language: normalised presence kernels with the landmarks, times their weights."""
@@ -56,7 +62,8 @@ class LanguageModel:
                     seen[i, self.rows[buckets]] = 1
             known = seen[: len(part), :-1]
             size = np.sqrt(np.maximum(known.sum(axis=1, keepdims=True), 1))
-            out[start : start + len(part)] = known @ self.weights / size
+            values = known @ self.weights / size
+            out[start : start + len(part)] = values if self.mixed is None else values @ self.mixed
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -64,20 +71,22 @@ class LanguageModel:
         values = self.values([t.encode("utf-8", "replace") for t in texts])
         best = values.argmax(axis=1)
         score = np.clip((values[np.arange(len(texts)), best] + 1) / 2, 0, 1)
-        lettered = [bool(_LETTER.search(t)) for t in texts]
+        lettered = [has_letter(t) for t in texts]
         names = [self.languages[b] if has else UNDETERMINED for b, has in zip(best, lettered, strict=True)]
         return names, np.where(lettered, score, 0.0)
 
 
 def fit(texts: list[str], languages: list[str], ridge: float = 1e-3) -> LanguageModel | None:
     """One-versus-rest kernel ridge regression in the space that the landmarks span; None without texts."""
-    pairs = sorted({(l, t) for t, l in zip(texts, languages, strict=True) if _LETTER.search(t)}, key=lambda p: (_digest(p[1]), p))
+    pairs = sorted({(l, t) for t, l in zip(texts, languages, strict=True) if has_letter(t)}, key=lambda p: (_digest(p[1]), p))
     if not pairs:
         return None
     names = sorted({l for l, _ in pairs})
     by_language = [[t for l, t in pairs if l == name] for name in names]
     each = max(1, LANDMARKS // len(names))
-    landmarks = [t.encode() for group in by_language for t in group[:each]]
+    # The texts of a group are in the order of their digests, and so are the groups that give landmarks if not all do.
+    giving = sorted(by_language, key=lambda g: _digest(g[0]))[:LANDMARKS]
+    landmarks = [t.encode() for group in giving for t in group[:each]]
     present = [np.unique(np.concatenate(grams_of(t))) for t in landmarks]
     known = np.unique(np.concatenate(present))
     rows = np.full(1 << _BUCKET_BITS, len(known), dtype=np.int32)
@@ -94,6 +103,9 @@ def fit(texts: list[str], languages: list[str], ridge: float = 1e-3) -> Language
     weight = (1 / np.array([len(g) for g in by_language]))[[names.index(l) for l, _ in pairs], None]
     weight = weight / weight.mean()
     solved = np.linalg.solve((x * weight).T @ x + ridge * len(x) * np.eye(x.shape[1]), (x * weight).T @ y)
+    mixed = (project @ solved).astype(np.float32)
+    if len(names) > len(landmarks):
+        return LanguageModel(names, rows, dense, mixed)
     return LanguageModel(names, rows, (dense @ (project @ solved)).astype(np.float32))
 
 
@@ -104,22 +116,40 @@ def _digest(text: str) -> int:
 def train(docs: DataFrame, where: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel | None:
     """Fit on documents for which `where` (of `doc_id`) holds, about as many of every language, drawn by a digest of ids.
 
-    Rows with a null language or text are not learnt from.
+    Rows with a null language, or without a letter in their text, are not learnt from; every other language is a class of
+    the model, however many there are, and gives one document at least. Of a long document a window is learnt that its
+    digest draws. Rows that repeat are drawn together; without rows there is no model.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(
-        where & F.col("lang").isNotNull()
+        where & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")
     )
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    known = counts.collect()
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # the model's classes
     if not known:
         return None
+    spark = docs.sparkSession
     # Every language gives its share of the bound, on average.
     each = FIT_DOCUMENTS / len(known)
-    share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, each / r["n"]))])
+    shares = spark.createDataFrame([(r["lang"], min(1.0, each / r["n"])) for r in known], "known string, share double")
     drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.where((drawn < F.coalesce(share[F.col("lang")], F.lit(0.0))) & (F.octet_length("text") <= FIT_BYTES))
-    fitted = picked.orderBy(drawn, "doc_id", F.xxhash64("text")).limit(2 * FIT_DOCUMENTS).collect()
-    return fit([r["text"] for r in fitted], [r["lang"] for r in fitted])
+    order = F.struct(drawn.alias("drawn"), F.col("doc_id"), F.xxhash64("text").alias("digest"))
+    met = rows.join(F.broadcast(shares), F.col("lang") == F.col("known"))
+    picked = met.where(drawn < F.col("share")).orderBy(order).limit(2 * FIT_DOCUMENTS)
+    fitted = [tuple(r) for r in picked.select("lang", _window("text").alias("text")).collect()]
+    missing = [(r["lang"],) for r in known if r["lang"] not in {name for name, _ in fitted}]
+    if missing:
+        left = F.broadcast(spark.createDataFrame(missing, "known string"))
+        first = rows.join(left, F.col("lang") == F.col("known")).groupBy("lang").agg(F.min_by(_window("text"), order).alias("text"))
+        fitted += [tuple(r) for r in first.collect()]
+    return fit([t for _, t in fitted], [name for name, _ in fitted])
+
+
+def _window(text: str) -> Column:
+    """A text of at most `FIT_CHARACTERS`, or so many of a longer one from a drawn place; from the first letter if the place has none."""
+    over = F.length(text) - FIT_CHARACTERS
+    start = F.pmod(F.xxhash64(F.lit("window"), text), F.greatest(over, F.lit(0)) + 1).cast("int") + 1
+    window = F.substring(F.col(text), start, F.lit(FIT_CHARACTERS))
+    first = F.substring(F.regexp_replace(text, "^\\P{L}+", ""), 1, FIT_CHARACTERS)
+    return F.when(over <= 0, F.col(text)).when(window.rlike("\\p{L}"), window).otherwise(first)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

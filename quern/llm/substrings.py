@@ -23,9 +23,6 @@ KINDS_AT_ONCE = 256
 FRAGMENTS_AT_ONCE = 512
 #: Window starts of a text that are hashed at once.
 SEGMENT = 1 << 20
-#: Lists of repeated fragments are broadcast to the texts while they have fewer entries; otherwise texts and lists are joined.
-ENTRIES_TO_BROADCAST = 200_000
-
 _END = 255  # no byte of UTF-8, so it can stand for the end of a text
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _WRAP = (1 << 64) - 1
@@ -211,7 +208,7 @@ def _fragments(docs: DataFrame, text: str, length: int) -> DataFrame:
 def _with_lists(texts: DataFrame, entries: DataFrame, fields: list[str], how: str) -> DataFrame:
     """`texts` with `wanted`, the `fields` that `entries`, a stage table, has for its key, once each."""
     lists = entries.groupBy("key").agg(F.collect_set(F.struct(*fields)).alias("wanted"))
-    return texts.join(F.broadcast(lists) if entries.count() <= ENTRIES_TO_BROADCAST else lists, "key", how)
+    return texts.join(lists, "key", how)
 
 
 def _lists_of(column: pa.Array) -> Iterator[list[tuple]]:

@@ -465,6 +465,43 @@ def test_language_odd_rows(odd, none):
     assert langid.identify(none, model).collect() == []
 
 
+def test_every_language_is_a_class(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(600):
+        syllables = [bytes(rng.integers(97, 123, 3, dtype=np.uint8)).decode() for _ in range(6)]
+        for n in range(3):
+            rows.append((3 * k + n, " ".join(rng.choice(syllables, 40)), f"l{k}"))
+    rows += [(9000 + n, "1 " * 20_000 + "only long texts here \u00e9 " * 900, "long") for n in range(2)] + [(9990, "1 2 \u00bd", "numbers")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True))
+    assert set(model.languages) == {f"l{k}" for k in range(600)} | {"long"}
+    found = langid.identify(df, model).join(df.withColumnRenamed("doc_id", "i"), F.col("doc_id") == F.col("i")).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in found if r["lang"] != "numbers"]) > 0.95
+
+
+def test_numerals_are_no_letters():
+    model = langid.fit(["the cat", "le chat"], ["en", "fr"])
+    names, scores = model.predict(["\u00bd \u00b2 12 _", "\u00bd a", "\u2167", ""])
+    assert names[0] == names[3] == langid.UNDETERMINED and names[1] != langid.UNDETERMINED and scores[0] == 0
+
+
+def test_kernel_and_ridge_are_those_of_a_slow_solver():
+    """All texts as landmarks: the values are those of ridge regression in the span of the kernel's columns."""
+    rng = np.random.default_rng(12)
+    texts = sorted({" ".join(rng.choice(list(letters), 9)) for letters in ("abcd", "efgh") * 15}, key=langid._digest)
+    langs = ["x" if set(t) <= set("abcd ") else "y" for t in texts]
+    model = langid.fit(texts, langs)
+    grams = [set(np.concatenate(langid.grams_of(t.encode())).tolist()) for t in texts]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in grams] for a in grams])
+    weight = np.array([1 / langs.count(l) for l in langs])
+    weight /= weight.mean()
+    y = np.array([[1.0 if l == name else -1.0 for name in ("x", "y")] for l in langs])
+    # Minimise the weighted squares plus the ridge over functions sum_j a_j k(., x_j).
+    a = np.linalg.solve(kernel @ (weight[:, None] * kernel) + 1e-3 * len(texts) * kernel + 1e-12 * np.eye(len(texts)), kernel @ (weight[:, None] * y))
+    assert model.values([t.encode() for t in texts]) == pytest.approx(kernel @ a, abs=1e-2)
+
+
 # 8 toxicity
 
 

@@ -73,3 +73,40 @@ def test_everything_is_packed(kept):
 
 def test_run_gives_the_last_stage(spark, kept):
     assert pipeline.run(spark, SF).count() == kept[5].count()
+
+
+ODD = [
+    (3, "the cat sat on the mat and the dog ran off over the hill", "en", "b", 57),
+    (3, "the cat sat on the mat and the dog ran off over the hill", "en", "b", 57),
+    (5, "the cat sat on the mat and the dog ran off over the hill", "en", None, 57),
+    (1, None, None, None, None),
+    (2, "", "en", "a", 0),
+    (None, "\u00dcn\u00efc\u00f6d\u00e9 \U0001f600 words are here", "de", "b", 23),
+    (7, "word " * 9000, "en", "a", 45_000),
+    (8, "x" * 300_000, "en", "a", 300_000),
+    (9, "password=hunter22secret and " + "QUJD" * 30_000, "en", "c", 120_028),
+    (10, "a\tb\x0bc\x1cd\u00a0e", None, "a", 9),
+]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_odd_and_no_documents_pass_all_stages(spark, tmp_path, rows):
+    spark.createDataFrame(rows, COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(3, 1, 0), (7, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet")
+    )
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    found = [docs]
+    for _, apply in pipeline.STAGES:
+        docs = stage(apply(spark, docs, str(tmp_path)), "odd")
+        found.append(docs)
+    ids = [sorted((r["doc_id"] for r in df.collect()), key=repr) for df in found]
+    assert ids[1] == ids[0]  # nothing is labelled toxic
+    first = {r["component_id"] for r in simhash.near_duplicates(found[1]).collect()}
+    assert ids[2] == sorted(first, key=repr) and ids[3] == ids[2]
+    texts = {r["doc_id"]: r["text"] for r in found[3].collect()}
+    if rows:
+        assert texts[9].startswith("[SECRET] and ") and {1, 5, 7} & set(ids[2]) == {1, 7}
+    assert {r["doc_id"] for r in found[5].collect()} == set(ids[4])
+    assert pipeline.run(spark, str(tmp_path)).count() == found[5].count()

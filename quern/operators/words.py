@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.session import BROADCAST_BYTES
 from quern.sources.readers import as_word_list, word_frame
 
 Words = DataFrame | Iterable[str]
@@ -25,7 +26,7 @@ def explode_words(df: DataFrame, words: Column, *keep: str) -> DataFrame:
 def drop_stop_words(words: DataFrame, stops: Words, column: str = "word") -> DataFrame:
     """Rows whose word is not in the list, compared exactly and by case.
 
-    A list within the word-list limit is broadcast; a longer one is joined as Catalyst sees fit.
+    A list within the word-list limit is broadcast if its words are short enough; any other is joined as Catalyst sees fit.
     """
     stops = stops if isinstance(stops, DataFrame) else list(stops)
     found = as_word_list(stops)
@@ -34,7 +35,9 @@ def drop_stop_words(words: DataFrame, stops: Words, column: str = "word") -> Dat
     elif not found:
         return words
     else:
-        listed = F.broadcast(words.sparkSession.createDataFrame([(s,) for s in found], f"{column} string"))
+        listed = words.sparkSession.createDataFrame([(s,) for s in found], f"{column} string")
+        if sum(len(s.encode()) for s in found) <= BROADCAST_BYTES:
+            listed = F.broadcast(listed)
     return words.join(listed, column, "left_anti")
 
 

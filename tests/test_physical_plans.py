@@ -86,20 +86,39 @@ def test_scores_meet_a_broadcast_matrix_without_a_second_shuffle(totals):
     assert sum("Exchange hashpartitioning(user_id" in line for line in text.splitlines()) == 1
 
 
-def test_large_matrix_is_joined_by_item_and_piece(spark, totals, no_auto_broadcast):
+def test_large_matrix_is_joined_by_cell_and_item(spark, totals, no_auto_broadcast, monkeypatch):
     pairs = stage(R.item_pairs(totals), "p")
-    text = plan(R.unseen_scores(totals, totals, pairs, broadcast_bytes=0, rows_per_task=10))
-    assert "SortMergeJoin [item_id" in text and "piece" in text and "CartesianProduct" not in text
+    plans_of = {}
+    real = R.stage
 
+    def seen(df, label):
+        plans_of[label] = plan(df)
+        return real(df, label)
 
-def test_the_sum_of_joined_scores_has_as_many_tasks_as_the_join(spark, totals, no_auto_broadcast):
+    monkeypatch.setattr(R, "stage", seen)
+    R.unseen_scores(totals, totals, pairs, broadcast_bytes=0, rows_per_task=10)
+    text = plans_of["sums"]
+    assert "SortMergeJoin [user_block" in text and "CartesianProduct" not in text
+    above = text[: text.index("SortMergeJoin")]
+    assert "Exchange" not in above and "HashAggregate" in above
+
+
+
+def test_cells_have_as_many_tasks_as_their_products_ask_for(spark, totals, no_auto_broadcast, monkeypatch):
     pairs = R.pair_table(totals)
-    products = sum(r["n"] ** 2 for r in totals.groupBy("user_id").agg(F.count("*").alias("n")).collect())
-    text = plan(R.unseen_scores(totals, totals, pairs, broadcast_bytes=0, rows_per_task=10))
-    found = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#\d+, (\d+)\)", text)
-    tasks = {int(n) for _, _, n in found}
-    assert ("user_id", "item_b") in {(a, b) for a, b, _ in found}
-    assert len(tasks) == 1 and tasks.pop() >= products / 10 and text.count("Exchange hashpartitioning(user_id") == 1
+    products = sum(r["n"] * (r["n"] - 1) for r in totals.groupBy("user_id").agg(F.count("*").alias("n")).collect())
+    plans_of = {}
+    real = R.stage
+
+    def seen(df, label):
+        plans_of[label] = plan(df)
+        return real(df, label)
+
+    monkeypatch.setattr(R, "stage", seen)
+    R.unseen_scores(totals, totals, pairs, broadcast_bytes=0, rows_per_task=10)
+    found = re.findall(r"Exchange hashpartitioning\(user_block#\d+, target_block#\d+, (\d+)\)", plans_of["sums"])
+    assert len(found) == 2 and len(set(found)) == 1 and int(found[0]) >= products / 10
+
 
 
 def test_pairs_are_counted_in_as_many_tasks_as_their_products_ask_for(spark, totals, monkeypatch):

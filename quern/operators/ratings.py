@@ -131,20 +131,45 @@ def _multiply(
         # bounds every user's summed rows. Dealt by user, they need no second shuffle for the sum,
         # and small tasks keep its hash table in the processor's cache.
         rows = matrix.groupBy("item_id").agg(F.collect_list(F.struct("item_b", "cnt", "own")).alias("row"))
-        dealt = rated
-        if product_decimals is None:
-            tasks = tasks_for(spark, rated.count() * (widest or 0), PRODUCTS_PER_USER_TASK)
-            dealt = rated.repartition(tasks, "user_id")
-        joined = dealt.join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
-    else:
-        return grid_product(rated, matrix, widths, product_decimals, rows_per_task)
+        if product_decimals is not None:
+            return _rounded_sums(rated, rows, widest or 0, product_decimals, rows_per_task)
+        tasks = tasks_for(spark, rated.count() * (widest or 0), PRODUCTS_PER_USER_TASK)
+        joined = rated.repartition(tasks, "user_id").join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
+        return _sum_products(joined, ["user_id"], None)
+    return grid_product(rated, matrix, widths, product_decimals, rows_per_task)
+
+
+def _sum_products(joined: DataFrame, keys: list[str], product_decimals: int | None) -> DataFrame:
     return (
-        joined.groupBy("user_id", "item_b")
+        joined.groupBy(*keys, "item_b")
         .agg(F.sum(_contribution(product_decimals)).alias("score"), F.max("own").alias("own"))
         .withColumnRenamed("item_b", "item_id")
     )
 
 
+def _rounded_sums(rated: DataFrame, rows: DataFrame, widest: int, product_decimals: int, rows_per_task: int) -> DataFrame:
+    """The sums of rounded products, dealt by user too, so that ratings are shuffled and products never.
+
+    Different ratings of one item don't merge, so the matrix doesn't bound a user's rows: a user with more products than a
+    task should make is dealt further by item, and only such users' sums are summed again.
+    """
+    per_user = stage(rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("ratings")), "ratings-per-user")
+    total = per_user.agg(F.sum("ratings")).first()[0] or 0
+    sizes = large_groups(per_user, "user_id", F.ceil(F.col("ratings") * widest / rows_per_task))
+    dealt = with_pieces(rated, "user_id", sizes).withColumn("piece", piece_of("item_id"))
+    tasks = tasks_for(rated.sparkSession, total * widest, PRODUCTS_PER_USER_TASK)
+
+    def sums(some: DataFrame, *keys: str) -> DataFrame:
+        joined = some.repartition(tasks, *keys).join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
+        return _sum_products(joined, [*keys], product_decimals)
+
+    if sizes is None:
+        return sums(dealt, "user_id")
+    parts = sums(dealt.where("pieces > 1"), "user_id", "piece").groupBy("user_id", "item_id")
+    whole = parts.agg(F.sum("score").alias("score"), F.max("own").alias("own"))
+    return sums(dealt.where("pieces = 1"), "user_id").unionByName(whole)
+
+
 def grid_product(
     rated: DataFrame, matrix: DataFrame, widths: DataFrame, product_decimals: int | None, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:

@@ -86,6 +86,14 @@ def test_scores_meet_a_broadcast_matrix_without_a_second_shuffle(totals):
     assert sum("Exchange hashpartitioning(user_id" in line for line in text.splitlines()) == 1
 
 
+def test_rounded_scores_are_summed_without_a_shuffle_of_products(totals):
+    pairs = stage(R.item_pairs(totals), "p")
+    text = plan(R.unseen_scores(totals.withColumn("rating", F.col("rating") / 3), totals, pairs, 6))
+    assert "BroadcastHashJoin" in text
+    above = text[: text.index("BroadcastHashJoin")]
+    assert "Exchange" not in above and "HashAggregate" in above
+
+
 def test_large_matrix_is_joined_by_cell_and_item(spark, totals, no_auto_broadcast, monkeypatch):
     pairs = stage(R.item_pairs(totals), "p")
     plans_of = {}

@@ -1,5 +1,6 @@
 import threading
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -7,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from quern import plans
-from quern.operators import textml
+from quern.operators import textml, wordvec
 from quern.plans.analyses import clean_tokens
 
 STOPS = ["the", "A", "bye"]
@@ -156,3 +157,58 @@ def test_a_setting_that_fails_fails_the_sweep(spark):
     tokens_df = spark.createDataFrame([(["a", "b"],)] * 4, "kept array<string>")
     with pytest.raises(Exception):  # noqa: B017
         textml.sweep(tokens_df, [(2, 2, 1), (-1, 2, 1)], seed=2, tasks=1)
+
+
+def test_a_large_vocabulary_is_trained_as_tables(spark, monkeypatch):
+    """Beyond what the driver should hold, Spark's trainer isn't used: same words, same means, alike words near each other."""
+    monkeypatch.setattr(textml, "Word2Vec", None)
+    rng = np.random.default_rng(1)
+    rows = [([f"{'ab'[i % 2]}{j}" for j in rng.integers(0, 6, 12)] + ["all", ""] + [f"rare{i}"] * (i % 3 == 0),) for i in range(600)]
+    df = spark.createDataFrame([*rows, ([],)], "kept array<string>")
+    for tasks in (1, 3):
+        model = textml.word_vectors(df, seed=1, vector_size=3, min_count=2, tasks=tasks, most_words=5)
+        words = {r["word"]: r["vector"].toArray() for r in model.getVectors().collect()}
+        assert set(words) == {f"{c}{j}" for c in "ab" for j in range(6)} | {"all", ""}
+        found = model.transform(df).collect()
+        assert len(found) == len(rows) + 1
+        for r in found:
+            mean = sum((words.get(w, np.zeros(3)) for w in r["kept"]), np.zeros(3)) / max(len(r["kept"]), 1)
+            np.testing.assert_allclose(r["vector"].toArray(), mean, atol=1e-6)
+
+
+def test_a_large_vocabulary_in_one_piece_is_repeatable(spark):
+    df = spark.createDataFrame([([f"w{(i * j) % 23}" for j in range(12)],) for i in range(400)], "kept array<string>")
+    one, two = (
+        sorted((r["word"], tuple(r["vector"])) for r in textml.word_vectors(d, 3, 3, 1, most_words=0).getVectors().collect())
+        for d in (df, df.repartition(7))
+    )
+    assert one == two and len(one) == 23
+
+
+def test_code_lengths_are_optimal():
+    for counts in ([1], [1, 1], [1, 1, 1, 1, 1, 2], [1, 1, 2, 3, 5, 8, 13], [7] * 11, [1, 2, 2, 9, 9, 40]):
+        lengths = wordvec.huffman_lengths(Counter(counts))
+        each = sorted(n for n, many in lengths.items() for _ in range(many))
+        assert len(each) == len(counts)
+        assert sum(c * n for c, n in zip(sorted(counts, reverse=True), each, strict=True)) == _inner_weights(counts)
+
+
+def _inner_weights(counts):
+    """The weighted lengths of an optimal code add up to the weights of its inner nodes."""
+    left, total = sorted(counts), 0
+    while len(left) > 1:
+        both = left[0] + left[1]
+        total, left = total + both, sorted([both, *left[2:]])
+    return total
+
+
+def test_training_brings_words_that_occur_together_closer():
+    rng = np.random.default_rng(0)
+    text = np.repeat(np.arange(2000), 10)
+    tokens = rng.integers(0, 8, len(text)) + 8 * (text % 2)
+    lengths, codes = np.full(16, 4), np.arange(16)
+    start = ((rng.random((16, 6)) - 0.5) / 6).astype(np.float32)
+    found = wordvec.skip_grams(np.tile(tokens, 10), np.repeat(np.arange(20000), 10), start, codes, lengths, 1)
+    unit = found / np.linalg.norm(found, axis=1)[:, None]
+    near = unit @ unit.T
+    assert near[:8, :8].mean() > near[:8, 8:].mean() + 0.5

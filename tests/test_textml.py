@@ -8,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from quern import plans
-from quern.operators import textml, wordvec
+from quern.operators import blocks, textml, wordvec
 from quern.plans.analyses import clean_tokens
 
 STOPS = ["the", "A", "bye"]
@@ -39,6 +39,23 @@ def test_long_stop_list_is_joined_with_the_same_result(spark, texts):
     assert sorted(tokens(textml.remove_stop_words(tokenized, frame, limit=1))) == expected
 
 
+def test_long_stop_lists_meet_tokens_once_for_each_block(spark, texts):
+    """Tokens are not shuffled one by one: only different ones of a block are, and whole texts."""
+    tokenized = textml.tokenize(texts("The cat the CAT bye", "bye"), "value")
+    kept = textml.remove_stop_words(tokenized, STOPS, limit=1)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+    assert plan.index("Aggregate") < plan.index("Generate explode")
+
+
+def test_blocks_are_bounded_and_whole(spark):
+    df = spark.createDataFrame([([str(j) for j in range(i % 9)],) for i in range(300)] + [(["x"] * 50,), (None,)], "kept array<string>")
+    found = blocks.in_blocks(df.coalesce(2), "kept", tokens=20)
+    sizes = found.groupBy("_block").agg(F.sum(F.coalesce(F.size("kept"), F.lit(0)) + 1), F.count("*"), F.max(F.coalesce(F.size("kept"), F.lit(0)))).collect()
+    assert sum(r[2] for r in sizes) == 302
+    assert all(r[1] < 20 + 1 + r[3] for r in sizes) and len(sizes) > 20
+
+
 def test_document_vector_is_the_mean_of_word_vectors(spark):
     df = spark.createDataFrame([(["a", "b", "a"],), (["a", "b"],), (["rare"],), ([],)], "kept array<string>")
     model = textml.word_vectors(df, seed=1, vector_size=3, min_count=2, tasks=1)

@@ -164,3 +164,16 @@ def test_products_are_not_shuffled(spark):
     assert plan.count("Exchange") == 2
     assert plan.index("SortMergeJoin") < plan.index("Exchange")
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_filled_matrix_gives_the_same_scores_as_rows_of_products(spark, monkeypatch):
+    """Nulls, infinities and users without an id included; a well filled matrix is multiplied in batches of users."""
+    rng = [(f"u{i % 9}" if i % 9 else None, f"i{(i * i) % 11}", [1.5, 0.1, None, float("inf"), 3.0][i % 5]) for i in range(150)]
+    totals = stage(R.rating_totals(frame(spark, rng)), "t")
+    pairs = R.pair_table(totals)
+    show = lambda df: sorted((str(r[0]), r[1], None if r[2] is None else f"{r[2]:.9g}") for r in df.collect())
+    dense = [R.raw_scores(totals, totals, pairs), R.unseen_scores(totals, totals, pairs)]
+    assert all("MapInArrow" in df._jdf.queryExecution().executedPlan().toString() for df in dense)
+    monkeypatch.setattr(R, "is_filled", lambda entries, items: False)
+    plain = [R.raw_scores(totals, totals, pairs), R.unseen_scores(totals, totals, pairs)]
+    assert [show(df) for df in dense] == [show(df) for df in plain] and len(show(dense[0])) > 50

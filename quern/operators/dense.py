@@ -1,4 +1,4 @@
-"""Products of ratings with a small, well filled co-occurrence matrix, a batch of users at a time."""
+"""Products of ratings with a well filled co-occurrence matrix, a batch of users at a time."""
 
 from __future__ import annotations
 
@@ -8,14 +8,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.session import let_workers_import
+from quern.session import broadcast_if_small, let_workers_import, stage, tasks_for
 
 #: Cells of users and items that are summed at a time.
 CELLS_AT_ONCE = 1_000_000
+#: Cells of the matrix that a task holds when targets are dealt into blocks.
+MATRIX_AT_ONCE = 4_000_000
+#: What a row of a cell is; rows of a cell are sorted by it.
+NAME, ENTRY, RATING = 0, 1, 2
 #: A matrix is well filled if at least one in so many of its cells has an entry.
 FILLED = 8
 
@@ -45,24 +49,102 @@ def dense_sums(rated: DataFrame, matrix: DataFrame, tasks: int) -> DataFrame:
     ])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shown = pa.array(names, pa.string())
-        for rows, user_no in _whole_users(batches):
-            item, rating = rows.column(1).to_numpy().astype(np.int64), rows.column(2)
-            known = pc.is_valid(rating).to_numpy(zero_copy_only=False)
-            value = pc.fill_null(rating, 0.0).to_numpy(zero_copy_only=False)
-            for part in _slices(user_no, len(names)):
-                cells, score, marks, valid = _sums(user_no[part], item[part], value[part], known[part], counts, there, own)
-                first = part.start + np.flatnonzero(np.diff(user_no[part], prepend=-1))
-                users = rows.column(0).take(pa.array(first[cells // len(names)]))
-                scores = pa.array(score, mask=~valid)
-                yield pa.RecordBatch.from_arrays(
-                    [users, shown.take(pa.array(cells % len(names))), scores, pa.array(marks)], schema.names
-                )
+        yield from _summed_users(batches, pa.array(names, pa.string()), counts, there, own, schema.names)
 
     let_workers_import(rated.sparkSession)
     return numbered.select("user_id", "_item", "rating").sortWithinPartitions("user_id").mapInArrow(summed, schema)
 
 
+def dense_grid(rated: DataFrame, matrix: DataFrame, items: DataFrame, blocks: tuple[int, int]) -> DataFrame:
+    """`user_id, item_id, score, own` as by `dense_sums`, for a matrix of any size that is dealt into `blocks` of users and targets.
+
+    `items` is `target_blocks` of all of the matrix's items. Every pair of a user and a target block is a cell: it gets the matrix
+    columns of its targets and the ratings of its users, sorted by user. So a task holds the columns of one block, and ratings
+    and entries of the matrix are shuffled, products never. Rows are flat, as Spark measures a batch anew for every row it adds.
+    """
+    user_blocks, blocks_of_targets = blocks
+    height = blocks_of_targets * (items.agg(F.max("at")).first()[0] + 1)
+    width = height // blocks_of_targets
+    known = items.select("item_id", (F.col("target_block") * width + F.col("at")).alias("item"))
+    targets = items.withColumnRenamed("item_id", "item_b")
+
+    kind = lambda number: F.lit(number).alias("kind")
+    cell = (F.col("user_block").cast("long") * blocks_of_targets + F.col("target_block")).alias("cell")
+    every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
+    names = items.withColumn("user_block", every_user_block)
+    entries = matrix.join(broadcast_if_small(known), "item_id").join(broadcast_if_small(targets), "item_b")
+    entries = entries.withColumn("user_block", every_user_block)
+    dealt = (
+        rated.join(broadcast_if_small(known), "item_id")
+        .withColumn("user_block", F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int"))
+        .withColumn("target_block", F.explode(F.sequence(F.lit(0), F.lit(blocks_of_targets - 1))))
+    )
+    value = F.col("cnt").cast("double").alias("value")
+    cells = (
+        dealt.select(cell, kind(RATING), "user_id", "item", F.col("rating").alias("value"))
+        .unionByName(entries.select(cell, kind(ENTRY), "item", "at", value, F.col("own").cast("int").alias("own")), True)
+        .unionByName(names.select(cell, kind(NAME), "at", F.col("item_id").alias("name")), True)
+    )
+    schema = T.StructType([
+        rated.schema["user_id"], T.StructField("item_id", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("own", T.IntegerType()),
+    ])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, of_cell in itertools.groupby(_runs(batches), lambda run: run[0]):
+            shown, counts = pa.array([], pa.string()), np.zeros((height, width))
+            there, own = np.zeros(counts.shape, dtype=np.float32), np.zeros(counts.shape, dtype=np.float32)
+            for kind, runs in itertools.groupby(of_cell, lambda run: run[1]):
+                parts = (rows for _, _, rows in runs)
+                if kind == NAME:
+                    found = pa.Table.from_batches(parts).combine_chunks()
+                    shown = found["name"].chunk(0).take(pc.sort_indices(found["at"]))
+                elif kind == ENTRY:
+                    for rows in parts:
+                        place = rows["item"].to_numpy(), rows["at"].to_numpy()
+                        counts[place], there[place], own[place] = rows["value"].to_numpy(), 1, rows["own"].to_numpy()
+                else:
+                    ratings = (rows.select(["user_id", "item", "value"]) for rows in parts)
+                    yield from _summed_users(ratings, shown, counts, there, own, schema.names)
+
+    let_workers_import(rated.sparkSession)
+    tasks = tasks_for(rated.sparkSession, user_blocks * blocks_of_targets, 1)
+    dealt_cells = cells.repartitionById(tasks, F.pmod("cell", F.lit(tasks)).cast("int"))
+    return dealt_cells.sortWithinPartitions("cell", "kind", "user_id").mapInArrow(summed, schema)
+
+
+def target_blocks(items: DataFrame, blocks: int) -> DataFrame:
+    """`item_id, target_block, at`: a block for every item, and its place there, as a stage table."""
+    dealt = items.select("item_id", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("target_block"))
+    place = F.row_number().over(Window.partitionBy("target_block").orderBy("item_id")) - 1
+    return stage(dealt.withColumn("at", place), "targets")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """Batches cut where cell or kind changes, with both."""
+    for batch in batches:
+        cell, kind = batch.column("cell").to_numpy(), batch.column("kind").to_numpy()
+        edges = 1 + np.flatnonzero((np.diff(cell) != 0) | (np.diff(kind) != 0))
+        for start, end in itertools.pairwise([0, *edges.tolist(), len(cell)]):
+            if end > start:
+                yield int(cell[start]), int(kind[start]), batch.slice(start, end - start)
+
+
+def _summed_users(batches, shown, counts, there, own, columns) -> Iterator[pa.RecordBatch]:
+    """The sums of users whose ratings are sorted by user; `shown` has the items of the matrix's columns."""
+    width = counts.shape[1]
+    for rows, user_no in _whole_users(batches):
+        item, rating = rows.column(1).to_numpy().astype(np.int64), rows.column(2)
+        known = pc.is_valid(rating).to_numpy(zero_copy_only=False)
+        value = pc.fill_null(rating, 0.0).to_numpy(zero_copy_only=False)
+        for part in _slices(user_no, max(counts.shape)):
+            cells, score, marks, valid = _sums(user_no[part], item[part], value[part], known[part], counts, there, own)
+            first = part.start + np.flatnonzero(np.diff(user_no[part], prepend=-1))
+            users = rows.column(0).take(pa.array(first[cells // width]))
+            scores = pa.array(score, mask=~valid)
+            yield pa.RecordBatch.from_arrays([users, shown.take(pa.array(cells % width)), scores, pa.array(marks)], columns)
+
+
 def _whole_users(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Sorted rows with a number for each user, cut between users; the last user's rows wait for the next batch."""
     held: pa.RecordBatch | None = None
@@ -90,13 +172,17 @@ def _slices(user_no: np.ndarray, width: int) -> Iterator[slice]:
 
 
 def _sums(user_no, item, value, known, counts, there, own):
-    """`cells, score, own, valid` of the cells (user times items) that a user's ratings reach; no known rating gives null."""
-    user, width = user_no - user_no[0], len(counts)
-    users, at = int(user[-1]) + 1, user * width + item
-    rated = np.zeros((users, width), dtype=np.float32)
+    """`cells, score, own, valid` of the cells (user times target) that a user's ratings reach; no known rating gives null."""
+    rated_items = np.flatnonzero(np.bincount(item, minlength=len(counts)))
+    if len(rated_items) < len(counts):  # other rows of the matrix have no part in it
+        item = np.searchsorted(rated_items, item)
+        counts, there, own = counts[rated_items], there[rated_items], own[rated_items]
+    user, height = user_no - user_no[0], len(counts)
+    users, at = int(user[-1]) + 1, user * height + item
+    rated = np.zeros((users, height), dtype=np.float32)
     rated[user, item] = 1
     odd = ~np.isfinite(value)
-    sums = np.bincount(at, np.where(odd, 0, value), users * width).reshape(users, width) @ counts
+    sums = np.bincount(at, np.where(odd, 0, value), users * height).reshape(users, height) @ counts
     for i in np.flatnonzero(odd):  # infinity and NaN reach the cells that have an entry only
         row = there[item[i]] > 0
         with np.errstate(invalid="ignore"):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from quern.functions import text as tx
-from quern.operators.dense import dense_sums, is_filled
+from quern.operators.dense import MATRIX_AT_ONCE, dense_grid, dense_sums, is_filled, target_blocks
 from quern.operators.grouping import large_groups, piece_of, replicate, with_pieces
 from quern.operators.pages import pages
 from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, planned_with, row_bytes, shuffle_tasks, stage, tasks_for
@@ -21,6 +21,8 @@ from quern.session import BROADCAST_BYTES, ROWS_PER_TASK, planned_with, row_byte
 ITEMS_PER_PIECE = 4096
 #: Products per task when all of a user's products meet in one task.
 PRODUCTS_PER_USER_TASK = 1_000_000
+#: Up to so many products stay rows in a grid with a filled matrix too, as for these no Python workers need to start.
+FEW_PRODUCTS = 1_000_000
 #: Cells of the score grid for each task, so that tasks come out alike.
 CELLS_PER_TASK = 4
 #: Rows that are dealt by cell meet on the cell and the item without being dealt again by both.
@@ -127,6 +129,8 @@ def _multiply(
         F.count(F.lit(1)).alias("width"), F.sum(row_bytes(matrix)).alias("size")
     )
     widest, size, entries, items = widths.agg(F.max("width"), F.sum("size"), F.sum("width"), F.count(F.lit(1))).first()
+    filled = product_decimals is None and bool(entries) and is_filled(entries, items)
+    filled = filled and isinstance(rated.schema["rating"].dataType, DoubleType)
 
     if (size or 0) <= broadcast_bytes:
         # A user with n items puts n(n-1) entries into the matrix, so a matrix of this size also
@@ -136,14 +140,34 @@ def _multiply(
         if product_decimals is not None:
             return _rounded_sums(rated, rows, widest or 0, product_decimals, rows_per_task)
         products = rated.count() * (widest or 0)
-        if entries and is_filled(entries, items) and isinstance(rated.schema["rating"].dataType, DoubleType):
+        if filled:
             return dense_sums(rated, matrix, tasks_for(spark, products))
         tasks = tasks_for(spark, products, PRODUCTS_PER_USER_TASK)
         joined = rated.repartition(tasks, "user_id").join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
         return _sum_products(joined, ["user_id"], None)
+    if filled and rated.count() * widest > FEW_PRODUCTS:
+        return filled_grid(rated, matrix, widths.select("item_id"), entries, rows_per_task)
     return grid_product(rated, matrix, widths, product_decimals, rows_per_task)
 
 
+def filled_grid(
+    rated: DataFrame, matrix: DataFrame, items: DataFrame, entries: int, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """The summed products for a well filled matrix of any size: cells as in `grid_product`, but products are not made as rows.
+
+    The numbers of blocks come from the measured sizes: a block's columns of the matrix fit a task, and a cell has about
+    `rows_per_task` sums. A user has at most one rating for each of the matrix's items, so no user has to be dealt further.
+    """
+    targets = items.count()
+    ratings, users = rated.agg(F.count(F.lit(1)), F.approx_count_distinct("user_id")).first()
+    cells = tasks_for(rated.sparkSession, users * targets, rows_per_task)
+    user_blocks, blocks = grid(cells, ratings or 1, entries, targets)
+    if blocks * MATRIX_AT_ONCE < targets * targets:
+        blocks = -(-targets * targets // MATRIX_AT_ONCE)
+        user_blocks = -(-cells // blocks)
+    return dense_grid(rated, matrix, target_blocks(items, blocks), (user_blocks, blocks))
+
+
 def _sum_products(joined: DataFrame, keys: list[str], product_decimals: int | None) -> DataFrame:
     return (
         joined.groupBy(*keys, "item_b")

@@ -177,3 +177,40 @@ def test_filled_matrix_gives_the_same_scores_as_rows_of_products(spark, monkeypa
     monkeypatch.setattr(R, "is_filled", lambda entries, items: False)
     plain = [R.raw_scores(totals, totals, pairs), R.unseen_scores(totals, totals, pairs)]
     assert [show(df) for df in dense] == [show(df) for df in plain] and len(show(dense[0])) > 50
+
+
+@pytest.mark.parametrize("matrix_at_once", [4_000_000, 30])
+def test_filled_grid_gives_the_same_scores_as_rows_of_products(spark, monkeypatch, matrix_at_once):
+    """A filled matrix that isn't broadcast: users and targets in several blocks, batches cut anywhere, several cells in a task."""
+    from quern.session import planned_with
+
+    some = [(f"u{i % 9}" if i % 9 else None, f"i{(i * i) % 11}", [1.5, 0.1, None, float("inf"), 3.0][i % 5]) for i in range(150)]
+    some += [("u1", None, 1.0), ("alone", "solo", 1.0), ("nan", "i4", float("nan")), ("null", "i4", None)]
+    totals = stage(R.rating_totals(frame(spark, some)), "t")
+    pairs = R.pair_table(totals)
+    show = lambda df: sorted((str(r[0]), r[1], None if r[2] is None else f"{r[2]:.9g}") for r in df.collect())
+    monkeypatch.setattr(R, "MATRIX_AT_ONCE", matrix_at_once)
+    monkeypatch.setattr(R, "FEW_PRODUCTS", 0)
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": "7", "spark.quern.most.tasks": "5"}
+    with planned_with(spark, settings):
+        filled = [f(totals, totals, pairs, broadcast_bytes=0, rows_per_task=3) for f in (R.raw_scores, R.unseen_scores)]
+        plans_of = [df._jdf.queryExecution().executedPlan().toString() for df in filled]
+        found = [show(df) for df in filled]
+    assert all("MapInArrow" in plan and "ShuffledHashJoin" not in plan for plan in plans_of)
+    monkeypatch.setattr(R, "is_filled", lambda entries, items: False)
+    plain = [f(totals, totals, pairs, broadcast_bytes=0) for f in (R.raw_scores, R.unseen_scores)]
+    assert found == [show(df) for df in plain] and len(found[0]) > 50
+
+
+def test_filled_grid_places_every_item_in_a_block(spark, monkeypatch):
+    """Blocks of the matrix are as many as a task's share asks for."""
+    seen = []
+    monkeypatch.setattr(R, "dense_grid", lambda rated, matrix, items, blocks: seen.append((items.collect(), blocks)) or rated)
+    monkeypatch.setattr(R, "MATRIX_AT_ONCE", 30)
+    totals = stage(R.rating_totals(frame(spark, skewed())), "t")
+    matrix = R.mirror_pairs(R.pair_table(totals)).withColumnRenamed("item_a", "item_id")
+    R.filled_grid(totals, matrix, matrix.select("item_id").distinct(), matrix.count(), 50)
+    items, (users, blocks) = seen[0]
+    assert blocks * 30 >= len(items) ** 2 and users >= 1
+    assert len({(r["target_block"], r["at"]) for r in items}) == len(items) == 9
+    assert {r["target_block"] for r in items} <= set(range(blocks))

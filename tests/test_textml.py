@@ -229,3 +229,66 @@ def test_training_brings_words_that_occur_together_closer():
     unit = found / np.linalg.norm(found, axis=1)[:, None]
     near = unit @ unit.T
     assert near[:8, :8].mean() > near[:8, 8:].mean() + 0.5
+
+
+def test_a_sweep_counts_and_codes_its_texts_once(spark, monkeypatch):
+    """Also with a large vocabulary; what is made for each size and least count is the vectors."""
+    made = []
+    for module in (textml, wordvec):
+        monkeypatch.setattr(module, "stage", lambda df, label, real=module.stage: made.append(label) or real(df, label))
+    monkeypatch.setattr(textml, "MOST_TOKENS", 0)
+    df = spark.createDataFrame([([f"a{i % 7}", f"b{i % 3}", "c"],) for i in range(90)], "kept array<string>")
+    found = textml.sweep(df, [(2, 2, 1), (3, 2, 1), (2, 3, 1)], seed=2, tasks=2).collect()
+    assert {tuple(r[:3]) for r in found} == {(2, 2, 1), (3, 2, 1), (2, 3, 1)}
+    assert Counter(made) == {"word-counts": 1, "ordered-words": 1, "pieces": 1, "coded": 1, "word-vectors": 2, "vectors": 2}
+
+
+def test_coded_texts_come_back_whole(spark, monkeypatch):
+    monkeypatch.setattr(textml, "MOST_TOKENS", 0)
+    rows = [*([f"w{i % 5}", "x", "x", f"once{i}"] for i in range(40)), None, [], [None, "x"], [""], ["x"] * 50]
+    df = spark.createDataFrame([(r,) for r in rows], "kept array<string>")
+    model = textml.word_vectors(df, seed=1, vector_size=2, min_count=2, tasks=3)
+    words = {r["word"]: r["vector"].toArray() for r in model.getVectors().collect()}
+    assert set(words) == {*(f"w{i}" for i in range(5)), "x"}
+    found = model.transform(df).collect()
+    assert sorted(map(repr, (r["kept"] for r in found))) == sorted(map(repr, rows))
+    for r in found:
+        each = [words.get(w, np.zeros(2)) for w in r["kept"] or []]
+        np.testing.assert_allclose(r["vector"].toArray(), np.mean(each, axis=0) if each else np.zeros(2), atol=1e-6)
+    alone = sorted(tuple(r["vector"]) for r in model.means().collect())
+    np.testing.assert_allclose(alone, sorted(tuple(r["vector"]) for r in found))
+
+
+def test_steps_are_those_of_the_pairs_one_by_one():
+    """A reach of one to five tokens inside a text; sums at the same vectors, damped by their curvature."""
+    rng = np.random.default_rng(3)
+    tokens, text, seed = rng.integers(0, 5, 60), np.repeat(np.arange(12), 5), 4
+    codes, lengths = np.array([0, 2, 6, 14, 15]), np.array([1, 2, 3, 4, 4])
+    start = rng.normal(size=(5, 3)).astype(np.float32)
+    reach = np.random.default_rng(seed).integers(1, 6, len(tokens))
+    inner, outer = start.astype(float), {}
+    for begin in range(0, 60, 20):
+        rate = wordvec.RATE * (1 - begin / 60)
+        steps, bounds = {}, Counter()
+        for i in range(begin, begin + 20):
+            for j in range(60):
+                if i == j or text[i] != text[j] or abs(i - j) > reach[i]:
+                    continue
+                for depth in range(lengths[tokens[i]]):
+                    below = lengths[tokens[i]] - depth
+                    node = ("node", depth, codes[tokens[i]] >> below)
+                    at = outer.setdefault(node, np.zeros(3))
+                    vector = inner[tokens[j]]
+                    error = 1 - ((codes[tokens[i]] >> (below - 1)) & 1) - 1 / (1 + np.exp(-at @ vector))
+                    for key, step, bound in ((tokens[j], error * at, at @ at), (node, error * vector, vector @ vector)):
+                        steps[key] = steps.get(key, 0) + step
+                        bounds[key] += bound
+        for key, step in steps.items():
+            table = outer if isinstance(key, tuple) else inner
+            table[key] = table[key] + rate * step / (1 + rate / 4 * bounds[key])
+    before, wordvec.TOKENS_AT_ONCE = wordvec.TOKENS_AT_ONCE, 20
+    try:
+        found = wordvec.skip_grams(tokens, text, start, codes, lengths, seed)
+    finally:
+        wordvec.TOKENS_AT_ONCE = before
+    np.testing.assert_allclose(found, inner, atol=1e-5)

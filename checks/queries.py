@@ -431,10 +431,10 @@ def silhouette_sweep_facts(spark, sf):
     those of the same fit made alone."""
     tokens = stage(_clean(spark, sf).select("kept"), "tokens")
     grid = [(3, 3, 2), (5, 3, 2), (4, 2, 1)]
-    made = {}
+    corpus, made = textml.Corpus(tokens), {}
     for _, size, count in grid:
-        model = textml.word_vectors(tokens, SEED, size, count, TASKS)
-        made[size, count] = stage(model.transform(tokens).select("vector"), "vectors")
+        model = textml.word_vectors(corpus, SEED, size, count, TASKS)
+        made[size, count] = stage(textml.text_vectors(model, corpus), "vectors")
     found = textml.score_settings(made, grid, SEED).collect()
     in_order = found == sorted(found, key=lambda r: (-r["silhouette"], r["k"]))
     rows = []

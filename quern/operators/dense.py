@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ CELLS_AT_ONCE = 1_000_000
 MATRIX_AT_ONCE = 4_000_000
 #: What a row of a cell is; rows of a cell are sorted by it.
 NAME, ENTRY, RATING = 0, 1, 2
+#: Enough digits for any double.
+EXACT = Context(prec=700)
 #: A matrix is well filled if at least one in so many of its cells has an entry.
 FILLED = 8
 
@@ -28,11 +31,13 @@ def is_filled(entries: int, items: int) -> bool:
     return entries * FILLED >= items * items
 
 
-def dense_sums(rated: DataFrame, matrix: DataFrame, tasks: int) -> DataFrame:
+def dense_sums(rated: DataFrame, matrix: DataFrame, tasks: int, decimals: int | None = None) -> DataFrame:
     """`user_id, item_id, score, own`: the sum of a user's products for every item that one of them reaches.
 
     `rated` has `user_id, item_id, rating double`, `matrix` has `item_id, item_b, cnt, own` and is of broadcast size.
     Ratings are dealt and sorted by user, so a user's sums are a row of one matrix product and products never are rows.
+    With `decimals`, products are rounded before they are summed, and `rated` has a row for each different rating of an item
+    and its number of `times`; a task then holds all of a user's rows.
     """
     entries = matrix.select("item_id", "item_b", "cnt", "own").collect()  # measured before, as for a broadcast
     names = sorted({r[0] for r in entries} | {r[1] for r in entries})
@@ -49,10 +54,11 @@ def dense_sums(rated: DataFrame, matrix: DataFrame, tasks: int) -> DataFrame:
     ])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _summed_users(batches, pa.array(names, pa.string()), counts, there, own, schema.names)
+        yield from _summed_users(batches, pa.array(names, pa.string()), counts, there, own, schema.names, decimals)
 
     let_workers_import(rated.sparkSession)
-    return numbered.select("user_id", "_item", "rating").sortWithinPartitions("user_id").mapInArrow(summed, schema)
+    columns = ["user_id", "_item", "rating", *([] if decimals is None else ["times"])]
+    return numbered.select(*columns).sortWithinPartitions("user_id").mapInArrow(summed, schema)
 
 
 def dense_grid(rated: DataFrame, matrix: DataFrame, items: DataFrame, blocks: tuple[int, int]) -> DataFrame:
@@ -130,15 +136,17 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Reco
                 yield int(cell[start]), int(kind[start]), batch.slice(start, end - start)
 
 
-def _summed_users(batches, shown, counts, there, own, columns) -> Iterator[pa.RecordBatch]:
+def _summed_users(batches, shown, counts, there, own, columns, decimals=None) -> Iterator[pa.RecordBatch]:
     """The sums of users whose ratings are sorted by user; `shown` has the items of the matrix's columns."""
     width = counts.shape[1]
     for rows, user_no in _whole_users(batches):
         item, rating = rows.column(1).to_numpy().astype(np.int64), rows.column(2)
         known = pc.is_valid(rating).to_numpy(zero_copy_only=False)
         value = pc.fill_null(rating, 0.0).to_numpy(zero_copy_only=False)
+        times = None if decimals is None else rows.column(3).to_numpy()
         for part in _slices(user_no, max(counts.shape)):
-            cells, score, marks, valid = _sums(user_no[part], item[part], value[part], known[part], counts, there, own)
+            rounded = None if decimals is None else (times[part], decimals)
+            cells, score, marks, valid = _sums(user_no[part], item[part], value[part], known[part], counts, there, own, rounded)
             first = part.start + np.flatnonzero(np.diff(user_no[part], prepend=-1))
             users = rows.column(0).take(pa.array(first[cells // width]))
             scores = pa.array(score, mask=~valid)
@@ -171,7 +179,7 @@ def _slices(user_no: np.ndarray, width: int) -> Iterator[slice]:
         yield slice(start, end)
 
 
-def _sums(user_no, item, value, known, counts, there, own):
+def _sums(user_no, item, value, known, counts, there, own, rounded=None):
     """`cells, score, own, valid` of the cells (user times target) that a user's ratings reach; no known rating gives null."""
     rated_items = np.flatnonzero(np.bincount(item, minlength=len(counts)))
     if len(rated_items) < len(counts):  # other rows of the matrix have no part in it
@@ -182,7 +190,11 @@ def _sums(user_no, item, value, known, counts, there, own):
     rated = np.zeros((users, height), dtype=np.float32)
     rated[user, item] = 1
     odd = ~np.isfinite(value)
-    sums = np.bincount(at, np.where(odd, 0, value), users * height).reshape(users, height) @ counts
+    finite = np.where(odd, 0, value)
+    if rounded is None:
+        sums = np.bincount(at, finite, users * height).reshape(users, height) @ counts
+    else:
+        sums = _rounded_sums(user, item, finite, *rounded, counts)
     for i in np.flatnonzero(odd):  # infinity and NaN reach the cells that have an entry only
         row = there[item[i]] > 0
         with np.errstate(invalid="ignore"):
@@ -194,3 +206,40 @@ def _sums(user_no, item, value, known, counts, there, own):
     rated[:] = 0
     rated[user[known], item[known]] = 1
     return cells, sums.ravel()[cells], marks, (rated @ there).ravel()[cells] > 0
+
+
+def _rounded_sums(user, item, value, times, decimals, counts):
+    """For each user the sum of rounded products, some rows at a time; `user` is sorted and numbered from 0.
+
+    A product of the same item and rating is rounded once if that is worth while.
+    """
+    sums = np.zeros((int(user[-1]) + 1, counts.shape[1]))
+    at_once = max(1, CELLS_AT_ONCE // counts.shape[1])
+    pairs, at = np.unique(np.stack([item, value], axis=1), axis=0, return_inverse=True)
+    table = None
+    if 4 * len(pairs) <= len(user) and len(pairs) <= 4 * at_once:
+        table = round_half_up(counts[pairs[:, 0].astype(np.int64)] * pairs[:, 1:], decimals)
+    for start in range(0, len(user), at_once):
+        some = slice(start, start + at_once)
+        products = round_half_up(counts[item[some]] * value[some, None], decimals) if table is None else table[at[some]]
+        if (times[some] != 1).any():
+            products = products * times[some, None]
+        first = np.flatnonzero(np.diff(user[some], prepend=-1))
+        sums[user[some][first]] += np.add.reduceat(products, first, axis=0)
+    return sums
+
+
+def round_half_up(values: np.ndarray, decimals: int) -> np.ndarray:
+    """Values rounded as Spark's `round` does: halves away from zero, by the shortest decimal number that is the value."""
+    scaled = np.abs(values) * 10.0**decimals
+    whole = np.floor(scaled)
+    part = scaled - whole
+    found = np.copysign((whole + (part >= 0.5)) / 10.0**decimals, values)
+    # The scaled value is not exact: near a half, and where no digits are left for a fraction, the number itself decides.
+    unsure = (np.abs(part - 0.5) <= 4e-16 * scaled) | (scaled > 1e15)
+    if decimals and unsure.any():
+        different, place = np.unique(values[unsure], return_inverse=True)
+        digit = Decimal(1).scaleb(-decimals)
+        exact = [float(Decimal(repr(v)).quantize(digit, ROUND_HALF_UP, EXACT)) for v in different.tolist()]
+        found[unsure] = np.array(exact)[place]
+    return found

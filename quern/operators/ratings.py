@@ -23,6 +23,8 @@ ITEMS_PER_PIECE = 4096
 PRODUCTS_PER_USER_TASK = 1_000_000
 #: Up to so many products stay rows in a grid with a filled matrix too, as for these no Python workers need to start.
 FEW_PRODUCTS = 1_000_000
+#: Most decimals to which products of a filled matrix are rounded outside Spark.
+MOST_DECIMALS = 15
 #: Cells of the score grid for each task, so that tasks come out alike.
 CELLS_PER_TASK = 4
 #: Rows that are dealt by cell meet on the cell and the item without being dealt again by both.
@@ -129,8 +131,7 @@ def _multiply(
         F.count(F.lit(1)).alias("width"), F.sum(row_bytes(matrix)).alias("size")
     )
     widest, size, entries, items = widths.agg(F.max("width"), F.sum("size"), F.sum("width"), F.count(F.lit(1))).first()
-    filled = product_decimals is None and bool(entries) and is_filled(entries, items)
-    filled = filled and isinstance(rated.schema["rating"].dataType, DoubleType)
+    filled = bool(entries) and is_filled(entries, items) and isinstance(rated.schema["rating"].dataType, DoubleType)
 
     if (size or 0) <= broadcast_bytes:
         # A user with n items puts n(n-1) entries into the matrix, so a matrix of this size also
@@ -138,14 +139,15 @@ def _multiply(
         # and small tasks keep its hash table in the processor's cache.
         rows = matrix.groupBy("item_id").agg(F.collect_list(F.struct("item_b", "cnt", "own")).alias("row"))
         if product_decimals is not None:
-            return _rounded_sums(rated, rows, widest or 0, product_decimals, rows_per_task)
+            dense = matrix if filled and 0 <= product_decimals <= MOST_DECIMALS else None
+            return _rounded_sums(rated, rows, widest or 0, product_decimals, rows_per_task, dense)
         products = rated.count() * (widest or 0)
         if filled:
             return dense_sums(rated, matrix, tasks_for(spark, products))
         tasks = tasks_for(spark, products, PRODUCTS_PER_USER_TASK)
         joined = rated.repartition(tasks, "user_id").join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
         return _sum_products(joined, ["user_id"], None)
-    if filled and rated.count() * widest > FEW_PRODUCTS:
+    if filled and product_decimals is None and rated.count() * widest > FEW_PRODUCTS:
         return filled_grid(rated, matrix, widths.select("item_id"), entries, rows_per_task)
     return grid_product(rated, matrix, widths, product_decimals, rows_per_task)
 
@@ -176,11 +178,14 @@ def _sum_products(joined: DataFrame, keys: list[str], product_decimals: int | No
     )
 
 
-def _rounded_sums(rated: DataFrame, rows: DataFrame, widest: int, product_decimals: int, rows_per_task: int) -> DataFrame:
+def _rounded_sums(
+    rated: DataFrame, rows: DataFrame, widest: int, product_decimals: int, rows_per_task: int, dense: DataFrame | None = None
+) -> DataFrame:
     """The sums of rounded products, dealt by user too, so that ratings are shuffled and products never.
 
     Different ratings of one item don't merge, so the matrix doesn't bound a user's rows: a user with more products than a
-    task should make is dealt further by item, and only such users' sums are summed again.
+    task should make is dealt further by item, and only such users' sums are summed again. With a well filled matrix, `dense`,
+    the products of all other users are not made as rows, unless they are few.
     """
     per_user = stage(rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("ratings")), "ratings-per-user")
     total = per_user.agg(F.sum("ratings")).first()[0] or 0
@@ -192,11 +197,16 @@ def _rounded_sums(rated: DataFrame, rows: DataFrame, widest: int, product_decima
         joined = some.repartition(tasks, *keys).join(F.broadcast(rows), "item_id").select("*", F.inline("row"))
         return _sum_products(joined, [*keys], product_decimals)
 
+    def sums_of_users(some: DataFrame) -> DataFrame:
+        if dense is None or total * widest <= FEW_PRODUCTS:
+            return sums(some, "user_id")
+        return dense_sums(some, dense, tasks_for(rated.sparkSession, total * widest), product_decimals)
+
     if sizes is None:
-        return sums(dealt, "user_id")
+        return sums_of_users(dealt)
     parts = sums(dealt.where("pieces > 1"), "user_id", "piece").groupBy("user_id", "item_id")
     whole = parts.agg(F.sum("score").alias("score"), F.max("own").alias("own"))
-    return sums(dealt.where("pieces = 1"), "user_id").unionByName(whole)
+    return sums_of_users(dealt.where("pieces = 1")).unionByName(whole)
 
 
 def grid_product(

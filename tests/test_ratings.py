@@ -1,9 +1,12 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quern import plans
+from quern.operators import dense
 from quern.operators import ratings as R
 from quern.session import stage
 
@@ -214,3 +217,31 @@ def test_filled_grid_places_every_item_in_a_block(spark, monkeypatch):
     assert blocks * 30 >= len(items) ** 2 and users >= 1
     assert len({(r["target_block"], r["at"]) for r in items}) == len(items) == 9
     assert {r["target_block"] for r in items} <= set(range(blocks))
+
+
+@pytest.mark.parametrize("rows_per_task", [5_000_000, 200])
+def test_rounded_products_of_a_filled_matrix_are_not_made_as_rows(spark, monkeypatch, rows_per_task):
+    """Also beside a user with too many products, repeated and different ratings of an item, and null, infinite and NaN ones."""
+    odd = [("odd", "i1", None), ("odd", "i2", 0.125), ("none", "i3", None), ("inf", "i2", float("inf")), ("inf", "i4", 1.25)]
+    rows = [*skewed(), *odd, ("nan", "i5", float("nan")), *((f"m{k % 3}", f"i{k % 9}", k / 16) for k in range(90))]
+    rated = stage(frame(spark, rows), "r")
+    totals = stage(R.rating_totals(rated), "t")
+    pairs = R.pair_table(totals)
+    args = (rated, totals, pairs, 1, 1 << 26, rows_per_task)
+    as_rows = as_set(R.unseen_scores(*args).fillna(-1.0))
+    monkeypatch.setattr(R, "FEW_PRODUCTS", 0)
+    found = R.unseen_scores(*args)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and ("inline" in plan) == (rows_per_task == 200)
+    assert [r[:2] for r in as_rows] == [r[:2] for r in as_set(found.fillna(-1.0))]
+    assert [r[2] for r in as_set(found.fillna(-1.0))] == pytest.approx([r[2] for r in as_rows], nan_ok=True)
+
+
+def test_products_are_rounded_as_by_spark(spark):
+    rng = random.Random(1)
+    values = [k / 8 for k in range(-40, 40)] + [k / 1000 for k in range(2000)] + [rng.uniform(-1e6, 1e6) for _ in range(500)]
+    values += [rng.randrange(10**7) / 10**6 * rng.randrange(99) for _ in range(2000)] + [2.675, 1.005, 1e22 / 3, 4e15 + 0.5, 1e-9]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for decimals in (0, 1, 2, 6, 15):
+        expected = [r[0] for r in df.select(F.round("v", decimals)).collect()]
+        assert dense.round_half_up(np.array(values), decimals).tolist() == expected

@@ -12,7 +12,6 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StopWordsRemover, Tokenizer, Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,16 +206,15 @@ def sweep_vectors(
 ) -> dict[tuple[int, int], DataFrame]:
     """`vector` of each text for each vector size and least count, a stage table each; `at_once` are made at the same time.
 
-    Those of one shard (of bounded size then) are put in order, as the first centres of k-means depend on it.
+    The files of one shard's vectors (few then) are read in order of their names: the first centres of k-means depend on the order
+    of rows, and files of one length would be read in any.
     """
     corpus = Corpus(tokenized)
     spark, shards = tokenized.sparkSession, max(tasks or 1, corpus.shards)
 
     def vectors(kind: tuple[int, int]) -> DataFrame:
-        found = text_vectors(word_vectors(corpus, seed, *kind, tasks), corpus)
-        if shards == 1:
-            found = found.repartition(1).sortWithinPartitions(vector_to_array("vector"))
-        return stage(found, "vectors")
+        found = stage(text_vectors(word_vectors(corpus, seed, *kind, tasks), corpus), "vectors")
+        return spark.read.schema(found.schema).parquet(*sorted(found.inputFiles())) if shards == 1 else found
 
     with planned_with(spark, wordvec.split_by_piece(shards, spark)):  # as each of them would set it
         return dict(zip(kinds, together(spark, vectors, kinds, at_once), strict=True))
